@@ -98,7 +98,12 @@ from d group by 1, 2, 3
 """,
 }
 
+from airshed.plans import check_staging  # noqa: E402
+
+ORACLE.update(check_staging.ORACLE)
+
 QUERIES = {
+    **check_staging.QUERIES,
     "q18_daily_summary": q18_daily_summary,
     "q19_monthly_index": q19_monthly_index,
 }
