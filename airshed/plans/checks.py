@@ -98,12 +98,14 @@ from d group by 1, 2, 3
 """,
 }
 
-from airshed.plans import check_staging  # noqa: E402
+from airshed.plans import check_models, check_staging  # noqa: E402
 
 ORACLE.update(check_staging.ORACLE)
+ORACLE.update(check_models.ORACLE)
 
 QUERIES = {
     **check_staging.QUERIES,
+    **check_models.QUERIES,
     "q18_daily_summary": q18_daily_summary,
     "q19_monthly_index": q19_monthly_index,
 }
