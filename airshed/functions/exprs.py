@@ -203,7 +203,9 @@ def risk_score(aqi: ColumnOrName, flow: ColumnOrName, fires: ColumnOrName) -> Co
     f = F.least(F.coalesce(col(flow), F.lit(0)) / dec(rules.RISK_FLOW_SCALE) * F.lit(rules.RISK_FLOW_CAP),
                 F.lit(rules.RISK_FLOW_CAP))
     h = F.least(F.coalesce(col(fires), F.lit(0)) * F.lit(rules.RISK_FIRE_POINTS), F.lit(rules.RISK_FIRE_CAP))
-    return F.least(F.round(a + f + h, 1), F.lit(rules.RISK_TOTAL_CAP))
+    # The sum is rounded as an exact decimal (the reference casts it to
+    # numeric), so a double input cannot flip a half-way case.
+    return F.least(F.round((a + f + h).cast("decimal(38,12)"), 1), F.lit(rules.RISK_TOTAL_CAP))
 
 
 def capped_scaled(c: ColumnOrName, scale: float, points: int, cap: int, digits: int = 1) -> Column:

@@ -65,22 +65,26 @@ def html_tables(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...]
                        F.element_at("cells", 4).alias("published_time"))
 
 
+ITEM_START = r"<div[^>]*class=\"[^\"]*\bitem\b[^\"]*\"[^>]*>"
+LIST_ENTRY = r"<li[^>]*>(.*?)</li>"
+
+
 def html_items(pages: DataFrame, html_col: str = "html", url_col: str = "url",
                base_url: str | Column | None = None, keep: tuple[str, ...] = ("page_id",),
-               item_pattern: str = r"<div[^>]*class=\"[^\"]*\bitem\b[^\"]*\"[^>]*>(.*?)</div>\s*(?=<div[^>]*class=\"[^\"]*\bitem\b|</div>|$)",
-               fallback_pattern: str = r"<li[^>]*>(.*?)</li>") -> DataFrame:
+               item_start: str = ITEM_START, fallback_pattern: str = LIST_ENTRY) -> DataFrame:
     """H2 + F20: items with title, link, summary and date.
 
-    Items are the ``item`` blocks of the list layout, else list entries
-    (``li``). The title is the item's heading link, else its first link
-    ('N/A' when none); relative links are made absolute against
-    ``base_url`` (default: scheme and host of the page URL). Items with no
-    title and no summary are skipped.
+    Items are the ``item`` blocks of the list layout (the text from one item
+    opening to the next), else list entries (``li``). The title is the
+    item's heading link, else its first link ('N/A' when none); relative
+    links are made absolute against ``base_url`` (default: scheme and host
+    of the page URL). Items with no title and no summary are skipped.
     """
     html = F.col(html_col)
-    primary = F.regexp_extract_all(html, F.lit(_FLAGS + item_pattern), 1)
+    parts = F.split(html, "(?i)" + item_start)
+    primary = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
     fallback = F.regexp_extract_all(html, F.lit(_FLAGS + fallback_pattern), 1)
-    items = F.when(F.size(primary) > 0, primary).otherwise(fallback)
+    items = F.when(F.size(parts) > 1, primary).otherwise(fallback)
     base = site_root(F.col(url_col)) if base_url is None else (
         F.lit(base_url) if isinstance(base_url, str) else base_url)
     ex = pages.select(*keep, base.alias("_base"), F.posexplode(items).alias("item_no", "_item"))

@@ -51,8 +51,11 @@ def flatten_latest(df: DataFrame, doc_col: str = "doc",
     loc = F.col("d.location")
     sensor_map = F.map_from_entries(F.transform(
         F.filter(loc["sensors"], lambda s: s["id"].isNotNull() & s["parameter"].isNotNull()),
-        lambda s: F.struct(s["id"], F.struct(F.lower(F.coalesce(s["parameter"]["name"], F.lit(""))).alias("name"),
-                                             F.coalesce(s["parameter"]["units"], F.lit("")).alias("units")))))
+        # named_struct: aliases inside a lambda would not name the fields
+        lambda s: F.named_struct(
+            F.lit("key"), s["id"],
+            F.lit("value"), F.named_struct(F.lit("name"), F.lower(F.coalesce(s["parameter"]["name"], F.lit(""))),
+                                           F.lit("units"), F.coalesce(s["parameter"]["units"], F.lit(""))))))
     rows = parsed.select(
         *keep,
         loc["id"].alias("location_id"),

@@ -98,14 +98,16 @@ from d group by 1, 2, 3
 """,
 }
 
-from airshed.plans import check_models, check_staging  # noqa: E402
+from airshed.plans import check_models, check_nested, check_staging  # noqa: E402
 
 ORACLE.update(check_staging.ORACLE)
 ORACLE.update(check_models.ORACLE)
+ORACLE.update(check_nested.ORACLE)
 
 QUERIES = {
     **check_staging.QUERIES,
     **check_models.QUERIES,
+    **check_nested.QUERIES,
     "q18_daily_summary": q18_daily_summary,
     "q19_monthly_index": q19_monthly_index,
 }
