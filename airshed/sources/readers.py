@@ -60,9 +60,24 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_col: str | No
     return reader.load()
 
 
+def _struct_type(schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+
+
 def inline_table(spark: SparkSession, rows, schema: StructType | str) -> DataFrame:
-    """A fixed rule table (VALUES list) as a DataFrame."""
-    return spark.createDataFrame(list(rows), schema)
+    """A fixed rule table (VALUES list) as a DataFrame.
+
+    Built from JVM literals (``inline(array(struct(...)))`` over a one-row
+    range), so it is a local relation: no Python worker is started on the
+    executors to hand over a few rows, and the optimizer sees its size.
+    """
+    st = _struct_type(schema)
+    rows = list(rows)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, st.fields)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def date_spine(spark: SparkSession, start: str, end_exclusive: str, col_name: str = "date_day") -> DataFrame:
@@ -89,13 +104,11 @@ def seed_rows(name: str) -> list[dict[str, str]]:
 def seed_frame(spark: SparkSession, name: str) -> DataFrame:
     """A packaged seed as a DataFrame (built on the driver from a file of a
     few dozen rows, so it needs no shared storage)."""
-    schema = SEED_SCHEMAS[name]
-    text_df = spark.createDataFrame(
-        [tuple(r.values()) for r in seed_rows(name)],
-        ", ".join(f"{f.split()[0]} string" for f in schema.split(", ")))
-    return text_df.select([F.col(f.split()[0]).try_cast(f.split()[1]).alias(f.split()[0])
-                           if f.split()[1] != "string" else F.nullif(F.col(f.split()[0]), F.lit(""))
-                           .alias(f.split()[0]) for f in schema.split(", ")])
+    fields = [f.split() for f in SEED_SCHEMAS[name].split(", ")]
+    text_df = inline_table(spark, [tuple(r.values()) for r in seed_rows(name)],
+                           ", ".join(f"{n} string" for n, _ in fields))
+    # CSV semantics: an empty cell is NULL; typed cells are cast.
+    return text_df.select([F.nullif(F.col(n), F.lit("")).try_cast(t).alias(n) for n, t in fields])
 
 
 def write_seed_csv(spark: SparkSession, name: str, path: str) -> str:

@@ -55,7 +55,8 @@ def replace_table(df: DataFrame, target: str, partition_cols: list[str], fmt: st
 
 def run_log_row(spark: SparkSession, source: str, rows: int, path: str, status: str,
                 logged_at: datetime) -> DataFrame:
-    return spark.createDataFrame([(source, int(rows), path, status, logged_at)], RUN_LOG_SCHEMA)
+    from airshed.sources.readers import inline_table
+    return inline_table(spark, [(source, int(rows), path, status, logged_at)], RUN_LOG_SCHEMA)
 
 
 def land(df: DataFrame, source: str, run_ts: datetime, mode: str, lake_path: str,
