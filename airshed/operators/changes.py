@@ -23,4 +23,6 @@ def apply_changes(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     payload = F.struct(*[F.col(c) for c in values])
     folded = df.groupBy(*keys).agg(F.max_by(payload, order).alias("_last"))
     out = folded.select(*keys, "_last.*")
-    return out.filter(~F.col(op_col).isin(list(delete_ops))).drop(op_col) if op_col in values else out
+    if op_col not in values or not delete_ops:
+        return out  # no delete semantics requested: keep the op column (stream state)
+    return out.filter(~F.col(op_col).isin(list(delete_ops))).drop(op_col)

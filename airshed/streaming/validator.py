@@ -42,8 +42,8 @@ def validate(df: DataFrame, json_col: str = "value",
              required: Sequence[tuple[str, str]] = rules.REQUIRED_FIELDS,
              enum_field: str = "parameter", enum_values: Sequence[str] = rules.VALID_POLLUTANTS,
              value_field: str = "value", box=rules.VIETNAM_BOX) -> DataFrame:
-    """Adds ``reason`` (NULL when valid) and ``status`` (valid/invalid) plus
-    typed message columns. The first failing rule gives the reason:
+    """Adds ``reason`` (NULL when valid), ``status`` (valid/invalid) and the
+    typed message fields as struct ``message``. The first failing rule gives the reason:
     malformed, missing:<f>, type:<f>, enum:<f>, range:<f>, box."""
     v = F.try_parse_json(F.col(json_col).cast("string"))
     parsed = df.withColumn("_v", v)
@@ -60,9 +60,9 @@ def validate(df: DataFrame, json_col: str = "value",
     lat, lon = getv("latitude", "double"), getv("longitude", "double")
     lat_lo, lat_hi, lon_lo, lon_hi = box
     reason = reason.when(~(lat.between(lat_lo, lat_hi) & lon.between(lon_lo, lon_hi)), F.lit("box"))
-    typed = [F.try_variant_get(pv, f"$.{f.split()[0]}", f.split()[1]).alias(f.split()[0])
-             for f in MESSAGE_FIELDS.split(", ")]
-    out = parsed.select("*", reason.alias("reason"), *typed).drop("_v")
+    typed = F.struct(*[F.try_variant_get(pv, f"$.{f.split()[0]}", f.split()[1]).alias(f.split()[0])
+                       for f in MESSAGE_FIELDS.split(", ")])
+    out = parsed.select("*", reason.alias("reason"), typed.alias("message")).drop("_v")
     return out.withColumn("status", F.when(F.col("reason").isNull(), "valid").otherwise("invalid"))
 
 
@@ -83,8 +83,7 @@ def dlq_envelope(invalid: DataFrame, json_col: str, rejected_at: Column, topic:
 
 def valid_output(valid: DataFrame, validated_at: Column) -> DataFrame:
     """Valid message with validation metadata."""
-    cols = [f.split()[0] for f in MESSAGE_FIELDS.split(", ")]
-    return valid.select(*cols, validated_at.cast("string").alias("_validated_at"),
+    return valid.select("message.*", validated_at.cast("string").alias("_validated_at"),
                         F.lit("valid").alias("_validation_status"))
 
 
