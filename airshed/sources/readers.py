@@ -116,3 +116,41 @@ def write_seed_csv(spark: SparkSession, name: str, path: str) -> str:
     cluster can scan it with ``read_csv_table``)."""
     seed_frame(spark, name).coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
     return path
+
+
+# Raw fire-detection feed columns (all text, as landed).
+FIRE_CSV_SCHEMA = ("latitude string, longitude string, bright_ti4 string, scan string, track string, "
+                   "acq_date string, acq_time string, satellite string, instrument string, confidence string, "
+                   "version string, bright_ti5 string, frp string, daynight string")
+
+
+class EmptyFeedError(RuntimeError):
+    """A feed that must not be empty returned no rows."""
+
+
+def read_feed_csv(spark: SparkSession, path: str, schema: str = FIRE_CSV_SCHEMA,
+                  require_rows: bool = True) -> DataFrame:
+    """A CSV feed with a header. An empty feed is an error (the caller
+    then serves the last good batch, S22) rather than an empty landing."""
+    df = read_csv_table(spark, path, schema)
+    if require_rows and df.isEmpty():
+        raise EmptyFeedError(f"feed at {path} returned no rows")
+    return df
+
+
+def table_exists(spark: SparkSession, name: str, schema: str | None = None) -> bool:
+    """Catalog probe."""
+    return spark.catalog.tableExists(name, schema) if schema else spark.catalog.tableExists(name)
+
+
+def list_schemas(spark: SparkSession) -> list[str]:
+    """S21 + O1: database names, ordered by name (catalog metadata, not data)."""
+    return sorted(db.name for db in spark.catalog.listDatabases())
+
+
+def sql_over(spark: SparkSession, query: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """One SQL query over frames from different sources (lake files,
+    warehouse tables, JDBC), each registered as a temporary view."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    return spark.sql(query)

@@ -53,6 +53,23 @@ def replace_table(df: DataFrame, target: str, partition_cols: list[str], fmt: st
     df.write.mode("overwrite").format(fmt).partitionBy(*partition_cols).save(target)
 
 
+def materialize_view(df: DataFrame, name: str) -> DataFrame:
+    """A model kept as a (lazy) view; readers inline its plan."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
+def materialize_table(df: DataFrame, name: str, fmt: str = "parquet",
+                      partition_cols: list[str] | None = None) -> DataFrame:
+    """A model written as a catalog table (replaced each run); readers
+    start from the written files, which also cuts the lineage."""
+    w = df.write.mode("overwrite").format(fmt)
+    if partition_cols:
+        w = w.partitionBy(*partition_cols)
+    w.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def run_log_row(spark: SparkSession, source: str, rows: int, path: str, status: str,
                 logged_at: datetime) -> DataFrame:
     from airshed.sources.readers import inline_table
@@ -108,4 +125,5 @@ def utc_now() -> datetime:
 
 
 __all__ = ["write_text_replace", "write_partitioned", "replace_table", "land", "run_log_row",
+           "materialize_view", "materialize_table",
            "recent_runs", "assert_fresh", "utc_now", "timedelta"]

@@ -93,6 +93,22 @@ def keyed_json(df: DataFrame, key_cols: Sequence[str] = ("location_id", "paramet
                      F.to_json(F.struct(*df.columns)).alias("value"))
 
 
+def publish(df: DataFrame, fmt: str = "kafka", checkpoint: str | None = None,
+            key_cols: Sequence[str] = ("location_id", "parameter"), **opts):
+    """Write messages as keyed JSON records. A streaming frame starts a
+    query (checkpointed, so a restart resumes); a batch frame is written
+    once. ``fmt='kafka'`` needs the Kafka connector on the classpath;
+    ``json``/``parquet`` folders work everywhere."""
+    out = keyed_json(df, key_cols)
+    if df.isStreaming:
+        w = out.writeStream.format(fmt).options(**opts)
+        if checkpoint:
+            w = w.option("checkpointLocation", checkpoint)
+        return w.start()
+    out.write.format(fmt).options(**opts).mode("append").save()
+    return None
+
+
 def read_stream(spark: SparkSession, fmt: str, path: str | None = None, schema: str | None = None,
                 **opts) -> DataFrame:
     """Stream source; Kafka with ``startingOffsets=earliest`` or a file
