@@ -1,0 +1,21 @@
+"""Parallelism for CPU-heavy row-local stages.
+
+A scan has one task per file split; a small table stored as a single row
+group (or a stream micro-batch from a 3-partition topic) gives one or a
+few tasks, and a per-row CPU-heavy stage (JSON/variant parsing, HTML
+regexes, keyword rules over whole texts) then runs on one core. ``spread``
+adds a round-robin repartition only in that case; a large input already
+has at least as many partitions as the cluster has cores and is returned
+unchanged (no shuffle).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -14,6 +14,7 @@ from airshed.operators.changes import apply_changes
 from airshed.operators.fallback import with_fallback
 from airshed.operators.html import html_items
 from airshed.operators.nested import flatten_arrays, flatten_latest
+from airshed.operators.partitioning import spread
 from airshed.operators.quality import Rule, aqi_range_rule, run_rules
 from airshed.plans.check_staging import map_lit, ntz, sql_case, sround, station_places, table
 from airshed.streaming.validator import reason_counts, validate
@@ -166,7 +167,7 @@ from e join l using (user_id, chunk)
 # ---------------------------------------------------------------------------
 
 def q28_html_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_items(table(spark, sf_dir, "pages"))
+    return html_items(spread(table(spark, sf_dir, "pages")))
 
 
 def _strip_sql(x: str) -> str:
@@ -281,7 +282,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q30_validate_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reason_counts(validate(messages(spark, sf_dir), "value"))
+    return reason_counts(validate(spread(messages(spark, sf_dir)), "value"))
 
 
 _FAULT_SQL = "case " + " ".join(f"when event_id % {m} = 0 then '{n}'" for m, n in FAULTS) + " else 'none' end"

@@ -26,6 +26,7 @@ from airshed import rules
 from airshed.functions.exprs import disaster_type, surrogate_key
 from airshed.operators.cleaning import drop_all_null, null_out_of_range
 from airshed.operators.joins import join_dim
+from airshed.operators.partitioning import spread
 from airshed.plans.gold import clean_air_quality
 from airshed.plans.marts import dim_disaster_type, enrich_dates
 from airshed.plans.staging import stg_air_quality, stg_weather
@@ -208,7 +209,7 @@ def doc_title(c: str = "text") -> Column:
 
 
 def q02_disaster_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     typed = docs.select(disaster_type(doc_title(), F.col("text")).alias("disaster_code"))
     counts = typed.groupBy("disaster_code").agg(F.count(F.lit(1)).alias("n_documents"))
     dim = dim_disaster_type(spark)

@@ -25,8 +25,12 @@ CORE_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
-    # Runtime (measured) broadcast: AQE only turns a join side into a
-    # broadcast after its shuffle output was measured below this size.
+    # No broadcast from file-size estimates (compressed parquet size says
+    # little about the in-memory size): unhinted joins are planned as
+    # shuffle joins, and AQE turns a side into a broadcast only after its
+    # shuffle output was measured below the adaptive threshold. Fixed
+    # tables (seeds, rule tables) carry explicit broadcast hints.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from airshed import rules
+from airshed.operators.partitioning import spread
 
 MESSAGE_FIELDS = ("location_id bigint, location_name string, city string, country string, latitude double, "
                   "longitude double, parameter string, value double, unit string, date_utc string, "
@@ -132,7 +133,9 @@ def route(stream: DataFrame, valid_path: str, dlq_path: str, checkpoint: str,
     enriched = stream.select("*", part.cast("string").alias("_src_partition"), off.cast("long").alias("_src_offset"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        checked = validate(batch, json_col).persist()
+        # a micro-batch has as many partitions as the topic; spread the
+        # parsing over the cluster's cores when that is fewer
+        checked = validate(spread(batch), json_col).persist()
         try:
             now = F.current_timestamp()
             valid_output(checked.filter(F.col("status") == "valid"), now) \
