@@ -1,9 +1,9 @@
 """Snapshot fallback (S22): when a source's current batch is empty (or
 failed), serve its latest earlier batch within a TTL instead.
 
-Built from two small aggregates (batches per source, then the chosen batch
-per source) joined back to the batch rows on (source, batch), so every
-row stays where it is and only per-batch keys are shuffled.
+Built from one small aggregate (per source: is the current batch there,
+which earlier batch to serve) joined back to the batch rows on
+(source, batch), so rows are never grouped by source.
 """
 
 from __future__ import annotations
@@ -13,27 +13,36 @@ from pyspark.sql import functions as F
 
 
 def with_fallback(history: DataFrame, source_col: str, batch_col: str, as_of: Column | str,
-                  ttl: str | None = None, current: DataFrame | None = None,
-                  sources: DataFrame | None = None) -> DataFrame:
+                  ttl: str | None = None, current: DataFrame | None = None) -> DataFrame:
     """Rows of each source's batch ``as_of``; a source without rows there
     gets its latest batch before ``as_of`` (no older than ``as_of - ttl``
     when ``ttl`` is an interval string such as ``'6 hours'``), flagged
     ``is_fallback``. ``current`` defaults to the ``as_of`` batch of
-    ``history``; ``sources`` (one column ``source_col``) lists the sources
-    expected, default all sources seen in ``history``.
+    ``history``; when given, it is the freshly fetched batch and
+    ``history`` holds the earlier ones.
+
+    Plan: one aggregate per source (partial before the shuffle, one output
+    row per source) finds the source's current flag and its fallback batch;
+    the fallback rows are then fetched by an equi-join on (source, batch)
+    whose small side AQE can broadcast after measuring it.
     """
     ref = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
-    cur = current if current is not None else history.filter(F.col(batch_col) == ref)
-    batches = history.select(source_col, batch_col).distinct()
-    expected = sources if sources is not None else batches.select(source_col).distinct()
-    have = cur.select(source_col).distinct().withColumn("_has_current", F.lit(True))
-    missing = (expected.join(have, source_col, "left")
-                       .filter(F.col("_has_current").isNull()).select(source_col))
-    older = batches.filter(F.col(batch_col) < ref)
+    b = F.col(batch_col)
+    eligible = b < ref
     if ttl:
-        older = older.filter(F.col(batch_col) >= ref - F.expr(f"INTERVAL {ttl}"))
-    chosen = (older.join(missing, source_col, "inner")
-                   .groupBy(source_col).agg(F.max(batch_col).alias(batch_col)))
+        eligible = eligible & (b >= ref - F.expr(f"INTERVAL {ttl}"))
+    if current is None:
+        cur = history.filter(b == ref)
+        has_current = F.max(F.when(b == ref, F.lit(True)))
+    else:
+        cur = current
+        has_current = F.lit(None).cast("boolean")
+    stats = history.groupBy(source_col).agg(has_current.alias("_has_current"),
+                                            F.max(F.when(eligible, b)).alias("_fallback_batch"))
+    chosen = stats.filter(F.col("_has_current").isNull() & F.col("_fallback_batch").isNotNull())
+    if current is not None:
+        chosen = chosen.join(current.select(source_col).distinct(), source_col, "left_anti")
+    chosen = chosen.select(source_col, F.col("_fallback_batch").alias(batch_col))
     fallback_rows = history.join(chosen, [source_col, batch_col], "inner")
     return (cur.withColumn("is_fallback", F.lit(False))
                .unionByName(fallback_rows.select(*cur.columns).withColumn("is_fallback", F.lit(True))))

@@ -185,8 +185,9 @@ def q01_seed_csv_join(spark: SparkSession, sf_dir: str) -> DataFrame:
               .groupBy("c_nationkey")
               .agg(F.count(F.lit(1)).alias("n_customers"),
                    F.round(F.avg(F.col("c_acctbal").cast("decimal(12,2)")), 2).alias("avg_acctbal")))
+    # counts has one row per nation key: bounded by the fixed nation table
     j = (seed.join(F.broadcast(region), seed["n_regionkey"] == region["r_regionkey"])
-             .join(counts, seed["n_nationkey"] == counts["c_nationkey"], "left"))
+             .join(F.broadcast(counts), seed["n_nationkey"] == counts["c_nationkey"], "left"))
     return j.select("r_name", "n_name", F.coalesce("n_customers", F.lit(0)).alias("n_customers"),
                     dbl("avg_acctbal").alias("avg_acctbal"))
 
@@ -213,7 +214,8 @@ def q02_disaster_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = docs.select(disaster_type(doc_title(), F.col("text")).alias("disaster_code"))
     counts = typed.groupBy("disaster_code").agg(F.count(F.lit(1)).alias("n_documents"))
     dim = dim_disaster_type(spark)
-    j = join_dim(dim, counts, "disaster_code", how="left", broadcast=False)
+    # counts has at most one row per rule label (+ the default): bounded
+    j = join_dim(dim, counts, "disaster_code", how="left", broadcast=True)
     return j.select("disaster_type_sk", "disaster_code", "disaster_name_en", "disaster_name_vi", "category",
                     F.coalesce("n_documents", F.lit(0)).alias("n_documents"))
 
