@@ -41,7 +41,13 @@ def sround(expr: str, digits: int) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. Its file is a single row group, which Spark cannot
+    split, so the scan is one task; ``spread`` restores parallelism for the
+    stages after it (a no-op for inputs that already have enough splits)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spark.conf.get("airshed.spreadScans", "true") == "true":
+        df = spread(df)
+    return df
 
 
 def dbl(c: str | Column, digits: int | None = None) -> Column:
