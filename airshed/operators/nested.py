@@ -136,9 +136,10 @@ def flatten_elements(df: DataFrame, doc_col: str = "doc", element_type: str = "n
 
 
 def zip_by_position(left: DataFrame, left_array: str, right: DataFrame, right_array: str,
-                    key: str) -> DataFrame:
+                    key: str | Sequence[str]) -> DataFrame:
     """Pair two lists by position within the same key; stops at the
     shorter list (an inner join on (key, position))."""
-    lp = left.select(key, F.posexplode(left_array).alias("pos", "left_item"))
-    rp = right.select(key, F.posexplode(right_array).alias("pos", "right_item"))
-    return lp.join(rp, [key, "pos"], "inner")
+    keys = [key] if isinstance(key, str) else list(key)
+    lp = left.select(*keys, F.posexplode(left_array).alias("pos", "left_item"))
+    rp = right.select(*keys, F.posexplode(right_array).alias("pos", "right_item"))
+    return lp.join(rp, [*keys, "pos"], "inner")

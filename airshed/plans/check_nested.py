@@ -16,7 +16,7 @@ from airshed.operators.html import html_items
 from airshed.operators.nested import flatten_arrays, flatten_latest
 from airshed.operators.partitioning import spread
 from airshed.operators.quality import Rule, aqi_range_rule, run_rules
-from airshed.plans.check_staging import map_lit, ntz, sql_case, sround, station_places, table
+from airshed.plans.check_staging import CODE_OF_TYPE, map_lit, ntz, sql_case, sround, station_places, table
 from airshed.streaming.validator import reason_counts, validate
 
 # Documents hold at most this many readings: bounded arrays whatever the
@@ -28,7 +28,6 @@ DOC_CHUNK = 64
 # Q25: AQI sub-index per pollutant, PM2.5 class, composite risk (M1 M2 M8)
 # ---------------------------------------------------------------------------
 
-CODE_OF_TYPE = {"click": "pm25", "view": "pm10", "purchase": "o3", "signup": "no2", "error": "co"}
 
 
 def q25_aqi_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

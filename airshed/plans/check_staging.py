@@ -106,8 +106,13 @@ def station_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"]).drop("c_nationkey")
 
 
+# Event type -> pollutant code of the air-quality feed.
+CODE_OF_TYPE = {"click": "pm25", "view": "pm10", "purchase": "o3", "signup": "no2", "error": "co"}
+
+
 def air_quality_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as the raw (all-text) air-quality feed."""
+    """Events as the raw (all-text) air-quality feed; the code arrives
+    upper-cased and padded (' PM25 ')."""
     ev = table(spark, sf_dir, "events")
     pl = station_places(spark, sf_dir)
     j = ev.join(pl, ev["user_id"] == pl["c_custkey"])
@@ -117,7 +122,8 @@ def air_quality_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("city"),
         (F.lit(8.0) + F.col("n_nationkey") * 0.5).cast("string").alias("latitude"),
         (F.lit(102.0) + F.col("n_regionkey") * 1.5).cast("string").alias("longitude"),
-        F.concat(F.lit(" "), F.upper("event_type"), F.lit(" ")).alias("parameter"),
+        F.concat(F.lit(" "), F.upper(F.element_at(map_lit(CODE_OF_TYPE), F.col("event_type"))),
+                 F.lit(" ")).alias("parameter"),
         F.col("value").cast("string").alias("value"),
         F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.lit("ppm")).alias("unit"),
         F.col("ts").cast("string").alias("last_updated"),
@@ -125,11 +131,11 @@ def air_quality_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-AIR_SQL = """
+AIR_SQL = f"""
 select cast(e.user_id as integer) as station_id, c.c_name as station_name, n.n_name as city,
        cast(8 + n.n_nationkey * 0.5 as decimal(10, 6)) as latitude,
        cast(102 + n.n_regionkey * 1.5 as decimal(10, 6)) as longitude,
-       lower(trim(' ' || upper(e.event_type) || ' ')) as pollutant_code,
+       lower(trim(' ' || upper({sql_case('e.event_type', CODE_OF_TYPE)}) || ' ')) as pollutant_code,
        cast(e.value as decimal(12, 4)) as measurement_value,
        coalesce(case when e.event_type = 'error' then null else 'ppm' end, 'µg/m³') as unit,
        e.ts as measured_at_utc, e.ts as ingested_at
