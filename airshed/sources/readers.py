@@ -154,3 +154,14 @@ def sql_over(spark: SparkSession, query: str, tables: dict[str, DataFrame]) -> D
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     return spark.sql(query)
+
+
+def read_partitioned(spark: SparkSession, path: str, partition_cols=("year", "month", "day"),
+                     fmt: str = "parquet") -> DataFrame:
+    """Read a ``col=value`` partitioned folder keeping the partition values
+    as text (``month=02`` stays '02'; type inference would make it 2)."""
+    from pyspark.sql.types import StringType, StructField
+
+    inferred = spark.read.format(fmt).load(path).schema
+    fields = [StructField(f.name, StringType(), True) if f.name in partition_cols else f for f in inferred.fields]
+    return spark.read.format(fmt).schema(StructType(fields)).load(path)
