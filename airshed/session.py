@@ -79,7 +79,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local tests) a folder is chosen and registered.
+    and the master is local (tests, development) a folder is chosen and
+    registered. On a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -89,6 +90,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        master = sc.master or ""
+        if not master.startswith("local"):
+            # a machine-local folder is not shared by the executors
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's object store)")
         configured = os.path.join(tempfile.gettempdir(), "airshed-checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

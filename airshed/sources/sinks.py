@@ -26,13 +26,30 @@ def write_text_replace(df: DataFrame, target: str, fmt: str = "parquet", as_tabl
 
 
 def write_partitioned(df: DataFrame, path: str, run_ts: datetime, mode: str = "append",
-                      fmt: str = "parquet") -> str:
-    """Append under ``year=YYYY/month=MM/day=DD`` (zero padded) of the run
-    time. Returns the partition path written."""
+                      fmt: str = "parquet", run_partition: bool = True) -> str:
+    """Add the batch under ``year=YYYY/month=MM/day=DD`` (zero padded) of
+    the run time. Returns the partition path written.
+
+    With ``run_partition`` each run gets its own ``run=`` folder, written
+    with dynamic partition overwrite: earlier runs of the day are kept
+    (append semantics) while a retried run replaces its own files instead
+    of adding a second copy."""
     y, m, d = f"{run_ts.year:04d}", f"{run_ts.month:02d}", f"{run_ts.day:02d}"
-    out = df.withColumns({"year": F.lit(y), "month": F.lit(m), "day": F.lit(d)})
-    out.write.mode(mode).format(fmt).partitionBy("year", "month", "day").save(path)
-    return f"{path.rstrip('/')}/year={y}/month={m}/day={d}"
+    cols = {"year": F.lit(y), "month": F.lit(m), "day": F.lit(d)}
+    parts = ["year", "month", "day"]
+    target = f"{path.rstrip('/')}/year={y}/month={m}/day={d}"
+    w_mode = mode
+    if run_partition:
+        run = run_ts.strftime("%Y%m%d%H%M%S")
+        cols["run"] = F.lit(run)
+        parts.append("run")
+        target = f"{target}/run={run}"
+        w_mode = "overwrite"
+    writer = df.withColumns(cols).write.mode(w_mode).format(fmt).partitionBy(*parts)
+    if run_partition:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.save(path)
+    return target
 
 
 def replace_table(df: DataFrame, target: str, partition_cols: list[str], fmt: str = "parquet",

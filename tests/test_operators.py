@@ -152,16 +152,21 @@ def test_land_run_log_and_freshness(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", float("nan")), (2, "b", 1.5)], "id int, val string, x double")
     entry = sinks.land(df, "air_quality", run, "daily", lake, log, text).first()
     assert (entry["row_count"], entry["status"]) == (2, "SUCCESS")
-    assert entry["object_path"].endswith("air_quality/year=2024/month=04/day=05")
+    assert entry["object_path"].endswith("air_quality/year=2024/month=04/day=05/run=20240405060708")
+    # a retried run replaces its own files; another run of the day is added
+    sinks.land(df, "air_quality", run, "daily", lake, log)
+    assert spark.read.parquet(f"{lake}/air_quality").count() == 2
+    sinks.land(df, "air_quality", datetime(2024, 4, 5, 9, 0, 0), "daily", lake, log)
+    assert spark.read.parquet(f"{lake}/air_quality").count() == 4
     landed = spark.read.parquet(f"{lake}/air_quality")
-    assert landed.count() == 2 and "_run_mode" in landed.columns
+    assert landed.count() == 4 and "_run_mode" in landed.columns
     assert dict(spark.read.parquet(f"{text}/air_quality").dtypes)["x"] == "string"
     assert spark.read.parquet(f"{text}/air_quality").filter("id = '1'").first()["x"] is None   # NaN -> NULL
     empty = sinks.land(df.limit(0), "fire", run, "daily", lake, log).first()
     assert (empty["row_count"], empty["status"]) == (0, "EMPTY")
     logs = spark.read.parquet(log)
-    assert logs.count() == 2
-    assert sinks.assert_fresh(logs, "2024-04-06 06:00:00") == 1
+    assert logs.count() == 4
+    assert sinks.assert_fresh(logs, "2024-04-06 06:00:00") == 3
     try:
         sinks.assert_fresh(logs, "2024-04-07 12:00:00")
         raise AssertionError("expected stale")
