@@ -98,18 +98,20 @@ from d group by 1, 2, 3
 """,
 }
 
-from airshed.plans import check_facts, check_models, check_nested, check_staging  # noqa: E402
+from airshed.plans import check_facts, check_models, check_nested, check_staging, check_streams  # noqa: E402
 
 ORACLE.update(check_staging.ORACLE)
 ORACLE.update(check_models.ORACLE)
 ORACLE.update(check_nested.ORACLE)
 ORACLE.update(check_facts.ORACLE)
+ORACLE.update(check_streams.ORACLE)
 
 QUERIES = {
     **check_staging.QUERIES,
     **check_models.QUERIES,
     **check_nested.QUERIES,
     **check_facts.QUERIES,
+    **check_streams.QUERIES,
     "q18_daily_summary": q18_daily_summary,
     "q19_monthly_index": q19_monthly_index,
 }
