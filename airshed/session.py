@@ -103,3 +103,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/airshed/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def input_bytes(spark: SparkSession, paths: list[str] | str) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in [paths] if isinstance(paths, str) else paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str] | str,
+                            target_bytes: int = 128 * 1024 * 1024, min_partitions: int | None = None,
+                            max_partitions: int = 200_000) -> int:
+    """Set the initial shuffle partition count from the input size: about
+    one partition per ``target_bytes`` of input (columnar input expands in
+    a shuffle, so this errs on the side of more partitions), never fewer
+    than the cluster's cores. AQE coalesces the ones that turn out small;
+    it cannot split large ones (except skewed join partitions), so the
+    initial count must scale with the data."""
+    cores = spark.sparkContext.defaultParallelism
+    need = -(-input_bytes(spark, paths) // target_bytes)
+    parts = int(min(max(need, min_partitions or cores, 1), max_partitions))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
+    return parts

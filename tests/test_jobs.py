@@ -61,6 +61,19 @@ def test_bronze_silver_gold_jobs(spark, tmp_path):
         (100.0, 50.0, 2, "High")
 
 
+def test_size_shuffle_partitions(spark):
+    from airshed.session import input_bytes, size_shuffle_partitions
+
+    path = "/root/testdata/sf0.01/lineitem.parquet"
+    assert input_bytes(spark, path) > 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffle_partitions(spark, path, target_bytes=100_000) > 4
+        assert size_shuffle_partitions(spark, path) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_feed_csv_catalog_and_sql(spark, tmp_path):
     empty = tmp_path / "fire.csv"
     empty.write_text("latitude,longitude\n")
