@@ -14,9 +14,11 @@ def spark(tmp_path_factory):
     from airshed.session import build_session
 
     ckpt = tmp_path_factory.mktemp("checkpoints")
+    warehouse = tmp_path_factory.mktemp("warehouse")
     s = build_session("airshed-tests", master="local[4]", shuffle_partitions=4,
                       extra={"spark.ui.showConsoleProgress": "false",
-                             "spark.checkpoint.dir": str(ckpt)})
+                             "spark.checkpoint.dir": str(ckpt),
+                             "spark.sql.warehouse.dir": str(warehouse)})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
