@@ -14,13 +14,15 @@ checkpoint commit) rewrites the same files — effectively exactly-once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from airshed import rules
+from airshed.operators.aggregates import status_counts
 from airshed.operators.partitioning import spread
 
 MESSAGE_FIELDS = ("location_id bigint, location_name string, city string, country string, latitude double, "
@@ -120,17 +122,30 @@ def read_stream(spark: SparkSession, fmt: str, path: str | None = None, schema:
     return reader.load(path) if path else reader.load()
 
 
+def _log_stats(batch_id: int, stats: dict) -> None:
+    logging.getLogger("airshed.stream").info(
+        "batch %d: %d valid, %d invalid (%.1f%% pass rate)", batch_id, stats["valid_count"],
+        stats["invalid_count"], stats["pass_rate_pct"] or 0.0)
+
+
 def route(stream: DataFrame, valid_path: str, dlq_path: str, checkpoint: str,
           json_col: str = "value", topic: str = "raw-air-quality",
           position: tuple[Column, Column] | None = None,
-          trigger: dict | None = None, fmt: str = "json") -> StreamingQuery:
+          trigger: dict | None = None, fmt: str = "json",
+          on_batch: Callable[[int, dict], None] | None = _log_stats) -> StreamingQuery:
     """T-24: validate a stream and write valid rows / dead letters.
 
     ``position`` gives (partition, offset) columns of the source (Kafka:
     ``partition``, ``offset``); for files the file path and -1 are used.
+    Progress (ST5/A10): the input row count of every micro-batch is an
+    observed metric in ``StreamingQueryProgress.observedMetrics``, and
+    ``on_batch(batch_id, stats)`` receives the valid/invalid counts and
+    pass rate, computed from the already persisted batch.
     """
     part, off = position or (F.col("_metadata.file_path"), F.lit(-1).cast("long"))
-    enriched = stream.select("*", part.cast("string").alias("_src_partition"), off.cast("long").alias("_src_offset"))
+    enriched = (stream.select("*", part.cast("string").alias("_src_partition"),
+                              off.cast("long").alias("_src_offset"))
+                      .observe("route_input", F.count(F.lit(1)).alias("rows")))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # a micro-batch has as many partitions as the topic; spread the
@@ -143,6 +158,8 @@ def route(stream: DataFrame, valid_path: str, dlq_path: str, checkpoint: str,
             dlq_envelope(checked.filter(F.col("status") == "invalid"), json_col, now, F.lit(topic),
                          F.col("_src_partition"), F.col("_src_offset")) \
                 .write.mode("overwrite").format(fmt).save(f"{dlq_path}/batch_id={batch_id}")
+            if on_batch is not None:
+                on_batch(batch_id, status_counts(checked).first().asDict())
         finally:
             checked.unpersist()
 

@@ -62,8 +62,11 @@ def test_route_dual_sink_and_resume(spark, tmp_path):
     src, valid, dlq, ckpt = (str(tmp_path / n) for n in ("in", "valid", "dlq", "ckpt"))
     _write_lines(src, "a.json", [m for m, _ in CASES[:10]])
     stream = V.read_stream(spark, "text", src)
-    q = V.route(stream, valid, dlq, ckpt)
+    seen = []
+    q = V.route(stream, valid, dlq, ckpt, on_batch=lambda b, s: seen.append((b, s["valid_count"], s["invalid_count"])))
     q.awaitTermination()
+    assert seen == [(0, 1, 9)]
+    assert q.lastProgress["observedMetrics"]["route_input"]["rows"] == 10
     assert spark.read.json(valid).count() == 1
     dead = spark.read.json(dlq)
     assert dead.count() == 9
