@@ -1,46 +1,70 @@
 """Change feed fold on a stream (S19, streaming form).
 
 Each micro-batch of change rows is folded per key with the batch fold and
-merged into the current state table: state = latest(state ∪ batch). The
-state is written to a new folder per batch id and the pointer advances
-only after the write, so a replayed batch recomputes the same state.
+merged with the previous state: state_N = latest(state_M ∪ batch_N), where
+M is the newest committed state older than N. Every state is written to
+its own ``batch_id=N`` folder (overwrite, so a replayed batch rewrites the
+same folder) and counts as committed once its ``_SUCCESS`` marker exists.
+Nothing is ever overwritten in place, so a failure at any point leaves the
+last committed state intact and the replay recomputes the same result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from airshed.operators.changes import apply_changes
 
 
+def _committed_ids(spark: SparkSession, state_path: str) -> list[int]:
+    """Batch ids with a committed state folder (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(state_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    ids = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id="):
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                ids.append(int(name.split("=", 1)[1]))
+    return sorted(ids)
+
+
+def fold_batch(batch: DataFrame, batch_id: int, keys: Sequence[str], order_cols: Sequence[str],
+               state_path: str, op_col: str = "op") -> None:
+    """Fold one micro-batch into the newest committed older state and
+    commit the result as ``batch_id=N`` (idempotent per batch id)."""
+    spark = batch.sparkSession
+    cols = batch.columns
+    older = [i for i in _committed_ids(spark, state_path) if i < batch_id]
+    current = batch
+    if older:
+        current = spark.read.parquet(f"{state_path}/batch_id={older[-1]}").select(*cols).unionByName(batch)
+    # deletes stay in the state so a later batch still sees them
+    apply_changes(current, keys, order_cols, op_col=op_col, delete_ops=()) \
+        .select(*cols).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+
+
 def fold_changes_stream(stream: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                         state_path: str, checkpoint: str, op_col: str = "op",
                         trigger: dict | None = None) -> StreamingQuery:
-    cols = stream.columns
-
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        latest = f"{state_path}/batch_id={batch_id}"
-        prev = None
-        try:
-            prev = spark.read.parquet(f"{state_path}/current").select(*cols)
-        except Exception:  # first batch: no state yet
-            prev = None
-        combined = batch.select(*cols) if prev is None else prev.unionByName(batch.select(*cols))
-        # keep deletes in the state so a later batch can still see them
-        apply_changes(combined, keys, order_cols, op_col=op_col, delete_ops=()) \
-            .select(*cols).write.mode("overwrite").parquet(latest)
-        spark.read.parquet(latest).write.mode("overwrite").parquet(f"{state_path}/current")
+        fold_batch(batch, batch_id, keys, order_cols, state_path, op_col)
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
                   .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def current_state(spark, state_path: str, keys: Sequence[str], op_col: str = "op",
+def current_state(spark: SparkSession, state_path: str, keys: Sequence[str], op_col: str = "op",
                   delete_ops: Sequence[str] = ("d",)) -> DataFrame:
-    """Live rows of the folded state (deletes removed)."""
-    df = spark.read.parquet(f"{state_path}/current")
+    """Live rows of the newest committed state (deletes removed)."""
+    ids = _committed_ids(spark, state_path)
+    if not ids:
+        raise FileNotFoundError(f"no committed state under {state_path}")
+    df = spark.read.parquet(f"{state_path}/batch_id={ids[-1]}")
     return df.filter(~df[op_col].isin(list(delete_ops))).drop(op_col)

@@ -105,3 +105,20 @@ def test_stream_change_fold(spark, tmp_path):
     stream_changes.fold_changes_stream(stream, ["id"], ["seq"], state, ckpt).awaitTermination()
     live = sorted(tuple(r) for r in stream_changes.current_state(spark, state, ["id"]).collect())
     assert live == [(1, 2, "b"), (3, 1, "z")]
+
+
+def test_fold_batch_replay_and_crash(spark, tmp_path):
+    state = str(tmp_path / "state")
+    schema = "id int, op string, seq int, v string"
+    b0 = spark.createDataFrame([(1, "c", 1, "a"), (2, "c", 1, "x")], schema)
+    b1 = spark.createDataFrame([(1, "u", 2, "b"), (2, "d", 2, "x")], schema)
+    stream_changes.fold_batch(b0, 0, ["id"], ["seq"], state)
+    stream_changes.fold_batch(b1, 1, ["id"], ["seq"], state)
+    stream_changes.fold_batch(b1, 1, ["id"], ["seq"], state)          # replay of batch 1
+    os.makedirs(tmp_path / "state" / "batch_id=2")                      # crashed batch: no _SUCCESS
+    live = sorted(tuple(r) for r in stream_changes.current_state(spark, state, ["id"]).collect())
+    assert live == [(1, 2, "b")]
+    b2 = spark.createDataFrame([(3, "c", 1, "z")], schema)
+    stream_changes.fold_batch(b2, 2, ["id"], ["seq"], state)            # the replay commits batch 2
+    live = sorted(tuple(r) for r in stream_changes.current_state(spark, state, ["id"]).collect())
+    assert live == [(1, 2, "b"), (3, 1, "z")]
