@@ -40,12 +40,18 @@ def sround(expr: str, digits: int) -> str:
     return f"cast(round(cast({expr} as decimal(38, 12)), {digits}) as double)"
 
 
+# Tables whose row-level work is worth spreading; the dimensions are small
+# and go straight into a broadcast or a shuffle join.
+LARGE_TABLES = ("events", "lineitem", "orders", "documents", "pages")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. Its file is a single row group, which Spark cannot
-    split, so the scan is one task; ``spread`` restores parallelism for the
-    stages after it (a no-op for inputs that already have enough splits)."""
+    split, so the scan is one task; for the large tables ``spread``
+    restores parallelism for the stages after it (a no-op for inputs that
+    already have enough splits)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spark.conf.get("airshed.spreadScans", "true") == "true":
+    if name in LARGE_TABLES and spark.conf.get("airshed.spreadScans", "true") == "true":
         df = spread(df)
     return df
 
