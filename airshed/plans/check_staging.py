@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from airshed import rules
 from airshed.functions.exprs import disaster_type, surrogate_key
 from airshed.operators.cleaning import drop_all_null, null_out_of_range
-from airshed.operators.joins import join_dim
+from airshed.operators.joins import checked_broadcast, join_dim
 from airshed.operators.partitioning import spread
 from airshed.plans.gold import clean_air_quality
 from airshed.plans.marts import dim_disaster_type, enrich_dates
@@ -104,12 +104,20 @@ def sql_keyword_case(fields: dict[str, str], rules_list, default: str, lower: bo
 # Shared adapters
 # ---------------------------------------------------------------------------
 
+# Largest station table shipped to every executor (rows); beyond it the
+# readings join the stations by shuffle (sort-merge, AQE skew splitting).
+PLACES_BROADCAST_ROWS = 2_000_000
+
+
 def station_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer (station) x nation (city). nation is the fixed 25-row TPC-H
-    table, so it is broadcast; customer joins events by shuffle/AQE."""
+    table, so it is broadcast. customer grows with the data: it is
+    broadcast into the readings only after a bounded row-count check
+    (``checked_broadcast``), else the join stays a shuffle join."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    return c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"]).drop("c_nationkey")
+    places = c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"]).drop("c_nationkey")
+    return checked_broadcast(places, PLACES_BROADCAST_ROWS)
 
 
 # Event type -> pollutant code of the air-quality feed.
