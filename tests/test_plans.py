@@ -63,8 +63,15 @@ def test_fixed_dimensions_are_broadcast(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_grown_tables_are_not_hinted(spark):
-    # customer grows with the data: joined by shuffle (AQE may still broadcast after measuring)
+def test_grown_tables_broadcast_only_within_checked_bound(spark, monkeypatch):
+    # customer grows with the data: broadcast only while the bounded row-count check passes
+    from airshed.plans import check_staging
+
     plan = plan_of(spark, "q04_stage_air_quality")
-    for sub in subtrees(plan, "BroadcastExchange"):
-        assert "customer.parquet" not in sub and "events.parquet" not in sub
+    subs = subtrees(plan, "BroadcastExchange")
+    assert any("customer.parquet" in sub for sub in subs)
+    assert not any("events.parquet" in sub for sub in subs)
+    monkeypatch.setattr(check_staging, "PLACES_BROADCAST_ROWS", 10)
+    plan = plan_of(spark, "q04_stage_air_quality")
+    assert not any("customer.parquet" in sub for sub in subtrees(plan, "BroadcastExchange"))
+    assert "SortMergeJoin" in plan
