@@ -13,7 +13,7 @@ from airshed.functions.exprs import aqi_subindex, bucketize, risk_score
 from airshed.operators.changes import apply_changes
 from airshed.operators.fallback import with_fallback
 from airshed.operators.html import html_items
-from airshed.operators.nested import flatten_arrays, flatten_latest
+from airshed.operators.nested import as_list, flatten_arrays, flatten_latest
 from airshed.operators.partitioning import spread
 from airshed.operators.quality import Rule, aqi_range_rule, run_rules
 from airshed.plans.check_staging import CODE_OF_TYPE, map_lit, ntz, sql_case, sround, station_places, table
@@ -138,7 +138,14 @@ where e.event_type in ('click', 'view', 'purchase')
 # Q27: parallel arrays zipped back to rows, short array -> NULL
 # ---------------------------------------------------------------------------
 
+HOURLY_DOCS = ("array<struct<user_id: bigint, hourly: struct<time: array<timestamp_ntz>, value: array<double>, "
+               "event_type: array<string>>>>")
+
+
 def q27_zip_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parallel-array responses per station block: odd blocks have a short
+    value array and arrive wrapped in a list (the single-object / list
+    shapes of one feed, N6); both are normalised, parsed and zipped."""
     ev = table(spark, sf_dir, "events").withColumn("chunk", F.expr(f"event_id div {DOC_CHUNK}"))
     g = ev.groupBy("user_id", "chunk").agg(
         F.sort_array(F.collect_list(F.struct("event_id", "ts", "value", "event_type"))).alias("r"))
@@ -147,8 +154,11 @@ def q27_zip_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("r", lambda x: x["ts"]).alias("time"),
         F.when(F.col("chunk") % 2 == 1, F.slice(values, 1, F.size("r") - 1)).otherwise(values).alias("value"),
         F.transform("r", lambda x: x["event_type"]).alias("event_type"))
-    flat = flatten_arrays(g.select("user_id", hourly.alias("hourly")), "hourly", "time", ["value", "event_type"],
-                          keep=["user_id"])
+    micros = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}  # keep microseconds through JSON
+    obj = F.to_json(F.struct("user_id", hourly.alias("hourly")), micros)
+    doc = F.when(F.col("chunk") % 2 == 1, F.concat(F.lit("["), obj, F.lit("]"))).otherwise(obj)
+    parsed = g.select(F.explode(F.from_json(as_list(doc), HOURLY_DOCS, micros)).alias("d")).select("d.*")
+    flat = flatten_arrays(parsed, "hourly", "time", ["value", "event_type"], keep=["user_id"])
     return flat.select("user_id", ntz("time").alias("time"), "value", "event_type")
 
 
