@@ -84,10 +84,14 @@ def dlq_envelope(invalid: DataFrame, json_col: str, rejected_at: Column, topic:
         topic.alias("source_topic"), partition.alias("source_partition"), offset.alias("source_offset"))
 
 
-def valid_output(valid: DataFrame, validated_at: Column) -> DataFrame:
-    """Valid message with validation metadata."""
-    return valid.select("message.*", validated_at.cast("string").alias("_validated_at"),
-                        F.lit("valid").alias("_validation_status"))
+def valid_output(valid: DataFrame, validated_at: Column,
+                 defaults: dict[str, str] = rules.MESSAGE_DEFAULTS) -> DataFrame:
+    """P11 + ST6: valid message with the contract's defaults for optional
+    fields (country, unit, source) and validation metadata."""
+    out = valid.select("message.*")
+    out = out.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in defaults.items() if k in out.columns})
+    return out.select("*", validated_at.cast("string").alias("_validated_at"),
+                      F.lit("valid").alias("_validation_status"))
 
 
 def keyed_json(df: DataFrame, key_cols: Sequence[str] = ("location_id", "parameter")) -> DataFrame:
@@ -129,22 +133,23 @@ def _log_stats(batch_id: int, stats: dict) -> None:
 
 
 def route(stream: DataFrame, valid_path: str, dlq_path: str, checkpoint: str,
-          json_col: str = "value", topic: str = "raw-air-quality",
+          json_col: str = "value", topic: str | Column = "raw-air-quality",
           position: tuple[Column, Column] | None = None,
           trigger: dict | None = None, fmt: str = "json",
           on_batch: Callable[[int, dict], None] | None = _log_stats) -> StreamingQuery:
     """T-24: validate a stream and write valid rows / dead letters.
 
     ``position`` gives (partition, offset) columns of the source (Kafka:
-    ``partition``, ``offset``); for files the file path and -1 are used.
-    Progress (ST5/A10): the input row count of every micro-batch is an
+    ``partition``, ``offset``; ``topic`` may be the ``topic`` column); for
+    files the file path and -1 are used. Progress (ST5/A10): the input row count of every micro-batch is an
     observed metric in ``StreamingQueryProgress.observedMetrics``, and
     ``on_batch(batch_id, stats)`` receives the valid/invalid counts and
     pass rate, computed from the already persisted batch.
     """
     part, off = position or (F.col("_metadata.file_path"), F.lit(-1).cast("long"))
+    src_topic = F.lit(topic) if isinstance(topic, str) else topic
     enriched = (stream.select("*", part.cast("string").alias("_src_partition"),
-                              off.cast("long").alias("_src_offset"))
+                              off.cast("long").alias("_src_offset"), src_topic.alias("_src_topic"))
                       .observe("route_input", F.count(F.lit(1)).alias("rows")))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -155,7 +160,7 @@ def route(stream: DataFrame, valid_path: str, dlq_path: str, checkpoint: str,
             now = F.current_timestamp()
             valid_output(checked.filter(F.col("status") == "valid"), now) \
                 .write.mode("overwrite").format(fmt).save(f"{valid_path}/batch_id={batch_id}")
-            dlq_envelope(checked.filter(F.col("status") == "invalid"), json_col, now, F.lit(topic),
+            dlq_envelope(checked.filter(F.col("status") == "invalid"), json_col, now, F.col("_src_topic"),
                          F.col("_src_partition"), F.col("_src_offset")) \
                 .write.mode("overwrite").format(fmt).save(f"{dlq_path}/batch_id={batch_id}")
             if on_batch is not None:

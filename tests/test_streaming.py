@@ -80,6 +80,7 @@ def test_route_dual_sink_and_resume(spark, tmp_path):
     assert spark.read.json(dlq).count() == 9 + 7
     ok = spark.read.json(valid).first()
     assert ok["_validation_status"] == "valid" and ok["_validated_at"]
+    assert (ok["country"], ok["unit"], ok["source"]) == ("VN", "µg/m³", "openaq")   # contract defaults
 
 
 def test_keyed_json_and_counts(spark):
