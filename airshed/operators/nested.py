@@ -44,11 +44,18 @@ def flatten_latest(df: DataFrame, doc_col: str = "doc",
     The sensor id -> parameter lookup is a map built inside the document
     (``map_from_entries``), so the lookup never leaves the row. Missing
     sensors give an empty name and are dropped by the target filter; the
-    measurement time is either text or an object with ``utc``.
-    ``locality`` falls back to ``city``.
+    measurement time is either text or an object with ``utc``. A missing
+    ``locality`` falls back to ``city`` (a null one stays null) and a
+    missing name becomes 'Unknown'.
     """
-    parsed = df.select(*keep, F.from_json(F.col(doc_col), LOCATION_SCHEMA).alias("d"))
+    parsed = df.select(*keep, F.from_json(F.col(doc_col), LOCATION_SCHEMA).alias("d"),
+                       F.try_parse_json(F.col(doc_col)).alias("_v"))
     loc = F.col("d.location")
+    lv = F.col("_v")
+    # name defaults only when missing; a locality key (even null) wins over city
+    name = get_or(lv, "$.location.name", "string", F.lit("Unknown"))
+    city = F.when(_present(lv, "$.location.locality"), loc["locality"]) \
+        .otherwise(get_or(lv, "$.location.city", "string", F.lit("")))
     sensor_map = F.map_from_entries(F.transform(
         F.filter(loc["sensors"], lambda s: s["id"].isNotNull() & s["parameter"].isNotNull()),
         # named_struct: aliases inside a lambda would not name the fields
@@ -59,8 +66,8 @@ def flatten_latest(df: DataFrame, doc_col: str = "doc",
     rows = parsed.select(
         *keep,
         loc["id"].alias("location_id"),
-        F.coalesce(loc["name"], F.lit("Unknown")).alias("location_name"),
-        F.coalesce(loc["locality"], loc["city"], F.lit("")).alias("city"),
+        name.alias("location_name"),
+        city.alias("city"),
         loc["coordinates"]["latitude"].alias("latitude"),
         loc["coordinates"]["longitude"].alias("longitude"),
         sensor_map.alias("_sensors"),
@@ -78,30 +85,38 @@ def flatten_latest(df: DataFrame, doc_col: str = "doc",
     return out.filter(F.col("parameter").isin(list(targets)))
 
 
-PARAMETERS_SCHEMA = """
-struct<id: bigint, name: string, city: string,
-       coordinates: struct<latitude: double, longitude: double>,
-       parameters: array<struct<parameter: string, lastValue: double, unit: string, lastUpdated: string>>>
-"""
+def _present(v: Column, path: str) -> Column:
+    """The key exists (a JSON null counts as present)."""
+    return F.try_variant_get(v, path, "variant").isNotNull()
+
+
+def get_or(v: Column, path: str, type_: str, default: Column) -> Column:
+    """Value at ``path`` as ``type_``; ``default`` only when the key is
+    missing — a JSON null stays NULL (dictionary ``get`` semantics)."""
+    return F.when(_present(v, path), F.try_variant_get(v, path, type_)).otherwise(default)
 
 
 def flatten_parameters(df: DataFrame, doc_col: str = "doc", produced_at: Column | None = None) -> DataFrame:
-    """One stream message per location x parameter, with defaults
-    (a JSON null and a missing key both become the default here)."""
-    d = F.from_json(F.col(doc_col), PARAMETERS_SCHEMA)
+    """One stream message per location x parameter. Defaults (id 0,
+    name/city 'Unknown', coordinates 0.0, parameter 'unknown', value 0.0,
+    unit, time = now) apply only to missing keys; JSON nulls stay NULL."""
     now = produced_at if produced_at is not None else F.current_timestamp().cast("string")
-    rows = df.select(d.alias("d")).select("d.*", F.explode("d.parameters").alias("p"))
+    v = F.try_parse_json(F.col(doc_col))
+    rows = df.select(v.alias("_v"), F.explode(F.try_variant_get(v, "$.parameters", "array<variant>")).alias("_p"))
+    lv, pv = F.col("_v"), F.col("_p")
+    updated = get_or(pv, "$.lastUpdated", "string", now)
     return rows.select(
-        F.col("id").alias("location_id"),
-        F.coalesce(F.col("name"), F.lit("Unknown")).alias("location_name"),
-        F.coalesce(F.col("city"), F.lit("Unknown")).alias("city"),
+        get_or(lv, "$.id", "bigint", F.lit(0).cast("bigint")).alias("location_id"),
+        get_or(lv, "$.name", "string", F.lit("Unknown")).alias("location_name"),
+        get_or(lv, "$.city", "string", F.lit("Unknown")).alias("city"),
         F.lit(rules.MESSAGE_DEFAULTS["country"]).alias("country"),
-        F.col("coordinates.latitude").alias("latitude"),
-        F.col("coordinates.longitude").alias("longitude"),
-        F.coalesce(F.col("p.parameter"), F.lit("Unknown")).alias("parameter"),
-        F.coalesce(F.col("p.lastValue"), F.lit(0.0)).alias("value"),
-        F.coalesce(F.col("p.unit"), F.lit(rules.MESSAGE_DEFAULTS["unit"])).alias("unit"),
-        F.coalesce(F.col("p.lastUpdated"), now).alias("date_utc"),
+        get_or(lv, "$.coordinates.latitude", "double", F.lit(0.0)).alias("latitude"),
+        get_or(lv, "$.coordinates.longitude", "double", F.lit(0.0)).alias("longitude"),
+        get_or(pv, "$.parameter", "string", F.lit("unknown")).alias("parameter"),
+        get_or(pv, "$.lastValue", "double", F.lit(0.0)).alias("value"),
+        get_or(pv, "$.unit", "string", F.lit(rules.MESSAGE_DEFAULTS["unit"])).alias("unit"),
+        updated.alias("date_utc"),
+        updated.alias("date_local"),
         F.lit(rules.MESSAGE_DEFAULTS["source"]).alias("source"),
         now.alias("produced_at"))
 

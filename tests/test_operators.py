@@ -23,17 +23,23 @@ def test_flatten_latest_sensor_lookup_and_datetime_shapes(spark):
     got = rows(nested.flatten_latest(df), "location_id", "city", "parameter", "value", "unit", "last_updated")
     assert got == [(7, "Hanoi", "pm25", 12.5, "µg/m³", "2024-04-12T03:00:00Z"),
                    (7, "Hanoi", "pm25", 13.5, "µg/m³", "2024-04-12T04:00:00Z")]
+    doc["location"]["locality"] = None        # present but null: stays null, no fallback to city
+    doc["location"].pop("name")
+    df2 = spark.createDataFrame([(json.dumps(doc),)], "doc string")
+    assert rows(nested.flatten_latest(df2), "location_name", "city")[0] == ("Unknown", None)
 
 
-def test_flatten_parameters_defaults(spark):
-    doc = {"id": 3, "name": None, "city": "Da Nang", "coordinates": {"latitude": 16.0, "longitude": 108.2},
-           "parameters": [{"parameter": "pm10", "lastValue": 40.0, "unit": "µg/m³", "lastUpdated": "t1"},
+def test_flatten_parameters_defaults_only_for_missing_keys(spark):
+    doc = {"id": 3, "name": None, "coordinates": {"latitude": 16.0},
+           "parameters": [{"parameter": "pm10", "lastValue": 40.0, "unit": "ppm", "lastUpdated": "t1"},
                           {"lastValue": None}]}
-    df = spark.createDataFrame([(json.dumps(doc),)], "doc string")
+    df = spark.createDataFrame([(json.dumps(doc),), ('{"id": 4, "parameters": []}',), ('{"id": 5}',)], "doc string")
     got = rows(nested.flatten_parameters(df, produced_at=F.lit("now")),
-               "location_name", "parameter", "value", "unit", "date_utc", "country", "source")
-    assert got == [("Unknown", "pm10", 40.0, "µg/m³", "t1", "VN", "openaq"),
-                   ("Unknown", "Unknown", 0.0, "µg/m³", "now", "VN", "openaq")]
+               "location_id", "location_name", "city", "latitude", "longitude", "parameter", "value", "unit",
+               "date_utc", "date_local", "country", "source")
+    # JSON null name stays NULL; missing city/longitude/parameter/unit/time take the defaults
+    assert got == [(3, None, "Unknown", 16.0, 0.0, "pm10", 40.0, "ppm", "t1", "t1", "VN", "openaq"),
+                   (3, None, "Unknown", 16.0, 0.0, "unknown", None, "µg/m³", "now", "now", "VN", "openaq")]
 
 
 def test_flatten_arrays_short_array_and_list_shape(spark):
