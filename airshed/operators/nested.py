@@ -57,7 +57,8 @@ def flatten_latest(df: DataFrame, doc_col: str = "doc",
     city = F.when(_present(lv, "$.location.locality"), loc["locality"]) \
         .otherwise(get_or(lv, "$.location.city", "string", F.lit("")))
     sensor_map = F.map_from_entries(F.transform(
-        F.filter(loc["sensors"], lambda s: s["id"].isNotNull() & s["parameter"].isNotNull()),
+        # sensors with a falsy id (missing or 0) or no parameter are skipped
+        F.filter(loc["sensors"], lambda s: s["id"].isNotNull() & (s["id"] != 0) & s["parameter"].isNotNull()),
         # named_struct: aliases inside a lambda would not name the fields
         lambda s: F.named_struct(
             F.lit("key"), s["id"],
@@ -139,15 +140,17 @@ ELEMENTS_SCHEMA = ("struct<elements: array<struct<type: string, id: bigint, lat:
 
 
 def flatten_elements(df: DataFrame, doc_col: str = "doc", element_type: str = "node",
-                     default_amenity: str = "unknown") -> DataFrame:
-    """N5 + F17: map elements of one type -> points with tag lookups."""
+                     default_name: str = "Unknown") -> DataFrame:
+    """N5 + F17: map elements of one type -> points with tag lookups. The
+    amenity tag has no default; a missing name tag becomes 'Unknown' (a
+    null one stays null)."""
     d = F.from_json(F.col(doc_col), ELEMENTS_SCHEMA)
     rows = df.select(F.explode(d["elements"]).alias("e")).filter(F.col("e.type") == element_type)
-    tags = F.col("e.tags")
+    tags = F.coalesce(F.col("e.tags"), F.create_map().cast("map<string,string>"))
+    name = F.when(F.map_contains_key(tags, "name"), F.element_at(tags, F.lit("name"))).otherwise(F.lit(default_name))
     return rows.select(
         F.col("e.id").alias("node_id"), F.col("e.lat").alias("latitude"), F.col("e.lon").alias("longitude"),
-        F.coalesce(F.element_at(tags, F.lit("amenity")), F.lit(default_amenity)).alias("amenity_type"),
-        F.coalesce(F.element_at(tags, F.lit("name")), F.lit("Unknown")).alias("name"))
+        F.element_at(tags, F.lit("amenity")).alias("amenity_type"), name.alias("name"))
 
 
 def zip_by_position(left: DataFrame, left_array: str, right: DataFrame, right_array: str,

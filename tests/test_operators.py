@@ -57,10 +57,12 @@ def test_flatten_arrays_short_array_and_list_shape(spark):
 def test_flatten_elements_nodes_only(spark):
     doc = {"elements": [{"type": "node", "id": 1, "lat": 21.0, "lon": 105.8, "tags": {"amenity": "hospital"}},
                         {"type": "way", "id": 2, "lat": 21.1, "lon": 105.9, "tags": {"name": "W"}},
-                        {"type": "node", "id": 3, "lat": 21.2, "lon": 105.7}]}
+                        {"type": "node", "id": 3, "lat": 21.2, "lon": 105.7},
+                        {"type": "node", "id": 4, "lat": 21.3, "lon": 105.6, "tags": {"name": None}}]}
     df = spark.createDataFrame([(json.dumps(doc),)], "doc string")
     got = rows(nested.flatten_elements(df))
-    assert got == [(1, 21.0, 105.8, "hospital", "Unknown"), (3, 21.2, 105.7, "unknown", "Unknown")]
+    assert got == [(1, 21.0, 105.8, "hospital", "Unknown"), (3, 21.2, 105.7, None, "Unknown"),
+                   (4, 21.3, 105.6, None, None)]
 
 
 def test_zip_by_position_stops_at_shorter(spark):
