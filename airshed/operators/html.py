@@ -19,13 +19,15 @@ _FLAGS = "(?is)"
 
 
 def strip_tags(c: Column) -> Column:
-    """Visible text of an HTML fragment: tags removed, common entities
-    decoded, whitespace collapsed and trimmed."""
-    t = F.regexp_replace(c, r"(?s)<[^>]*>", "")
-    for ent, ch in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+    """Visible text of an HTML fragment the way a parser's stripped text
+    is built: every text node is stripped and the nodes are joined with
+    no separator (``Hà <b>Nội</b>`` -> ``HàNội``); whitespace inside a
+    node is kept. Common entities are decoded."""
+    t = F.regexp_replace(c, r"(?s)\s*<[^>]*>\s*", "")
+    for ent, ch in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
                     ("&amp;", "&")):
         t = F.replace(t, F.lit(ent), F.lit(ch))
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+    return F.regexp_replace(t, r"^[\s\x{A0}]+|[\s\x{A0}]+$", "")
 
 
 def _first_match(html: Column, pattern: str) -> Column:

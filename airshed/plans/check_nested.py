@@ -180,11 +180,11 @@ def q28_html_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _strip_sql(x: str) -> str:
-    t = f"regexp_replace({x}, '(?s)<[^>]*>', '', 'g')"
-    for ent, ch in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
+    t = f"regexp_replace({x}, '(?s)\\s*<[^>]*>\\s*', '', 'g')"
+    for ent, ch in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
                     ("&amp;", "&")):
         t = f"replace({t}, '{ent}', '{ch}')"
-    return f"trim(regexp_replace({t}, '\\s+', ' ', 'g'))"
+    return f"regexp_replace({t}, '^[\\s\\x{{A0}}]+|[\\s\\x{{A0}}]+$', '', 'g')"
 
 
 _ITEM_START = r'<div[^>]*class="[^"]*\bitem\b[^"]*"[^>]*>'

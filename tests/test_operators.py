@@ -190,3 +190,8 @@ def test_replace_table_partitions_in_one_call(spark, tmp_path):
     back = spark.read.parquet(path)
     assert back.count() == 1 and set(back.columns) == {"v", "year", "month", "day"}
     assert (tmp_path / "gold" / "year=2024" / "month=1" / "day=1").exists()
+
+
+def test_strip_tags_joins_stripped_text_nodes(spark):
+    df = spark.createDataFrame([("<td>Hà <b>Nội</b></td>",), ("<p>  a  b </p>",), ("x &amp; <i> y </i>",)], "h string")
+    assert [r[0] for r in df.select(html.strip_tags(F.col("h"))).collect()] == ["HàNội", "a  b", "x &y"]
