@@ -68,25 +68,38 @@ def html_tables(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...]
 
 
 ITEM_START = r"<div[^>]*class=\"[^\"]*\bitem\b[^\"]*\"[^>]*>"
+# fallback layout: any div whose class contains 'news' or 'item'
+FALLBACK_START = r"<div[^>]*class=\"[^\"]*(?:news|item)[^\"]*\"[^>]*>"
 LIST_ENTRY = r"<li[^>]*>(.*?)</li>"
 
 
+def _blocks_after(html: Column, start: str) -> Column:
+    """Text from each opening tag matching ``start`` to the next one."""
+    parts = F.split(html, "(?i)" + start)
+    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+
+
 def html_items(pages: DataFrame, html_col: str = "html", url_col: str = "url",
                base_url: str | Column | None = None, keep: tuple[str, ...] = ("page_id",),
-               item_start: str = ITEM_START, fallback_pattern: str = LIST_ENTRY) -> DataFrame:
+               item_start: str = ITEM_START, fallback_start: str = FALLBACK_START,
+               items_pattern: str | None = None) -> DataFrame:
     """H2 + F20: items with title, link, summary and date.
 
-    Items are the ``item`` blocks of the list layout (the text from one item
-    opening to the next), else list entries (``li``). The title is the
-    item's heading link, else its first link ('N/A' when none); relative
-    links are made absolute against ``base_url`` (default: scheme and host
-    of the page URL). Items with no title and no summary are skipped.
+    Items are the ``item`` blocks of the list layout (the text from one
+    item opening to the next), else the blocks of any div whose class
+    contains 'news' or 'item'. ``items_pattern`` (a regex with one group)
+    replaces both for another layout, e.g. ``LIST_ENTRY`` for ``li``
+    entries. The title is the item's heading link, else its first link
+    ('N/A' when none); relative links are made absolute against
+    ``base_url`` (default: scheme and host of the page URL). Items with no
+    title and no summary are skipped.
     """
     html = F.col(html_col)
-    parts = F.split(html, "(?i)" + item_start)
-    primary = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    fallback = F.regexp_extract_all(html, F.lit(_FLAGS + fallback_pattern), 1)
-    items = F.when(F.size(parts) > 1, primary).otherwise(fallback)
+    if items_pattern is not None:
+        items = F.regexp_extract_all(html, F.lit(_FLAGS + items_pattern), 1)
+    else:
+        primary = _blocks_after(html, item_start)
+        items = F.when(F.size(primary) > 0, primary).otherwise(_blocks_after(html, fallback_start))
     base = site_root(F.col(url_col)) if base_url is None else (
         F.lit(base_url) if isinstance(base_url, str) else base_url)
     ex = pages.select(*keep, base.alias("_base"), F.posexplode(items).alias("item_no", "_item"))

@@ -12,7 +12,7 @@ from airshed import rules
 from airshed.functions.exprs import aqi_subindex, bucketize, risk_score
 from airshed.operators.changes import apply_changes
 from airshed.operators.fallback import with_fallback
-from airshed.operators.html import html_items
+from airshed.operators.html import LIST_ENTRY, html_items
 from airshed.operators.nested import as_list, flatten_arrays, flatten_latest
 from airshed.operators.partitioning import spread
 from airshed.operators.quality import Rule, aqi_range_rule, run_rules
@@ -176,7 +176,9 @@ from e join l using (user_id, chunk)
 # ---------------------------------------------------------------------------
 
 def q28_html_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_items(spread(table(spark, sf_dir, "pages")))
+    """The pages keep their list in ``li`` entries: that layout's selector
+    is passed as configuration."""
+    return html_items(spread(table(spark, sf_dir, "pages")), items_pattern=LIST_ENTRY)
 
 
 def _strip_sql(x: str) -> str:
@@ -187,12 +189,9 @@ def _strip_sql(x: str) -> str:
     return f"regexp_replace({t}, '^[\\s\\x{{A0}}]+|[\\s\\x{{A0}}]+$', '', 'g')"
 
 
-_ITEM_START = r'<div[^>]*class="[^"]*\bitem\b[^"]*"[^>]*>'
 Q28 = f"""
-with p as (select page_id, url, regexp_split_to_array(html, '(?i){_ITEM_START}') as parts,
-                  regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1) as lis from pages),
-q as (select page_id, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)', 1) as base,
-             case when len(parts) > 1 then parts[2:] else lis end as items from p),
+with q as (select page_id, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)', 1) as base,
+                  regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1) as items from pages),
 x as (select page_id, base, unnest(items) as item, unnest(range(len(items))) as item_no from q),
 a as (select *, case when length(regexp_extract(item, '(?is)<h3[^>]*>\\s*(<a\\b[^>]*>.*?</a>)', 1)) > 0
                      then regexp_extract(item, '(?is)<h3[^>]*>\\s*(<a\\b[^>]*>.*?</a>)', 1)

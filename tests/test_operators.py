@@ -100,14 +100,17 @@ def test_html_tables_selector_header_short_and_numeric(spark):
 
 
 def test_html_items_list_layout_and_fallback(spark):
-    pages = spark.createDataFrame([(1, "https://nchmf.gov.vn/tin", LIST_PAGE),
+    fallback_page = '<div class="latest-news"><a href="/b">Tin B</a><div class="summary">S</div></div><p>x</p>'
+    pages = spark.createDataFrame([(1, "https://nchmf.gov.vn/tin", LIST_PAGE), (3, "https://nchmf.gov.vn/", fallback_page),
                                    (2, "http://x.org/p?q=1", '<ul><li><a href="/a">A</a></li><li>no link</li></ul>')],
                                   "page_id long, url string, html string")
     got = rows(html.html_items(pages), "page_id", "title", "summary", "publish_date", "detail_url")
     assert got == [(1, "Tin bão số 3", "Bão mạnh", "10:00 01/05/2026", "https://nchmf.gov.vn/canh-bao/1"),
                    (1, "Lũ quét", "", "", "https://other.vn/x"),
                    (1, "N/A", "Chỉ có tóm tắt", "", ""),
-                   (2, "A", "", "", "http://x.org/a")]
+                   (3, "Tin B", "S", "", "https://nchmf.gov.vn/b")]        # class-regex fallback; page 2: none
+    lis = rows(html.html_items(pages.filter("page_id = 2"), items_pattern=html.LIST_ENTRY), "title", "detail_url")
+    assert lis == [("A", "http://x.org/a")]
     fixed = rows(html.html_items(pages.filter("page_id = 1"), base_url="https://nchmf.gov.vn"), "detail_url")
     assert fixed[0] == ("https://nchmf.gov.vn/canh-bao/1",)
 
