@@ -34,15 +34,26 @@ def _first_match(html: Column, pattern: str) -> Column:
     return F.regexp_extract(html, _FLAGS + pattern, 1)
 
 
+def _class_token(cls: str) -> str:
+    """Regex for a tag whose class attribute holds the token ``cls``."""
+    return rf"class=\"(?:[^\"]*\s)?{cls}(?:\s[^\"]*)?\""
+
+
 def html_table_rows(pages: DataFrame, html_col: str = "html", table_class: str = "table-striped",
                     keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """H1 first half: (page, row_no, cells[]) of the first table with the
-    class, else of the first table on the page."""
+    """H1 first half: (page, row_no, cells[]). Rows are the ``tbody`` rows
+    of every table with the class; when there are none, all rows of the
+    first table with the class, else of the first table on the page."""
     html = F.col(html_col)
-    classed = _first_match(html, rf"(<table[^>]*class=\"[^\"]*\b{table_class}\b[^\"]*\"[^>]*>.*?</table>)")
-    anyt = _first_match(html, r"(<table[^>]*>.*?</table>)")
-    table = F.when(F.length(classed) > 0, classed).otherwise(anyt)
-    rows = F.regexp_extract_all(table, F.lit(_FLAGS + r"<tr[^>]*>(.*?)</tr>"), 1)
+    tables = F.regexp_extract_all(html, F.lit(_FLAGS + rf"(<table[^>]*{_class_token(table_class)}[^>]*>.*?</table>)"), 1)
+    bodies = F.flatten(F.transform(tables, lambda t: F.regexp_extract_all(
+        t, F.lit(_FLAGS + r"<tbody[^>]*>(.*?)</tbody>"), 1)))
+    body_rows = F.flatten(F.transform(bodies, lambda b: F.regexp_extract_all(
+        b, F.lit(_FLAGS + r"<tr[^>]*>(.*?)</tr>"), 1)))
+    first = F.when(F.size(tables) > 0, F.element_at(tables, 1)).otherwise(
+        _first_match(html, r"(<table[^>]*>.*?</table>)"))
+    all_rows = F.regexp_extract_all(first, F.lit(_FLAGS + r"<tr[^>]*>(.*?)</tr>"), 1)
+    rows = F.when(F.size(body_rows) > 0, body_rows).otherwise(all_rows)
     exploded = pages.select(*keep, F.posexplode(rows).alias("row_no", "row_html"))
     cells = F.transform(F.regexp_extract_all(F.col("row_html"), F.lit(_FLAGS + r"<t[dh][^>]*>(.*?)</t[dh]>"), 1),
                         strip_tags)

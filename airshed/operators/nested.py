@@ -124,15 +124,13 @@ def flatten_parameters(df: DataFrame, doc_col: str = "doc", produced_at: Column
 
 def flatten_arrays(df: DataFrame, struct_col: str, time_field: str, fields: Sequence[str],
                    keep: Sequence[str] = ()) -> DataFrame:
-    """Parallel arrays -> one row per time step. A shorter value
-    array yields NULL at the missing positions; rows stop at the end of the
-    time array (``arrays_zip`` pads to the longest, so padded time slots
-    are dropped)."""
+    """Parallel arrays -> one row per entry of the time array (a
+    NULL time entry still gives a row); a shorter value array yields NULL
+    at the missing positions, a longer one is cut at the time array."""
     s = F.col(struct_col)
-    zipped = F.arrays_zip(*[s[f].alias(f) for f in [time_field, *fields]])
-    return (df.select(*keep, F.explode(zipped).alias("_z"))
-              .filter(F.col(f"_z.{time_field}").isNotNull())
-              .select(*keep, *[F.col(f"_z.{f}").alias(f) for f in [time_field, *fields]]))
+    rows = df.select(*keep, s.alias("_s"), F.posexplode(s[time_field]).alias("_i", time_field))
+    return rows.select(*keep, time_field,
+                       *[F.get(F.col("_s")[f], F.col("_i")).alias(f) for f in fields])
 
 
 ELEMENTS_SCHEMA = ("struct<elements: array<struct<type: string, id: bigint, lat: double, lon: double, "

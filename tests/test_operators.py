@@ -44,11 +44,13 @@ def test_flatten_parameters_defaults_only_for_missing_keys(spark):
 
 def test_flatten_arrays_short_array_and_list_shape(spark):
     one = {"hourly": {"time": ["t0", "t1", "t2"], "temperature_2m": [30.0, 31.0], "rh": [70, 71, 72, 73]}}
-    df = spark.createDataFrame([("HN", json.dumps(one))], "city string, doc string") \
+    two = {"hourly": {"time": ["u0", None], "temperature_2m": [1.0, 2.0], "rh": []}}
+    df = spark.createDataFrame([("HN", json.dumps(one)), ("DN", json.dumps(two))], "city string, doc string") \
         .withColumn("h", F.from_json("doc", "struct<hourly: struct<time: array<string>, "
                                             "temperature_2m: array<double>, rh: array<int>>>")["hourly"])
     got = rows(nested.flatten_arrays(df, "h", "time", ["temperature_2m", "rh"], keep=["city"]))
-    assert got == [("HN", "t0", 30.0, 70), ("HN", "t1", 31.0, 71), ("HN", "t2", None, 72)]
+    assert got == [("HN", "t0", 30.0, 70), ("HN", "t1", 31.0, 71), ("HN", "t2", None, 72),
+                   ("DN", "u0", 1.0, None), ("DN", None, 2.0, None)]
     shapes = spark.createDataFrame([('{"a": 1}',), ('[{"a": 1}, {"a": 2}]',)], "doc string")
     assert [r[0] for r in shapes.select(nested.as_list(F.col("doc"))).collect()] == \
         ['[{"a":1}]', '[{"a":1},{"a":2}]']
@@ -90,6 +92,15 @@ LIST_PAGE = """<div class="news-list">
 </div>"""
 
 
+def test_html_tables_tbody_rows_of_all_striped_tables(spark):
+    two = ('<table class="table-striped"><thead><tr><td>Head</td><td>1</td><td>x</td><td>y</td></tr></thead>'
+           '<tbody><tr><td>A</td><td>1</td><td>c</td><td>t</td></tr></tbody></table>'
+           '<table class="x table-striped"><tbody><tr><td>B</td><td>2</td><td>c</td><td>t</td></tr></tbody></table>'
+           '<table class="not-table-striped-x"><tbody><tr><td>C</td><td>3</td><td>c</td><td>t</td></tr></tbody></table>')
+    pages = spark.createDataFrame([(1, "u", two)], "page_id long, url string, html string")
+    assert [r[0] for r in html.html_tables(pages).select("station_name").collect()] == ["A", "B"]
+
+
 def test_html_tables_selector_header_short_and_numeric(spark):
     pages = spark.createDataFrame([(1, "https://cem.gov.vn/", TABLE_PAGE), (2, "https://cem.gov.vn/b", PLAIN_TABLE_PAGE)],
                                   "page_id long, url string, html string")
