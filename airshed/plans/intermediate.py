@@ -88,14 +88,18 @@ def river_station_key(rivers: DataFrame) -> F.Column:
 
 def flood_risk(stg_flood: DataFrame, rivers: DataFrame,
                point_aliases: Mapping[str, str] | None = None,
-               broadcast_seed: bool | str = True, seed_key=None) -> DataFrame:
+               broadcast_seed: bool | str = True, seed_key=None,
+               river_aliases: Mapping[str, str] | None = None) -> DataFrame:
     """Per day x city: average discharge and its capped 0-30 component.
 
     The reference seed is a fixed-size table (one row per monitoring point)
     and is broadcast, so readings never shuffle for this join; a station
     table that grows with the data passes ``broadcast_seed="auto"`` (AQE
     measures it) or ``"check"``. ``seed_key`` is the seed-side key matched
-    against the readings' river name (default ``name (point)``).
+    against the readings' river name (default ``name (point)``);
+    ``river_aliases`` renames readings' river names first (spellings that
+    differ from the seed), ``point_aliases`` maps monitoring points to
+    province names.
     """
     key = river_station_key(rivers) if seed_key is None else seed_key
     seed = rivers.select(key.alias("_river_key"), F.col("monitoring_point").alias("city_name"))
@@ -103,6 +107,10 @@ def flood_risk(stg_flood: DataFrame, rivers: DataFrame,
         lookup = F.create_map(*[F.lit(v) for kv in point_aliases.items() for v in kv])
         seed = seed.withColumn("city_name", F.coalesce(F.element_at(lookup, F.col("city_name")),
                                                        F.col("city_name")))
+    if river_aliases:
+        names = F.create_map(*[F.lit(v) for kv in river_aliases.items() for v in kv])
+        stg_flood = stg_flood.withColumn("river_name", F.coalesce(F.element_at(names, F.col("river_name")),
+                                                                  F.col("river_name")))
     prep = join_dim(stg_flood, seed, stg_flood["river_name"] == seed["_river_key"],
                     broadcast=broadcast_seed)
     return (prep.groupBy(F.date_trunc("day", "observed_at").alias("risk_date"), "city_name")
@@ -161,8 +169,9 @@ def int_environmental_risk(daily_aqi: DataFrame, stg_flood: DataFrame, rivers: D
                            stg_fire: DataFrame,
                            point_aliases: Mapping[str, str] | None = None,
                            confidence: Iterable[str] = rules.FIRE_CONFIDENCE,
-                           broadcast_seed: bool | str = True, seed_key=None) -> DataFrame:
+                           broadcast_seed: bool | str = True, seed_key=None,
+                           river_aliases: Mapping[str, str] | None = None) -> DataFrame:
     """T-11: composite 0-100 risk per day and province."""
     return combine_risk(aqi_risk(daily_aqi),
-                        flood_risk(stg_flood, rivers, point_aliases, broadcast_seed, seed_key),
+                        flood_risk(stg_flood, rivers, point_aliases, broadcast_seed, seed_key, river_aliases),
                         fire_risk(stg_fire, confidence))

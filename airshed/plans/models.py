@@ -40,7 +40,7 @@ def build_models(spark: SparkSession, bronze: Mapping[str, DataFrame],
     geo_features) and the seeds (default: packaged)."""
     seeds = dict(seeds or {n: seed_frame(spark, n) for n in ("vietnam_cities", "vietnam_rivers",
                                                               "pollutant_standards")})
-    aliases = point_aliases if point_aliases is not None else {"Huế": "Thừa Thiên Huế"}
+    aliases = point_aliases if point_aliases is not None else rules.RIVER_POINT_CITY_ALIASES
     m: dict[str, DataFrame] = {}
     for name, (source, fn) in STAGING.items():
         if source in bronze:
@@ -54,7 +54,8 @@ def build_models(spark: SparkSession, bronze: Mapping[str, DataFrame],
         m["int_disaster_impact"] = I.int_disaster_impact(m["stg_nchmf_disaster"], rules.SEVERITY_WEIGHTS_LITERAL)
     if {"int_daily_aqi_city", "stg_flood", "stg_fire_hotspot"} <= m.keys():
         m["int_environmental_risk"] = I.int_environmental_risk(
-            m["int_daily_aqi_city"], m["stg_flood"], seeds["vietnam_rivers"], m["stg_fire_hotspot"], aliases)
+            m["int_daily_aqi_city"], m["stg_flood"], seeds["vietnam_rivers"], m["stg_fire_hotspot"], aliases,
+            river_aliases=rules.RIVER_NAME_ALIASES)
     m["dim_location"] = M.dim_location(seeds["vietnam_cities"], seeds["vietnam_rivers"])
     m["dim_time"] = M.dim_time(spark)
     m["dim_pollutant"] = M.dim_pollutant(seeds["pollutant_standards"])

@@ -197,6 +197,12 @@ VIETNAM_BOX = (8.0, 24.0, 102.0, 110.0)
 QUERY_BOX = (8.18, 23.39, 102.14, 109.46)
 MESSAGE_DEFAULTS = {"country": "VN", "unit": "µg/m³", "source": "openaq"}
 
+# River readings' point names that differ from the seed key
+# 'river (monitoring point)', and monitoring points that differ from the
+# province names of the city seed.
+RIVER_NAME_ALIASES: dict[str, str] = {"Sông Sài Gòn (HCM)": "Sông Sài Gòn (Hồ Chí Minh)"}
+RIVER_POINT_CITY_ALIASES: dict[str, str] = {"Huế": "Thừa Thiên Huế"}
+
 # Fire confidence classes kept for the fire component.
 FIRE_CONFIDENCE = ["high", "nominal", "h", "n"]
 

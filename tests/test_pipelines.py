@@ -141,6 +141,19 @@ def test_environmental_risk_long_and_short_river_names(spark):
     assert float(hue["flood_risk_score"]) == 30.0 and hue["fire_risk_score"] == 0
 
 
+def test_all_feed_river_points_join_the_seed(spark):
+    feed_points = ["Sông Hồng (Hà Nội)", "Sông Hồng (Lào Cai)", "Sông Đà (Hòa Bình)", "Sông Mã (Thanh Hóa)",
+                   "Sông Cả (Nghệ An)", "Sông Hương (Huế)", "Sông Thu Bồn (Quảng Nam)", "Sông Ba (Phú Yên)",
+                   "Sông Đồng Nai (Đồng Nai)", "Sông Tiền (Tiền Giang)", "Sông Hậu (Cần Thơ)", "Sông Sài Gòn (HCM)"]
+    flood = spark.createDataFrame([(p, Decimal("100.00")) for p in feed_points], "river_name string, discharge_m3s decimal(12,2)") \
+        .withColumn("observed_at", F.lit("2024-04-12 00:00:00").cast("timestamp"))
+    out = I.flood_risk(flood, seed_frame(spark, "vietnam_rivers"), rules.RIVER_POINT_CITY_ALIASES,
+                       river_aliases=rules.RIVER_NAME_ALIASES)
+    cities = {r["city_name"] for r in out.collect()}
+    assert len(cities) == 12 and {"Hồ Chí Minh", "Thừa Thiên Huế"} <= cities
+    assert I.flood_risk(flood, seed_frame(spark, "vietnam_rivers")).count() == 11   # without the alias
+
+
 def test_disaster_impact_literal_weights_score_zero(spark):
     df = spark.createDataFrame([("storm", "extreme", "2024-01-01 10:00:00")] * 5,
                                "disaster_type string, severity_level string, t string") \
