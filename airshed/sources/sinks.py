@@ -8,6 +8,7 @@ same files instead of duplicating rows.
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,8 +97,9 @@ def run_log_row(spark: SparkSession, source: str, rows: int, path: str, status:
 def land(df: DataFrame, source: str, run_ts: datetime, mode: str, lake_path: str,
          log_path: str, text_path: str | None = None) -> DataFrame:
     """Land one batch: empty -> status EMPTY, nothing written; else add
-    lineage, append to the date-partitioned lake, optionally replace the
-    text table, and append one run-log row. Returns the log row.
+    lineage, append to the date-partitioned lake (failure -> FAILED),
+    optionally replace the text table (failure only logged), and append
+    one run-log row. Returns the log row.
 
     The row count comes from an observation on the write itself, so the
     batch is scanned once.
@@ -112,11 +114,17 @@ def land(df: DataFrame, source: str, run_ts: datetime, mode: str, lake_path: str
         observed = tagged.observe(obs, F.count(F.lit(1)).alias("rows"))
         try:
             path = write_partitioned(observed, f"{lake_path.rstrip('/')}/{source}", run_ts)
-            if text_path:
-                write_text_replace(tagged, f"{text_path.rstrip('/')}/{source}")
-            log = run_log_row(spark, source, obs.get.get("rows", 0), path, "SUCCESS", run_ts)
         except Exception:
+            logging.getLogger("airshed.land").exception("lake write failed for %s", source)
             log = run_log_row(spark, source, 0, "", "FAILED", run_ts)
+        else:
+            if text_path:
+                # the text copy is secondary: a failure is logged, the run stays SUCCESS
+                try:
+                    write_text_replace(tagged, f"{text_path.rstrip('/')}/{source}")
+                except Exception:
+                    logging.getLogger("airshed.land").exception("text table load failed for %s", source)
+            log = run_log_row(spark, source, obs.get.get("rows", 0), path, "SUCCESS", run_ts)
     log.write.mode("append").parquet(log_path)
     return log
 
