@@ -300,8 +300,8 @@ Q30 = f"""
 with e as (select event_id, {_FAULT_SQL} as fault, {sql_case('event_type', PARAM_OF_TYPE)} as param,
                   case when event_id % {NEGATIVE_EVERY} = 0 then -value else value end as v,
                   8.0 + (user_id % 20) as lat from events),
-r as (select case when fault in ('malformed_text', 'json_list') then 'malformed'
-                  when fault = 'no_location_id' then 'missing:location_id'
+r as (select case when fault = 'malformed_text' then 'malformed'
+                  when fault in ('json_list', 'no_location_id') then 'missing:location_id'
                   when fault in ('float_id', 'bool_id') then 'type:location_id'
                   when fault = 'null_city' then 'type:city'
                   when fault = 'text_value' then 'type:value'

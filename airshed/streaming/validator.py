@@ -51,8 +51,11 @@ def validate(df: DataFrame, json_col: str = "value",
     v = F.try_parse_json(F.col(json_col).cast("string"))
     parsed = df.withColumn("_v", v)
     pv = F.col("_v")
-    is_object = F.schema_of_variant(pv).startswith("OBJECT")
-    reason = F.when(pv.isNull() | ~is_object, F.lit("malformed"))
+    # unparseable text or a bare scalar is malformed; an array has no keys,
+    # so it fails on the first required field (as a membership test on a
+    # list would)
+    kind = F.schema_of_variant(pv)
+    reason = F.when(pv.isNull() | ~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), F.lit("malformed"))
     for name, kind in required:
         t = field_kind(pv, name)
         reason = reason.when(t.isNull(), F.lit(f"missing:{name}"))

@@ -42,7 +42,8 @@ CASES = [
     (msg(latitude=7.99), "box"),
     (msg(longitude=110.01), "box"),
     ("not json", "malformed"),
-    ("[1, 2]", "malformed"),
+    ("[1, 2]", "missing:location_id"),
+    ('"text"', "malformed"),
 ]
 
 
@@ -65,7 +66,7 @@ def test_route_dual_sink_and_resume(spark, tmp_path):
     seen = []
     q = V.route(stream, valid, dlq, ckpt, on_batch=lambda b, s: seen.append((b, s["valid_count"], s["invalid_count"])))
     q.awaitTermination()
-    assert seen == [(0, 1, 9)]
+    assert seen == [(0, 1, 9)]    # first file: CASES[:10]
     assert q.lastProgress["observedMetrics"]["route_input"]["rows"] == 10
     assert spark.read.json(valid).count() == 1
     dead = spark.read.json(dlq)
@@ -77,7 +78,7 @@ def test_route_dual_sink_and_resume(spark, tmp_path):
     _write_lines(src, "b.json", [m for m, _ in CASES[10:]])
     V.route(V.read_stream(spark, "text", src), valid, dlq, ckpt).awaitTermination()
     assert spark.read.json(valid).count() == 1 + 3
-    assert spark.read.json(dlq).count() == 9 + 7
+    assert spark.read.json(dlq).count() == 9 + 8
     ok = spark.read.json(valid).first()
     assert ok["_validation_status"] == "valid" and ok["_validated_at"]
     assert (ok["country"], ok["unit"], ok["source"]) == ("VN", "µg/m³", "openaq")   # contract defaults
@@ -88,6 +89,7 @@ def test_keyed_json_and_counts(spark):
     checked = V.validate(df)
     counts = {(r["status"], r["reason"]): r["n"] for r in V.reason_counts(checked).collect()}
     assert counts[("valid", "")] == 4 and counts[("invalid", "type:location_id")] == 4
+    assert counts[("invalid", "missing:location_id")] == 2 and counts[("invalid", "malformed")] == 2
     keyed = V.keyed_json(checked.filter("status = 'valid'").select("message.*"))
     assert keyed.first()["key"] == "12_pm25"
 
