@@ -91,3 +91,32 @@ def assert_rules(results: DataFrame) -> None:
     if bad:
         raise AssertionError("data quality failures: " + ", ".join(
             f"{r['rule']}:{r['column']}={r['failed']}" for r in bad))
+
+
+def rules_from_tests(tests) -> dict[str, list[Rule]]:
+    """Declared (model, column, test, argument) rows -> rules per model."""
+    out: dict[str, list[Rule]] = {}
+    for model, column, test, arg in tests:
+        if test == "accepted_values":
+            rule = Rule("accepted_values", column, values=tuple(arg))
+        elif test == "accepted_range":
+            lo, hi = arg
+            rule = Rule("accepted_range", column, min_value=lo, max_value=hi)
+        else:
+            rule = Rule(test, column)
+        out.setdefault(model, []).append(rule)
+    return out
+
+
+def model_tests(models, tests=None) -> DataFrame:
+    """Run the declared tests of every model present in ``models`` (one
+    pass per model, plus one grouped pass per unique test) and return
+    (table_name, rule, column, failed) rows."""
+    from airshed import rules as R
+
+    per_model = rules_from_tests(tests if tests is not None else R.MODEL_TESTS)
+    parts = [run_rules(models[name], rs, table=name) for name, rs in per_model.items() if name in models]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

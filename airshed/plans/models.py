@@ -68,6 +68,17 @@ def build_models(spark: SparkSession, bronze: Mapping[str, DataFrame],
     return m
 
 
+def test_models(models: Mapping[str, DataFrame], stop_on_failure: bool = False) -> DataFrame:
+    """The declared model tests (QT1-QT4) over the built models; with
+    ``stop_on_failure`` a failing test raises, stopping the pipeline."""
+    from airshed.operators.quality import assert_rules, model_tests
+
+    results = model_tests(models)
+    if stop_on_failure:
+        assert_rules(results)
+    return results
+
+
 def write_marts(models: Mapping[str, DataFrame], target: str, fmt: str = "parquet") -> list[str]:
     """Write the mart tables under ``target`` (replaced each run)."""
     written = []

@@ -203,6 +203,73 @@ MESSAGE_DEFAULTS = {"country": "VN", "unit": "µg/m³", "source": "openaq"}
 RIVER_NAME_ALIASES: dict[str, str] = {"Sông Sài Gòn (HCM)": "Sông Sài Gòn (Hồ Chí Minh)"}
 RIVER_POINT_CITY_ALIASES: dict[str, str] = {"Huế": "Thừa Thiên Huế"}
 
+# Declared model tests: (model, column, test, argument). Tests: not_null,
+# unique, accepted_values (argument: the values), accepted_range (argument:
+# (min, max), either may be None).
+MODEL_TESTS: list[tuple[str, str, str, object]] = [
+    ("int_daily_aqi_city", "city_name", "not_null", None),
+    ("int_daily_aqi_city", "measurement_date", "not_null", None),
+    ("int_weather_hourly", "city_name", "not_null", None),
+    ("int_weather_hourly", "observed_at", "not_null", None),
+    ("int_weather_hourly", "comfort_level", "accepted_values", ("cold", "comfortable", "warm", "hot", "extreme_heat")),
+    ("int_disaster_impact", "event_date", "not_null", None),
+    ("int_disaster_impact", "disaster_type", "not_null", None),
+    ("int_disaster_impact", "impact_level", "accepted_values", ("low", "moderate", "high", "extreme")),
+    ("int_environmental_risk", "risk_date", "not_null", None),
+    ("int_environmental_risk", "composite_risk_score", "accepted_range", (0, 100)),
+    ("int_environmental_risk", "risk_level", "accepted_values", ("low", "moderate", "high", "critical")),
+    ("dim_location", "location_sk", "not_null", None),
+    ("dim_location", "location_sk", "unique", None),
+    ("dim_location", "location_code", "not_null", None),
+    ("dim_location", "location_code", "unique", None),
+    ("dim_time", "date_key", "not_null", None),
+    ("dim_time", "date_key", "unique", None),
+    ("dim_pollutant", "pollutant_sk", "not_null", None),
+    ("dim_pollutant", "pollutant_sk", "unique", None),
+    ("dim_pollutant", "pollutant_code", "not_null", None),
+    ("dim_pollutant", "pollutant_code", "unique", None),
+    ("dim_station", "station_sk", "not_null", None),
+    ("dim_station", "station_sk", "unique", None),
+    ("dim_station", "station_id", "not_null", None),
+    ("dim_station", "station_id", "unique", None),
+    ("dim_disaster_type", "disaster_type_sk", "not_null", None),
+    ("dim_disaster_type", "disaster_type_sk", "unique", None),
+    ("dim_disaster_type", "disaster_code", "not_null", None),
+    ("dim_disaster_type", "disaster_code", "unique", None),
+    ("fact_air_measurements", "station_sk", "not_null", None),
+    ("fact_air_measurements", "pollutant_sk", "not_null", None),
+    ("fact_air_measurements", "measurement_value", "not_null", None),
+    ("fact_air_measurements", "measurement_value", "accepted_range", (0, None)),
+    ("fact_weather_observations", "date_key", "not_null", None),
+    ("fact_weather_observations", "city_name", "not_null", None),
+    ("fact_natural_disasters", "disaster_event_sk", "not_null", None),
+    ("fact_natural_disasters", "disaster_event_sk", "unique", None),
+    ("fact_natural_disasters", "date_key", "not_null", None),
+    ("stg_air_quality", "station_id", "not_null", None),
+    ("stg_air_quality", "pollutant_code", "not_null", None),
+    ("stg_air_quality", "measurement_value", "not_null", None),
+    ("stg_air_quality", "measurement_value", "accepted_range", (0, None)),
+    ("stg_weather", "city_name", "not_null", None),
+    ("stg_weather", "observed_at", "not_null", None),
+    ("stg_weather", "temperature_celsius", "accepted_range", (-10, 55)),
+    ("stg_flood", "river_name", "not_null", None),
+    ("stg_flood", "discharge_m3s", "not_null", None),
+    ("stg_flood", "discharge_m3s", "accepted_range", (0, 100000)),
+    ("stg_cem_aqi", "station_name", "not_null", None),
+    ("stg_cem_aqi", "aqi_value", "accepted_range", (0, 500)),
+    ("stg_nchmf_disaster", "title", "not_null", None),
+    ("stg_nchmf_disaster", "disaster_type", "not_null", None),
+    ("stg_nchmf_disaster", "disaster_type", "accepted_values",
+     ("storm", "flood", "landslide", "earthquake", "drought", "high_tide", "cold_wave", "heatwave", "thunderstorm",
+      "other")),
+    ("stg_fire_hotspot", "latitude", "not_null", None),
+    ("stg_fire_hotspot", "longitude", "not_null", None),
+    ("stg_fire_hotspot", "brightness_kelvin", "accepted_range", (200, 600)),
+    ("stg_geo_features", "osm_id", "not_null", None),
+    ("stg_geo_features", "osm_id", "unique", None),
+    ("stg_geo_features", "feature_name", "not_null", None),
+]
+
 # Fire confidence classes kept for the fire component.
 FIRE_CONFIDENCE = ["high", "nominal", "h", "n"]
 

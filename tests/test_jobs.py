@@ -45,6 +45,21 @@ def test_build_models_and_write_marts(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "gold" / "dim_time")).count() == 1096
 
 
+def test_declared_model_tests(spark):
+    from airshed import rules
+
+    m = models.build_models(spark, _bronze(spark))
+    res = {(r["table_name"], r["rule"], r["column"]): r["failed"] for r in models.test_models(m).collect()}
+    present = {(t[0]) for t in rules.MODEL_TESTS if t[0] in m}
+    assert {k[0] for k in res} == present
+    assert res[("dim_time", "unique", "date_key")] == 0
+    assert res[("stg_air_quality", "not_null", "station_id")] == 0
+    # The disaster row's published_at parsed, so no NULL date keys
+    assert res[("fact_natural_disasters", "not_null", "date_key")] == 0
+    assert sum(res.values()) == 0
+    models.test_models(m, stop_on_failure=True)
+
+
 def test_bronze_silver_gold_jobs(spark, tmp_path):
     raw = spark.createDataFrame([
         ("S1", "A", "aqi", "120", "Hà Nội", "x", "2024-04-12 10:00:00"),
