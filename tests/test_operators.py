@@ -51,9 +51,9 @@ def test_flatten_arrays_short_array_and_list_shape(spark):
     got = rows(nested.flatten_arrays(df, "h", "time", ["temperature_2m", "rh"], keep=["city"]))
     assert got == [("HN", "t0", 30.0, 70), ("HN", "t1", 31.0, 71), ("HN", "t2", None, 72),
                    ("DN", "u0", 1.0, None), ("DN", None, 2.0, None)]
-    shapes = spark.createDataFrame([('{"a": 1}',), ('[{"a": 1}, {"a": 2}]',)], "doc string")
-    assert [r[0] for r in shapes.select(nested.as_list(F.col("doc"))).collect()] == \
-        ['[{"a":1}]', '[{"a":1},{"a":2}]']
+    shapes = spark.createDataFrame([('{"a": 1}',), (' [{"a": 1}, {"a": 2}]',)], "doc string")
+    lists = shapes.select(F.from_json(nested.as_list(F.col("doc")), "array<struct<a: int>>").alias("l"))
+    assert [[x["a"] for x in r["l"]] for r in lists.collect()] == [[1], [1, 2]]
 
 
 def test_flatten_elements_nodes_only(spark):
