@@ -45,6 +45,25 @@ def sround(expr: str, digits: int) -> str:
 LARGE_TABLES = ("events", "lineitem", "orders", "documents", "pages")
 
 
+def half_up_div_sql(num: str, den: str) -> str:
+    """DuckDB SQL: integer num / positive integer den, rounded half away
+    from zero (exact, no floating point)."""
+    return f"(sign({num}) * ((2 * abs({num}) + {den}) // (2 * {den})))"
+
+
+def spark_avg_sql(col: str, scale: int, digits: int) -> tuple[str, str]:
+    """DuckDB SQL for Spark's ``round(avg(decimal(p, scale)), digits)``,
+    computed exactly: Spark's average of a decimal is the quotient rounded
+    half-up to ``scale + 4`` decimals, which is then rounded to ``digits``.
+    Returns (average in units of 10^-(scale+4) as an integer expression,
+    the rounded value as a double)."""
+    total = f"cast(round(sum({col}) * {10 ** scale}) as hugeint)"
+    units = half_up_div_sql(f"({total} * 10000)", f"count({col})")
+    step = 10 ** (scale + 4 - digits)
+    rounded = half_up_div_sql(units, str(step))
+    return units, f"(cast({rounded} as double) / {10 ** digits})"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. Its file is a single row group, which Spark cannot
     split, so the scan is one task; for the large tables ``spread``
@@ -222,7 +241,7 @@ Q01 = f"""
 select r.r_name, n.n_name, coalesce(c.n_customers, 0) as n_customers, c.avg_acctbal
 from nation n join region r on n.n_regionkey = r.r_regionkey
 left join (select c_nationkey, count(*) as n_customers,
-                  {sround('avg(cast(c_acctbal as decimal(12, 2)))', 2)} as avg_acctbal
+                  {spark_avg_sql('cast(c_acctbal as decimal(12, 2))', 2, 2)[1]} as avg_acctbal
            from customer group by 1) c on c.c_nationkey = n.n_nationkey
 """
 

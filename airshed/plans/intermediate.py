@@ -36,7 +36,8 @@ def int_daily_aqi_city(stg_air: DataFrame, stg_cem: DataFrame) -> DataFrame:
                           F.avg("longitude").alias("longitude")))
     cem = (stg_cem.filter(F.col("measured_at").isNotNull())
                   .groupBy("city_name", F.date_trunc("day", "measured_at").alias("measurement_date"))
-                  .agg(F.avg("aqi_value").alias("cem_avg_aqi"),
+                  # numeric average (exact), not a double one
+                  .agg(F.avg(F.col("aqi_value").cast("decimal(12,0)")).alias("cem_avg_aqi"),
                        F.min("aqi_value").alias("cem_min_aqi"),
                        F.max("aqi_value").alias("cem_max_aqi"),
                        mode_value("aqi_category").alias("cem_dominant_category"),
