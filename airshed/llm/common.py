@@ -3,8 +3,9 @@ lineage through the shared checkpoint folder, connected components."""
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,13 +52,17 @@ class Scratch:
         self.paths.clear()
 
 
-def ceil_div(a: int, b: int) -> int:
-    return -(-a // b)
+def by_text(docs: DataFrame, fn: Callable[[pd.Series], pd.DataFrame], schema: str, name: str) -> DataFrame:
+    """``docs`` with a struct column that ``fn`` makes of the texts, batch by
+    batch, once a row."""
+    udf = F.pandas_udf(fn, schema).asNondeterministic()  # else a filter on a field runs it once more
+    return docs.withColumn(name, udf(F.col("text").cast("string")))
 
 
-def parts_for(spark: SparkSession) -> int:
-    """The session's shuffle partitions (sized by the deployment)."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def with_ids(docs: DataFrame) -> DataFrame:
+    """(doc_id as text, text): pandas would turn a whole-number column that
+    holds a null into floats, which cannot carry every 64-bit id."""
+    return docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -103,6 +108,3 @@ def components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b") -
     root = now.select(F.col("y").alias("id"), F.col("y").alias("component")).distinct()
     return now.select(F.col("x").alias("id"), F.col("y").alias("component")).unionByName(root)
 
-
-def log2ceil(n: int) -> int:
-    return max(1, math.ceil(math.log2(max(2, n))))

@@ -38,9 +38,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from airshed.llm.common import Scratch, components
+from airshed.llm.common import Scratch, components, with_ids
 from airshed.llm.shingles import shingle_hashes
 
 REGISTERS = 256
@@ -187,7 +186,9 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "hyperminhash")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = scratch.settle(docs.mapInPandas(_sketches, "doc_id long, n_shingles long, set_id binary, regs binary"))
+    sketch = scratch.settle(
+        with_ids(docs).mapInPandas(_sketches, "doc_id string, n_shingles long, set_id binary, regs binary")
+        .withColumn("doc_id", F.col("doc_id").cast("long")))
 
     # 1. classes of equal sets
     classes = scratch.settle(sketch.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(
@@ -250,6 +251,3 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         .alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
-
-SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
-                       T.StructField("component_id", T.LongType()), T.StructField("kept", T.BooleanType())])

@@ -22,6 +22,8 @@ _MASK = (1 << 64) - 1
 _BYTE = np.random.default_rng(_SEED).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(97, 123), *range(128, 256)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -47,25 +49,36 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: str | None, lower: bool = True) -> np.ndarray:
-    """One 64-bit hash per word, in text order (empty for null or blank)."""
-    if not text:
-        return np.empty(0, dtype=np.uint64)
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    if lower:
-        raw = _LOWER[raw]
-    inside = ~_SPACE[raw]
+def run_hashes(raw: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """One 64-bit hash per maximal run of ``raw`` bytes marked ``inside``, in order."""
     edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     start, end = edge[::2], edge[1::2]
     if not len(start):
         return np.empty(0, dtype=np.uint64)
     prefix = np.zeros(len(raw) + 1, dtype=np.uint64)
     np.cumsum(_BYTE[raw] * powers(_POLY, len(raw)), dtype=np.uint64, out=prefix[1:])
-    # dividing by POLY**start makes a word's hash free of its place
+    # dividing by POLY**start makes a run's hash free of its place
     inverse = powers(pow(_POLY, -1, 1 << 64), len(raw))
     return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(np.uint64) * _MUL)
 
 
+def word_hashes(text: str | None) -> np.ndarray:
+    """One hash per word, in text order (empty for null or blank)."""
+    if not text:
+        return np.empty(0, dtype=np.uint64)
+    raw = _LOWER[np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)]
+    return run_hashes(raw, ~_SPACE[raw])
+
+
+def letter_word_hashes(text: str | None) -> np.ndarray:
+    """One hash per run of letters, lower-cased (every character beyond
+    ASCII counts as a letter)."""
+    if not text:
+        return np.empty(0, dtype=np.uint64)
+    raw = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    return run_hashes(raw, _LETTER[raw])
+
+
 def shingle_hashes(text: str | None, width: int = 5) -> np.ndarray:
     """Sorted distinct shingle hashes. Fewer than ``width`` words: the whole
     sequence as one shingle; no words: empty."""
