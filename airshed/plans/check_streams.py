@@ -12,25 +12,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airshed.plans.check_nested import OP_OF_STATUS, Q30, Q31, messages
+from airshed.plans.check_nested import LON, MESSAGE_SQL, OP_OF_STATUS, Q31, messages
 from airshed.plans.check_staging import map_lit, ntz, table
 from airshed.session import scratch_path
 from airshed.streaming import changes as stream_changes
-from airshed.streaming.validator import read_stream, route
+from airshed.streaming.validator import MESSAGE_FIELDS, read_stream, route
 
-FILES = 2  # input files; one per micro-batch
+# Rows of a file and files of a micro-batch, for several micro-batches.
+FILES_PER_BATCH, RECORDS = "4", 2_000
 
 
 def q42_stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, valid, dlq, ckpt = (scratch_path(spark, n) for n in ("msgs", "valid", "dlq", "route-ckpt"))
-    messages(spark, sf_dir).select("value").repartition(FILES).write.mode("overwrite").text(src)
-    stream = read_stream(spark, "text", src, maxFilesPerTrigger="1")
+    messages(spark, sf_dir).select("value").write.mode("overwrite").option("maxRecordsPerFile", RECORDS).text(src)
+    stream = read_stream(spark, "text", src, maxFilesPerTrigger=FILES_PER_BATCH)
     route(stream, valid, dlq, ckpt).awaitTermination()
-    ok = spark.read.json(valid).groupBy().agg(F.count(F.lit(1)).alias("n")) \
-        .select(F.lit("valid").alias("status"), F.lit("").alias("reason"), "n")
-    bad = spark.read.json(dlq).groupBy(F.col("error_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n")) \
-        .select(F.lit("invalid").alias("status"), "reason", "n")
-    return ok.unionByName(bad)
+    # rows of both sinks: message fields with the contract's defaults, the
+    # validation metadata, the dead letters' envelope (times: present or not)
+    ok = spark.read.schema(f"{MESSAGE_FIELDS}, _validated_at string, _validation_status string").json(valid)
+    bad = spark.read.schema("original_message string, error_reason string, rejected_at string, source_topic string, "
+                            "source_partition string, source_offset bigint").json(dlq)
+    good = ok.select(
+        F.col("_validation_status").alias("status"), F.lit("").alias("reason"), "location_id", "location_name", "city",
+        "country", "latitude", "longitude", "parameter", "value", "unit", "source",
+        ntz(F.col("date_utc").cast("timestamp_ntz")).alias("date_utc"), F.col("_validated_at").isNotNull().alias("stamped"),
+        F.lit(None).cast("string").alias("topic"), F.lit(None).cast("string").alias("message"))
+    dead = bad.select(
+        F.lit("invalid").alias("status"), F.col("error_reason").alias("reason"),
+        (F.col("rejected_at").isNotNull() & F.col("source_partition").isNotNull() & (F.col("source_offset") == -1)).alias("stamped"),
+        F.col("source_topic").alias("topic"), F.substring("original_message", 1, 15).alias("message"))
+    return good.unionByName(dead, allowMissingColumns=True)
 
 
 def q43_stream_change_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,14 +49,30 @@ def q43_stream_change_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderkey", "o_totalprice", "o_orderdate",
         F.element_at(map_lit(OP_OF_STATUS), F.col("o_orderstatus")).alias("op"))
-    rows.repartition(FILES).write.mode("overwrite").json(src)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", RECORDS).json(src)
     schema = "o_custkey long, o_orderkey long, o_totalprice double, o_orderdate timestamp_ntz, op string"
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").json(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH).json(src)
     stream_changes.fold_changes_stream(stream, ["o_custkey"], ["o_orderdate", "o_orderkey"], state, ckpt,
                                        op_col="op").awaitTermination()
-    live = stream_changes.current_state(spark, state, ["o_custkey"], op_col="op")
+    live = stream_changes.current_state(spark, state, ["o_custkey"], ["o_orderdate", "o_orderkey"],
+                                        op_col="op")
     return live.select("o_custkey", "o_orderkey", "o_totalprice", ntz("o_orderdate").alias("o_orderdate"))
 
 
 QUERIES = {"q42_stream_route": q42_stream_route, "q43_stream_change_fold": q43_stream_change_fold}
-ORACLE = {"q42_stream_route": Q30, "q43_stream_change_fold": Q31}
+Q42 = f"""
+with e as ({MESSAGE_SQL})
+select case when reason is null then 'valid' else 'invalid' end as status, coalesce(reason, '') as reason,
+       case when reason is null then user_id end as location_id, case when reason is null then 'Station ' || user_id end as location_name,
+       case when reason is null then 'Hà Nội' end as city, case when reason is null then 'VN' end as country,
+       case when reason is null then lat end as latitude, case when reason is null then {LON} end as longitude,
+       case when reason is null then param end as parameter, case when reason is null then v end as value,
+       case when reason is null then 'µg/m³' end as unit, case when reason is null then 'openaq' end as source,
+       case when reason is null then ts end as date_utc, true as stamped,
+       case when reason is not null then 'raw-air-quality' end as topic,
+       case when reason is not null then case when fault = 'json_list' then '[1, 2]' when fault = 'malformed_text'
+         then substr('{{"location_id": ' || user_id, 1, 15) when fault = 'no_location_id' then '{{"location_name'
+         else '{{"location_id":' end end as message
+from e
+"""
+ORACLE = {"q42_stream_route": Q42, "q43_stream_change_fold": Q31}

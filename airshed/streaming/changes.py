@@ -1,12 +1,15 @@
 """Change feed fold on a stream (S19, streaming form).
 
-Each micro-batch of change rows is folded per key with the batch fold and
-merged with the previous state: state_N = latest(state_M ∪ batch_N), where
-M is the newest committed state older than N. Every state is written to
-its own ``batch_id=N`` folder (overwrite, so a replayed batch rewrites the
-same folder) and counts as committed once its ``_SUCCESS`` marker exists.
-Nothing is ever overwritten in place, so a failure at any point leaves the
-last committed state intact and the replay recomputes the same result.
+The state is a log of layers. Each micro-batch folds its own rows to the
+latest per key and writes them as the layer ``delta/batch_id=N``: the work is
+that of the batch, whatever the size of the state. Every ``compact_every``
+batches the layers are folded into one, ``base/upto=N``, and the layers in it
+are removed. Folding is associative, so any grouping of the layers gives
+the same state.
+
+A layer counts once its ``_SUCCESS`` marker exists. A replayed batch rewrites
+its own folder, a layer is removed only after a committed base holds it:
+a failure at any point leaves a complete state.
 """
 
 from __future__ import annotations
@@ -18,53 +21,89 @@ from pyspark.sql.streaming import StreamingQuery
 
 from airshed.operators.changes import apply_changes
 
+COMPACT_EVERY = 16
+
 
-def _committed_ids(spark: SparkSession, state_path: str) -> list[int]:
-    """Batch ids with a committed state folder (file-system metadata only)."""
+def _layers(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    """(number, path) of the committed layers of a folder, oldest first
+    (file-system metadata only)."""
     jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(state_path)
+    root = jvm.org.apache.hadoop.fs.Path(folder)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return []
-    ids = []
+    found = []
     for st in fs.listStatus(root):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch_id="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                ids.append(int(name.split("=", 1)[1]))
-    return sorted(ids)
+        if st.isDirectory() and "=" in name and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            found.append((int(name.split("=", 1)[1]), f"{folder}/{name}"))
+    return sorted(found)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _live_layers(spark: SparkSession, state_path: str) -> tuple[int, list[str]]:
+    """The newest base's number (-1: none) and the paths the state is made of."""
+    bases = _layers(spark, f"{state_path}/base")
+    upto, paths = (bases[-1][0], [bases[-1][1]]) if bases else (-1, [])
+    return upto, paths + [p for n, p in _layers(spark, f"{state_path}/delta") if n > upto]
+
+
+def _fold(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], op_col: str) -> DataFrame:
+    # deletes stay in the layers: an older change may still arrive
+    return apply_changes(df, keys, order_cols, op_col=op_col, delete_ops=()).select(*df.columns)
 
 
 def fold_batch(batch: DataFrame, batch_id: int, keys: Sequence[str], order_cols: Sequence[str],
-               state_path: str, op_col: str = "op") -> None:
-    """Fold one micro-batch into the newest committed older state and
-    commit the result as ``batch_id=N`` (idempotent per batch id)."""
+               state_path: str, op_col: str = "op", compact_every: int = COMPACT_EVERY) -> None:
+    """Write one micro-batch as a layer (idempotent per batch id); compact
+    the layers when ``compact_every`` have gathered."""
     spark = batch.sparkSession
-    cols = batch.columns
-    older = [i for i in _committed_ids(spark, state_path) if i < batch_id]
-    current = batch
-    if older:
-        current = spark.read.parquet(f"{state_path}/batch_id={older[-1]}").select(*cols).unionByName(batch)
-    # deletes stay in the state so a later batch still sees them
-    apply_changes(current, keys, order_cols, op_col=op_col, delete_ops=()) \
-        .select(*cols).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+    upto, _ = _live_layers(spark, state_path)
+    if batch_id <= upto:
+        return  # a replay of a batch that a base already holds
+    _fold(batch, keys, order_cols, op_col).write.mode("overwrite").parquet(f"{state_path}/delta/batch_id={batch_id}")
+    if len(_live_layers(spark, state_path)[1]) > compact_every:
+        compact(spark, state_path, keys, order_cols, op_col)
+
+
+def compact(spark: SparkSession, state_path: str, keys: Sequence[str], order_cols: Sequence[str],
+            op_col: str = "op") -> None:
+    """Fold all committed layers into one base and remove them."""
+    upto, paths = _live_layers(spark, state_path)
+    deltas = [n for n, _ in _layers(spark, f"{state_path}/delta") if n > upto]
+    if not deltas:
+        return
+    state = _read(spark, paths)
+    _fold(state, keys, order_cols, op_col).write.mode("overwrite").parquet(f"{state_path}/base/upto={deltas[-1]}")
+    for folder in ("base", "delta"):
+        for n, path in _layers(spark, f"{state_path}/{folder}"):
+            if n < deltas[-1] or folder == "delta" and n == deltas[-1]:
+                _remove(spark, path)
+
+
+def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
+    # one reader for all layers; their folder names are no columns
+    return spark.read.option("recursiveFileLookup", "true").parquet(*paths)
 
 
 def fold_changes_stream(stream: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                         state_path: str, checkpoint: str, op_col: str = "op",
-                        trigger: dict | None = None) -> StreamingQuery:
+                        trigger: dict | None = None, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     def merge(batch: DataFrame, batch_id: int) -> None:
-        fold_batch(batch, batch_id, keys, order_cols, state_path, op_col)
+        fold_batch(batch, batch_id, keys, order_cols, state_path, op_col, compact_every)
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
                   .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def current_state(spark: SparkSession, state_path: str, keys: Sequence[str], op_col: str = "op",
-                  delete_ops: Sequence[str] = ("d",)) -> DataFrame:
-    """Live rows of the newest committed state (deletes removed)."""
-    ids = _committed_ids(spark, state_path)
-    if not ids:
+def current_state(spark: SparkSession, state_path: str, keys: Sequence[str], order_cols: Sequence[str],
+                  op_col: str = "op", delete_ops: Sequence[str] = ("d",)) -> DataFrame:
+    """Live rows of the state (deletes removed)."""
+    _, paths = _live_layers(spark, state_path)
+    if not paths:
         raise FileNotFoundError(f"no committed state under {state_path}")
-    df = spark.read.parquet(f"{state_path}/batch_id={ids[-1]}")
-    return df.filter(~df[op_col].isin(list(delete_ops))).drop(op_col)
+    return apply_changes(_read(spark, paths), keys, order_cols, op_col=op_col, delete_ops=delete_ops)

@@ -2,9 +2,11 @@
 
 ``validate`` is a pure DataFrame -> DataFrame rule chain, so the same code
 runs on a batch table and on a Structured Streaming source. Messages are
-parsed once into a variant; a field's JSON kind comes from
+parsed once into one variant per field; a field's JSON kind comes from
 ``schema_of_variant`` (missing key -> NULL, JSON null -> VOID), which keeps
-"missing", "null" and "wrong type" apart without a Python worker.
+"missing", "null" and "wrong type" apart without a Python worker. As for a
+dictionary, the last value of a repeated key counts, NaN is a number and an
+integer may be of any size.
 
 ``route`` writes valid rows and dead letters from one micro-batch: the
 batch is persisted once, both outputs are written to folders named by the
@@ -23,22 +25,27 @@ from pyspark.sql.streaming import StreamingQuery
 
 from airshed import rules
 from airshed.operators.aggregates import status_counts
-from airshed.operators.partitioning import spread
 
 MESSAGE_FIELDS = ("location_id bigint, location_name string, city string, country string, latitude double, "
                   "longitude double, parameter string, value double, unit string, date_utc string, "
                   "date_local string, source string, produced_at string")
 
 _KIND_TEST = {
-    "int": lambda t: t == "BIGINT",
+    # beyond 64 bits an integer is a decimal without fraction digits
+    "int": lambda t: (t == "BIGINT") | t.rlike(r"^DECIMAL\((19|[23][0-9]),0\)$"),
     "string": lambda t: t == "STRING",
     "number": lambda t: (t == "BIGINT") | (t == "DOUBLE") | (t == "FLOAT") | t.startswith("DECIMAL"),
 }
 
 
-def field_kind(v: Column, name: str) -> Column:
-    """JSON kind of a top-level field: NULL when the key is missing."""
-    return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
+_UNREADABLE = "_unreadable"
+
+
+def parse_message(json_col: Column, fields: Sequence[str]) -> Column:
+    """The top-level fields of a JSON object as variants; ``_unreadable``
+    holds the text of anything else."""
+    schema = ", ".join([*(f"{f}: variant" for f in fields), f"{_UNREADABLE}: string"])
+    return F.from_json(json_col, f"struct<{schema}>", {"columnNameOfCorruptRecord": _UNREADABLE})
 
 
 def validate(df: DataFrame, json_col: str = "value",
@@ -48,26 +55,26 @@ def validate(df: DataFrame, json_col: str = "value",
     """Adds ``reason`` (NULL when valid), ``status`` (valid/invalid) and the
     typed message fields as struct ``message``. The first failing rule gives the reason:
     malformed, missing:<f>, type:<f>, enum:<f>, range:<f>, box."""
-    v = F.try_parse_json(F.col(json_col).cast("string"))
-    parsed = df.withColumn("_v", v)
-    pv = F.col("_v")
+    fields = [f.split() for f in MESSAGE_FIELDS.split(", ")]
+    names = list(dict.fromkeys([n for n, _ in fields] + [n for n, _ in required] + [enum_field, value_field]))
+    text = F.col(json_col).cast("string")
+    parsed = df.withColumn("_v", parse_message(text, names))
     # unparseable text or a bare scalar is malformed; an array has no keys,
     # so it fails on the first required field (as a membership test on a
     # list would)
-    kind = F.schema_of_variant(pv)
-    reason = F.when(pv.isNull() | ~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), F.lit("malformed"))
+    is_list = F.ltrim(text).startswith("[") & F.try_parse_json(text).isNotNull()
+    reason = F.when(text.isNull() | (F.col(f"_v.{_UNREADABLE}").isNotNull() & ~is_list), F.lit("malformed"))
     for name, kind in required:
-        t = field_kind(pv, name)
+        t = F.schema_of_variant(F.col(f"_v.{name}"))
         reason = reason.when(t.isNull(), F.lit(f"missing:{name}"))
         reason = reason.when(~_KIND_TEST[kind](t), F.lit(f"type:{name}"))
-    getv = lambda n, typ: F.try_variant_get(pv, f"$.{n}", typ)
+    getv = lambda n, typ: F.try_variant_get(F.col(f"_v.{n}"), "$", typ)
     reason = reason.when(~getv(enum_field, "string").isin(list(enum_values)), F.lit(f"enum:{enum_field}"))
     reason = reason.when(getv(value_field, "double") < 0, F.lit(f"range:{value_field}"))
     lat, lon = getv("latitude", "double"), getv("longitude", "double")
     lat_lo, lat_hi, lon_lo, lon_hi = box
     reason = reason.when(~(lat.between(lat_lo, lat_hi) & lon.between(lon_lo, lon_hi)), F.lit("box"))
-    typed = F.struct(*[F.try_variant_get(pv, f"$.{f.split()[0]}", f.split()[1]).alias(f.split()[0])
-                       for f in MESSAGE_FIELDS.split(", ")])
+    typed = F.struct(*[getv(n, typ).alias(n) for n, typ in fields])
     out = parsed.select("*", reason.alias("reason"), typed.alias("message")).drop("_v")
     return out.withColumn("status", F.when(F.col("reason").isNull(), "valid").otherwise("invalid"))
 
@@ -139,12 +146,15 @@ def route(stream: DataFrame, valid_path: str, dlq_path: str, checkpoint: str,
           json_col: str = "value", topic: str | Column = "raw-air-quality",
           position: tuple[Column, Column] | None = None,
           trigger: dict | None = None, fmt: str = "json",
-          on_batch: Callable[[int, dict], None] | None = _log_stats) -> StreamingQuery:
+          on_batch: Callable[[int, dict], None] | None = _log_stats,
+          parallelism: int | None = None) -> StreamingQuery:
     """T-24: validate a stream and write valid rows / dead letters.
 
     ``position`` gives (partition, offset) columns of the source (Kafka:
     ``partition``, ``offset``; ``topic`` may be the ``topic`` column); for
-    files the file path and -1 are used. Progress (ST5/A10): the input row count of every micro-batch is an
+    files the file path and -1 are used. ``parallelism`` deals each
+    micro-batch to that many tasks, for a source with fewer partitions than
+    the cluster has cores. Progress (ST5/A10): the input row count of every micro-batch is an
     observed metric in ``StreamingQueryProgress.observedMetrics``, and
     ``on_batch(batch_id, stats)`` receives the valid/invalid counts and
     pass rate, computed from the already persisted batch.
@@ -156,9 +166,8 @@ def route(stream: DataFrame, valid_path: str, dlq_path: str, checkpoint: str,
                       .observe("route_input", F.count(F.lit(1)).alias("rows")))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # a micro-batch has as many partitions as the topic; spread the
-        # parsing over the cluster's cores when that is fewer
-        checked = validate(spread(batch), json_col).persist()
+        rows = batch.repartition(parallelism) if parallelism else batch
+        checked = validate(rows, json_col).persist()
         try:
             now = F.current_timestamp()
             valid_output(checked.filter(F.col("status") == "valid"), now) \

@@ -44,6 +44,14 @@ CASES = [
     ("not json", "malformed"),
     ("[1, 2]", "missing:location_id"),
     ('"text"', "malformed"),
+    (None, "malformed"),
+    # as in a dictionary: the last value of a repeated key, NaN is a number, integers of any size
+    ('{"value": "x", ' + msg()[1:], None),
+    (msg()[:-1] + ', "value": -1}', "range:value"),
+    (msg(value=float("nan")), None),
+    (msg(latitude=float("nan")), "box"),
+    (msg(location_id=10**24), None),
+    (msg(location_id=1.0), "type:location_id"),
 ]
 
 
@@ -75,10 +83,10 @@ def test_route_dual_sink_and_resume(spark, tmp_path):
     assert row["source_topic"] == "raw-air-quality" and row["source_partition"].endswith("a.json")
     assert json.loads(row["original_message"])["city"] == "Hà Nội"
     # resume: only the new file is processed
-    _write_lines(src, "b.json", [m for m, _ in CASES[10:]])
+    _write_lines(src, "b.json", [m for m, _ in CASES[10:] if m is not None])
     V.route(V.read_stream(spark, "text", src), valid, dlq, ckpt).awaitTermination()
-    assert spark.read.json(valid).count() == 1 + 3
-    assert spark.read.json(dlq).count() == 9 + 8
+    assert spark.read.json(valid).count() == 1 + 3 + 3
+    assert spark.read.json(dlq).count() == 9 + 8 + 3
     ok = spark.read.json(valid).first()
     assert ok["_validation_status"] == "valid" and ok["_validated_at"]
     assert (ok["country"], ok["unit"], ok["source"]) == ("VN", "µg/m³", "openaq")   # contract defaults
@@ -88,8 +96,8 @@ def test_keyed_json_and_counts(spark):
     df = spark.createDataFrame([(m,) for m, _ in CASES], "value string")
     checked = V.validate(df)
     counts = {(r["status"], r["reason"]): r["n"] for r in V.reason_counts(checked).collect()}
-    assert counts[("valid", "")] == 4 and counts[("invalid", "type:location_id")] == 4
-    assert counts[("invalid", "missing:location_id")] == 2 and counts[("invalid", "malformed")] == 2
+    assert counts[("valid", "")] == 7 and counts[("invalid", "type:location_id")] == 5
+    assert counts[("invalid", "missing:location_id")] == 2 and counts[("invalid", "malformed")] == 3
     keyed = V.keyed_json(checked.filter("status = 'valid'").select("message.*"))
     assert keyed.first()["key"] == "12_pm25"
 
@@ -106,7 +114,7 @@ def test_stream_change_fold(spark, tmp_path):
         {"id": 3, "op": "c", "seq": 1, "v": "z"}]])
     stream = spark.readStream.schema(schema).json(src)
     stream_changes.fold_changes_stream(stream, ["id"], ["seq"], state, ckpt).awaitTermination()
-    live = sorted(tuple(r) for r in stream_changes.current_state(spark, state, ["id"]).collect())
+    live = sorted(tuple(r) for r in stream_changes.current_state(spark, state, ["id"], ["seq"]).collect())
     assert live == [(1, 2, "b"), (3, 1, "z")]
 
 
@@ -118,10 +126,23 @@ def test_fold_batch_replay_and_crash(spark, tmp_path):
     stream_changes.fold_batch(b0, 0, ["id"], ["seq"], state)
     stream_changes.fold_batch(b1, 1, ["id"], ["seq"], state)
     stream_changes.fold_batch(b1, 1, ["id"], ["seq"], state)          # replay of batch 1
-    os.makedirs(tmp_path / "state" / "batch_id=2")                      # crashed batch: no _SUCCESS
-    live = sorted(tuple(r) for r in stream_changes.current_state(spark, state, ["id"]).collect())
+    os.makedirs(tmp_path / "state" / "delta" / "batch_id=2")            # crashed batch: no _SUCCESS
+    live = sorted(tuple(r) for r in stream_changes.current_state(spark, state, ["id"], ["seq"]).collect())
     assert live == [(1, 2, "b")]
     b2 = spark.createDataFrame([(3, "c", 1, "z")], schema)
     stream_changes.fold_batch(b2, 2, ["id"], ["seq"], state)            # the replay commits batch 2
-    live = sorted(tuple(r) for r in stream_changes.current_state(spark, state, ["id"]).collect())
+    live = sorted(tuple(r) for r in stream_changes.current_state(spark, state, ["id"], ["seq"]).collect())
     assert live == [(1, 2, "b"), (3, 1, "z")]
+
+
+def test_compaction_keeps_the_state_and_removes_layers(spark, tmp_path):
+    state, schema = str(tmp_path / "state"), "id int, op string, seq int, v string"
+    for n in range(7):
+        rows = [(n % 3, "d" if n == 4 else "u", n, f"v{n}"), (10 + n, "c", n, "x")]
+        stream_changes.fold_batch(spark.createDataFrame(rows, schema), n, ["id"], ["seq"], state, compact_every=3)
+    late = spark.createDataFrame([(1, "u", 0, "old")], schema)      # an older change than the delete
+    stream_changes.fold_batch(late, 7, ["id"], ["seq"], state, compact_every=3)
+    live = sorted(tuple(r) for r in stream_changes.current_state(spark, state, ["id"], ["seq"]).collect())
+    assert live == [(0, 6, "v6"), (2, 5, "v5")] + [(10 + n, n, "x") for n in range(7)]
+    kept = sum(len(os.listdir(os.path.join(state, f))) for f in ("base", "delta"))
+    assert kept <= 4
