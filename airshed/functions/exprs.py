@@ -106,28 +106,15 @@ def keyword_class(fields: Mapping[str, ColumnOrName],
     Three-valued logic is kept: a rule over ``a OR b`` is true when either
     side is true, even if the other is NULL.
     """
-    # Each field is lower-cased once and bound to a lambda variable: inside a
-    # CASE whose conditions short-circuit, Spark would otherwise re-run
-    # lower() over the whole text for every rule.
-    names_all = list(fields)
-    bound = F.struct(*[(F.lower(col(v)) if lower else col(v)).alias(f"f{i}")
-                       for i, v in enumerate(fields.values())],
-                     (col(default) if isinstance(default, Column) else F.lit(default)).alias("dflt"))
-
-    def classify(s: Column) -> Column:
-        expr = None
-        for rule in rules_list:
-            if len(rule) == 2:
-                words, label = rule
-                names = tuple(names_all)
-            else:
-                words, names, label = rule
-            cond = reduce(lambda a, b: a | b,
-                          [_any_contains(s[f"f{names_all.index(n)}"], words) for n in names])
-            expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-        return expr.otherwise(s["dflt"])
-
-    return F.element_at(F.transform(F.array(bound), classify), 1)
+    # a plain CASE: stays inside whole-stage codegen, where the lower-casing
+    # of a field is one common subexpression of all its rules
+    texts = {n: F.lower(col(v)) if lower else col(v) for n, v in fields.items()}
+    expr = None
+    for rule in rules_list:
+        words, names, label = (rule[0], tuple(texts), rule[1]) if len(rule) == 2 else rule
+        cond = reduce(lambda a, b: a | b, [_any_contains(texts[n], words) for n in names])
+        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
+    return expr.otherwise(col(default) if isinstance(default, Column) else F.lit(default))
 
 
 def station_city(station: ColumnOrName,

@@ -21,28 +21,17 @@ def with_fallback(history: DataFrame, source_col: str, batch_col: str, as_of: Co
     ``history``; when given, it is the freshly fetched batch and
     ``history`` holds the earlier ones.
 
-    Plan: one aggregate per source (partial before the shuffle, one output
-    row per source) finds the source's current flag and its fallback batch;
-    the fallback rows are then fetched by an equi-join on (source, batch)
-    whose small side AQE can broadcast after measuring it.
+    Plan: one aggregate picks each source's batch (partial before the
+    shuffle, one row per source), one equi-join on (source, batch) fetches
+    its rows; the flag is ``batch < as_of``.
     """
     ref = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
+    rows = history if current is None else history.filter(F.col(batch_col) < ref).unionByName(current)
     b = F.col(batch_col)
-    eligible = b < ref
+    eligible = b <= ref
     if ttl:
         eligible = eligible & (b >= ref - F.expr(f"INTERVAL {ttl}"))
-    if current is None:
-        cur = history.filter(b == ref)
-        has_current = F.max(F.when(b == ref, F.lit(True)))
-    else:
-        cur = current
-        has_current = F.lit(None).cast("boolean")
-    stats = history.groupBy(source_col).agg(has_current.alias("_has_current"),
-                                            F.max(F.when(eligible, b)).alias("_fallback_batch"))
-    chosen = stats.filter(F.col("_has_current").isNull() & F.col("_fallback_batch").isNotNull())
-    if current is not None:
-        chosen = chosen.join(current.select(source_col).distinct(), source_col, "left_anti")
-    chosen = chosen.select(source_col, F.col("_fallback_batch").alias(batch_col))
-    fallback_rows = history.join(chosen, [source_col, batch_col], "inner")
-    return (cur.withColumn("is_fallback", F.lit(False))
-               .unionByName(fallback_rows.select(*cur.columns).withColumn("is_fallback", F.lit(True))))
+    serve = (rows.filter(eligible).groupBy(source_col).agg(F.max(b).alias("_batch"))
+                 .withColumnRenamed(source_col, "_source"))
+    found = rows.join(serve, (F.col(source_col) == F.col("_source")) & (b == F.col("_batch")))
+    return found.select(*rows.columns).withColumn("is_fallback", b < ref)

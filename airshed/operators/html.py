@@ -1,63 +1,146 @@
-"""HTML pages -> rows (H1-H3), as JVM regex jobs over ``pages``.
-
-Each page is handled inside its own row with ``regexp_extract_all`` and
-higher-order functions, so pages are parsed in parallel where they sit; no
-Python worker is started and nothing is collected. The patterns cover the
-two layouts the feeds use (a striped table; a list of items with a title
-link, summary and date) and their class-less fallbacks.
+"""HTML pages -> rows (H1-H3), inside the JVM.
+
+Comments, scripts and styles are dropped first; the rest is cut before each
+tag, and an element runs from its opening tag to the closing tag that
+brings the depth of its name back to where it was, so nested elements of
+the same name stay whole. Each page is handled in its own row with
+higher-order functions; no Python worker is started and nothing is
+collected. Class lists are read from double-quoted, single-quoted and bare
+attributes.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airshed import rules
 from airshed.functions.exprs import absolute_url, numeric_text, site_root
 
-_FLAGS = "(?is)"
+_NOISE = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
 
 
-def strip_tags(c: Column) -> Column:
-    """Visible text of an HTML fragment the way a parser's stripped text
-    is built: every text node is stripped and the nodes are joined with
-    no separator (``Hà <b>Nội</b>`` -> ``HàNội``); whitespace inside a
-    node is kept. Common entities are decoded."""
-    t = F.regexp_replace(c, r"(?s)\s*<[^>]*>\s*", "")
-    for ent, ch in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&amp;", "&")):
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return F.regexp_replace(t, r"^[\s\x{A0}]+|[\s\x{A0}]+$", "")
+def clean_html(c: Column) -> Column:
+    """Without comments, scripts and styles."""
+    return F.regexp_replace(c, _NOISE, "")
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of an opening tag; NULL when it has none."""
+    found = rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+    value = F.concat(*(F.regexp_extract(tag, found, i) for i in (1, 2, 3)))
+    return F.when(tag.rlike(found), decode_entities(value))
+
+
+def has_class(tag: Column, cls: str) -> Column:
+    """The class list of an opening tag holds the token ``cls``."""
+    return F.coalesce(F.array_contains(F.split(attribute(tag, "class"), r"\s+"), cls), F.lit(False))
 
 
-def _first_match(html: Column, pattern: str) -> Column:
-    return F.regexp_extract(html, _FLAGS + pattern, 1)
+def decode_entities(c: Column) -> Column:
+    """Character references (decimal, hexadecimal, named) as characters."""
+    names = F.create_map(*[F.lit(x) for n, p in name2codepoint.items() for x in (n, chr(p))])
+    parts = F.split(c, r"&(?=#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};|[a-zA-Z][a-zA-Z0-9]{1,31};)")
 
+    def one(part: Column, i: Column) -> Column:
+        name = F.substring_index(part, ";", 1)
+        after = F.substr(part, F.length(name) + 2, F.length(part))
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3), F.lit(7)), 16, 10)) \
+            .otherwise(F.substr(name, F.lit(2), F.lit(8))).try_cast("int")
+        point = F.when(number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF), number).otherwise(0xFFFD)
+        char = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+        text = F.when(name.startswith("#"), F.concat(char, after)) \
+            .otherwise(F.coalesce(F.concat(F.element_at(names, name), after), F.concat(F.lit("&"), part)))
+        return F.when(i == 0, part).otherwise(text)
 
-def _class_token(cls: str) -> str:
-    """Regex for a tag whose class attribute holds the token ``cls``."""
-    return rf"class=\"(?:[^\"]*\s)?{cls}(?:\s[^\"]*)?\""
+    return F.when(c.contains("&"), F.array_join(F.transform(parts, one), "")).otherwise(c)
+
+
+def strip_tags(c: Column) -> Column:
+    """Visible text of an HTML fragment the way a parser's stripped text
+    is built: every text node is decoded and stripped, and the nodes are
+    joined with no separator (``Hà <b>Nội</b>`` -> ``HàNội``); whitespace
+    inside a node is kept."""
+    nodes = F.split(c, r"<[^>]*>")
+    return F.array_join(F.transform(nodes, lambda n: F.regexp_replace(
+        decode_entities(n), r"^[\s\x{A0}]+|[\s\x{A0}]+$", "")), "")
+
+
+def with_elements(df: DataFrame, html_col: str, names: str | tuple[str, ...], out: str,
+                  within: str | None = None) -> DataFrame:
+    """``out``: array of (at, length, open, inner) of the elements of these
+    names, in page order, also those inside each other. ``open`` is the
+    opening tag, ``inner`` what lies between it and the element's own closing
+    tag (the end of the text, if that is missing). ``within``: only elements
+    inside an element of that name."""
+    word = names if isinstance(names, str) else "|".join(names)
+    toks, marks = f"_{out}_toks", f"_{out}_marks"
+
+    def delta(t: Column, pattern: str) -> Column:
+        return F.when(t.rlike(rf"(?i)^<(?:{pattern})[\s>/]"), 1).when(t.rlike(rf"(?i)^</(?:{pattern})\s*>"), -1).otherwise(0)
+
+    def mark(seen: Column, t: Column) -> Column:
+        """One token more: whether it opens an element, and the depths after it."""
+        last, step = F.try_element_at(seen, F.lit(-1)), delta(t, word)
+        inside = F.coalesce(last["inside"], F.lit(0)) + (delta(t, within) if within else F.lit(1))
+        return F.concat(seen, F.array(F.named_struct(
+            F.lit("opens"), (step == 1) & (inside > 0), F.lit("depth"), F.coalesce(last["depth"], F.lit(0)) + step,
+            F.lit("inside"), inside)))
+
+    # the marks are read many times: a column of its own, computed once a row
+    none = F.array().cast("array<struct<opens: boolean, depth: int, inside: int>>")
+    df = df.withColumn(toks, F.split(F.col(html_col), "(?=<)")).withColumn(marks, F.aggregate(F.col(toks), none, mark))
+    n = F.size(F.col(toks))
+
+    def element(i: Column) -> Column:
+        own = F.get(F.col(marks), i)["depth"]
+        after = F.slice(F.col(marks), i + 2, n)
+        stop = F.array_position(F.transform(after, lambda m: m["depth"] < own), True)
+        length = F.when(stop > 0, stop).otherwise(n - i).cast("int")
+        first = F.get(F.col(toks), i)
+        head = F.concat(F.substring_index(first, ">", 1), F.lit(">"))
+        body = F.concat(F.substr(first, F.length(head) + 1, F.length(first)),
+                        F.array_join(F.slice(F.col(toks), i + 2, length - 1), ""))
+        return F.named_struct(F.lit("at"), i, F.lit("length"), length, F.lit("open"), head, F.lit("inner"), body)
+
+    opened = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get(F.col(marks), i)["opens"])
+    kept = [c for c in df.columns if c not in (toks, marks)]
+    return df.select(*kept, F.transform(opened, element).alias(out))
+
+
+def outermost(elements: Column) -> Column:
+    """The elements that lie in none of the others."""
+    return F.filter(elements, lambda e: ~F.exists(
+        elements, lambda o: (o["at"] < e["at"]) & (e["at"] < o["at"] + o["length"])))
+
+
+def once(c: Column) -> Column:
+    """A generator of the one value ``c``: conditions on it are tested after
+    it is computed, instead of being pushed below with a copy of it each."""
+    return F.explode(F.array(c))
 
 
 def html_table_rows(pages: DataFrame, html_col: str = "html", table_class: str = "table-striped",
                     keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """H1 first half: (page, row_no, cells[]). Rows are the ``tbody`` rows
-    of every table with the class; when there are none, all rows of the
-    first table with the class, else of the first table on the page."""
-    html = F.col(html_col)
-    tables = F.regexp_extract_all(html, F.lit(_FLAGS + rf"(<table[^>]*{_class_token(table_class)}[^>]*>.*?</table>)"), 1)
-    bodies = F.flatten(F.transform(tables, lambda t: F.regexp_extract_all(
-        t, F.lit(_FLAGS + r"<tbody[^>]*>(.*?)</tbody>"), 1)))
-    body_rows = F.flatten(F.transform(bodies, lambda b: F.regexp_extract_all(
-        b, F.lit(_FLAGS + r"<tr[^>]*>(.*?)</tr>"), 1)))
-    first = F.when(F.size(tables) > 0, F.element_at(tables, 1)).otherwise(
-        _first_match(html, r"(<table[^>]*>.*?</table>)"))
-    all_rows = F.regexp_extract_all(first, F.lit(_FLAGS + r"<tr[^>]*>(.*?)</tr>"), 1)
-    rows = F.when(F.size(body_rows) > 0, body_rows).otherwise(all_rows)
-    exploded = pages.select(*keep, F.posexplode(rows).alias("row_no", "row_html"))
-    cells = F.transform(F.regexp_extract_all(F.col("row_html"), F.lit(_FLAGS + r"<t[dh][^>]*>(.*?)</t[dh]>"), 1),
-                        strip_tags)
-    return exploded.select(*keep, "row_no", cells.alias("cells"))
+    """H1 first half: (page, row_no, cells[]). Rows are the rows inside a
+    ``tbody`` of the tables with the class; when there are none, all rows
+    of the first table with the class, else of the first table. A row's
+    cells are all cells inside it, those of nested tables too, and nested
+    rows are rows of their own."""
+    page = pages.select(*keep, clean_html(F.col(html_col)).alias("_html"))
+    page = with_elements(page, "_html", "table", "_tables").drop("_html")
+    page = page.withColumn("_striped", F.filter("_tables", lambda t: has_class(t["open"], table_class)))
+    first = F.coalesce(F.get("_striped", 0), F.get("_tables", 0))["inner"]
+    page = page.select(*keep, F.array_join(F.transform(outermost(F.col("_striped")), lambda t: t["inner"]), "").alias("_in"),
+                       F.coalesce(first, F.lit("")).alias("_first"))
+    page = with_elements(page, "_in", "tr", "_body", within="tbody")
+    page = with_elements(page, "_first", "tr", "_all")
+    rows = F.when(F.size("_body") > 0, F.col("_body")).otherwise(F.col("_all"))
+    row = page.select(*keep, F.posexplode(rows).alias("row_no", "_row")).select(*keep, "row_no", F.col("_row.inner").alias("_row"))
+    row = with_elements(row, "_row", ("td", "th"), "_cells")
+    return row.select(*keep, "row_no", once(F.transform("_cells", lambda c: strip_tags(c["inner"]))).alias("cells"))
 
 
 def html_tables(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url"),
@@ -78,51 +161,48 @@ def html_tables(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...]
                        F.element_at("cells", 4).alias("published_time"))
 
 
-ITEM_START = r"<div[^>]*class=\"[^\"]*\bitem\b[^\"]*\"[^>]*>"
-# fallback layout: any div whose class contains 'news' or 'item'
-FALLBACK_START = r"<div[^>]*class=\"[^\"]*(?:news|item)[^\"]*\"[^>]*>"
-LIST_ENTRY = r"<li[^>]*>(.*?)</li>"
-
-
-def _blocks_after(html: Column, start: str) -> Column:
-    """Text from each opening tag matching ``start`` to the next one."""
-    parts = F.split(html, "(?i)" + start)
-    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-
-
 def html_items(pages: DataFrame, html_col: str = "html", url_col: str = "url",
                base_url: str | Column | None = None, keep: tuple[str, ...] = ("page_id",),
-               item_start: str = ITEM_START, fallback_start: str = FALLBACK_START,
-               items_pattern: str | None = None) -> DataFrame:
+               list_class: str = "news-list", item_class: str = "item", item_tag: str = "div",
+               fallback: str = "news|item") -> DataFrame:
     """H2 + F20: items with title, link, summary and date.
 
-    Items are the ``item`` blocks of the list layout (the text from one
-    item opening to the next), else the blocks of any div whose class
-    contains 'news' or 'item'. ``items_pattern`` (a regex with one group)
-    replaces both for another layout, e.g. ``LIST_ENTRY`` for ``li``
-    entries. The title is the item's heading link, else its first link
-    ('N/A' when none); relative links are made absolute against
-    ``base_url`` (default: scheme and host of the page URL). Items with no
-    title and no summary are skipped.
+    Items are the ``item_tag`` elements of class ``item_class`` inside a
+    ``div`` of class ``list_class``; when there are none, every ``item_tag``
+    whose class matches ``fallback`` (an empty pattern: every ``item_tag``).
+    An item ends at its own closing tag. The title is the first link inside
+    a heading (h3), else the first link ('N/A' when none); relative links
+    are made absolute against ``base_url`` (default: scheme and host of the
+    page URL), a link without a target stays NULL. Items with no title and
+    no summary are skipped.
     """
-    html = F.col(html_col)
-    if items_pattern is not None:
-        items = F.regexp_extract_all(html, F.lit(_FLAGS + items_pattern), 1)
-    else:
-        primary = _blocks_after(html, item_start)
-        items = F.when(F.size(primary) > 0, primary).otherwise(_blocks_after(html, fallback_start))
     base = site_root(F.col(url_col)) if base_url is None else (
         F.lit(base_url) if isinstance(base_url, str) else base_url)
-    ex = pages.select(*keep, base.alias("_base"), F.posexplode(items).alias("item_no", "_item"))
-    it = F.col("_item")
-    heading_a = _first_match(it, r"<h3[^>]*>\s*(<a\b[^>]*>.*?</a>)")
-    any_a = _first_match(it, r"(<a\b[^>]*>.*?</a>)")
-    a = F.when(F.length(heading_a) > 0, heading_a).otherwise(any_a)
-    has_a = F.length(a) > 0
-    title = F.when(has_a, strip_tags(a)).otherwise(F.lit("N/A"))
-    href = F.when(has_a, F.regexp_extract(a, r"(?is)href=\"([^\"]*)\"", 1)).otherwise(F.lit(""))
-    summary = strip_tags(_first_match(it, r"<div[^>]*class=\"[^\"]*\bsummary\b[^\"]*\"[^>]*>(.*?)</div>"))
-    pdate = strip_tags(_first_match(it, r"<span[^>]*class=\"[^\"]*\bdate\b[^\"]*\"[^>]*>(.*?)</span>"))
-    out = ex.select(*keep, "item_no", title.alias("title"), summary.alias("summary"),
-                    pdate.alias("publish_date"), absolute_url(href, F.col("_base")).alias("detail_url"))
+    page = pages.select(*keep, base.alias("_base"), clean_html(F.col(html_col)).alias("_html"))
+    page = with_elements(page, "_html", "div", "_divs")
+    lists = outermost(F.filter("_divs", lambda d: has_class(d["open"], list_class)))
+    page = page.withColumn("_in", F.array_join(F.transform(lists, lambda d: d["inner"]), "")).drop("_divs")
+    page = with_elements(page, "_in", item_tag, "_items")
+    page = with_elements(page, "_html", item_tag, "_any").drop("_html", "_in")
+    chosen = F.filter("_items", lambda e: has_class(e["open"], item_class))
+    other = F.filter("_any", lambda e: F.coalesce(attribute(e["open"], "class"), F.lit("")).rlike(fallback)) \
+        if fallback else F.col("_any")
+    page = page.withColumn("_chosen", chosen)
+    items = F.when(F.size("_chosen") > 0, F.col("_chosen")).otherwise(other)
+    item = page.select(*keep, "_base", F.posexplode(items).alias("item_no", "_item")) \
+               .select(*keep, "_base", "item_no", F.col("_item.inner").alias("_item"))
+    for tag, out in (("h3", "_h3"), ("a", "_a"), ("div", "_div"), ("span", "_span")):
+        item = with_elements(item, "_item", tag, out)
+    headed = F.filter("_a", lambda a: F.exists(
+        "_h3", lambda h: (h["at"] < a["at"]) & (a["at"] < h["at"] + h["length"])))
+    link = F.coalesce(F.get(headed, 0), F.get("_a", 0))
+    first = lambda c, cls: F.get(F.filter(c, lambda e: has_class(e["open"], cls)), 0)["inner"]
+    item = item.select(*keep, "_base", "item_no", link.alias("_link"), first("_div", "summary").alias("_summary"),
+                       first("_span", "date").alias("_date"))
+    title = F.when(F.col("_link").isNull(), "N/A").otherwise(strip_tags(F.col("_link.inner")))
+    href = F.when(F.col("_link").isNull(), "").otherwise(attribute(F.col("_link.open"), "href"))
+    found = F.struct(title.alias("title"), strip_tags(F.coalesce("_summary", F.lit(""))).alias("summary"),
+                     strip_tags(F.coalesce("_date", F.lit(""))).alias("publish_date"),
+                     absolute_url(href, F.col("_base")).alias("detail_url"))
+    out = item.select(*keep, "item_no", once(found).alias("_found")).select(*keep, "item_no", "_found.*")
     return out.filter(~((F.col("title") == "N/A") & (F.col("summary") == "")))

@@ -40,8 +40,9 @@ def flatten_latest(df: DataFrame, doc_col: str = "doc",
                    keep: Sequence[str] = ()) -> DataFrame:
     """N1 + J6: one row per latest measurement of a location document.
 
-    The sensor id -> parameter lookup is a map built inside the document
-    (``map_from_entries``), so the lookup never leaves the row. Missing
+    The sensor id -> parameter lookup searches the document's own sensor
+    list from its end, so it never leaves the row and the last entry of a
+    repeated id counts. Missing
     sensors give an empty name and are dropped by the target filter; the
     measurement time is either text or an object with ``utc``. A missing
     ``locality`` falls back to ``city`` (a null one stays null) and a
@@ -55,14 +56,8 @@ def flatten_latest(df: DataFrame, doc_col: str = "doc",
     name = get_or(lv, "$.location.name", "string", F.lit("Unknown"))
     city = F.when(_present(lv, "$.location.locality"), loc["locality"]) \
         .otherwise(get_or(lv, "$.location.city", "string", F.lit("")))
-    sensor_map = F.map_from_entries(F.transform(
-        # sensors with a falsy id (missing or 0) or no parameter are skipped
-        F.filter(loc["sensors"], lambda s: s["id"].isNotNull() & (s["id"] != 0) & s["parameter"].isNotNull()),
-        # named_struct: aliases inside a lambda would not name the fields
-        lambda s: F.named_struct(
-            F.lit("key"), s["id"],
-            F.lit("value"), F.named_struct(F.lit("name"), F.lower(F.coalesce(s["parameter"]["name"], F.lit(""))),
-                                           F.lit("units"), F.coalesce(s["parameter"]["units"], F.lit(""))))))
+    # sensors with a falsy id (missing or 0) or no parameter are skipped
+    sensors = F.filter(loc["sensors"], lambda s: s["id"].isNotNull() & (s["id"] != 0) & s["parameter"].isNotNull())
     rows = parsed.select(
         *keep,
         loc["id"].alias("location_id"),
@@ -70,15 +65,16 @@ def flatten_latest(df: DataFrame, doc_col: str = "doc",
         city.alias("city"),
         loc["coordinates"]["latitude"].alias("latitude"),
         loc["coordinates"]["longitude"].alias("longitude"),
-        sensor_map.alias("_sensors"),
+        sensors.alias("_sensors"),
         F.explode(F.col("d.latest.results")).alias("_m"))
-    info = F.element_at(F.col("_sensors"), F.col("_m.sensorsId"))
+    same = F.filter("_sensors", lambda s: s["id"] == F.col("_m.sensorsId"))
+    info = F.get(same, F.size(same) - 1)["parameter"]
     dt = F.col("_m.datetime")
     dt_text = F.coalesce(F.get_json_object(dt, "$.utc"),
                          F.when(~dt.startswith("{"), dt), F.lit(""))
     out = rows.select(
         *keep, "location_id", "location_name", "city", "latitude", "longitude",
-        F.coalesce(info["name"], F.lit("")).alias("parameter"),
+        F.lower(F.coalesce(info["name"], F.lit(""))).alias("parameter"),
         F.col("_m.value").alias("value"),
         F.coalesce(info["units"], F.lit("")).alias("unit"),
         dt_text.alias("last_updated"))
@@ -133,28 +129,43 @@ def flatten_arrays(df: DataFrame, struct_col: str, time_field: str, fields: Sequ
 
 
 ELEMENTS_SCHEMA = ("struct<elements: array<struct<type: string, id: bigint, lat: double, lon: double, "
-                   "tags: map<string, string>>>>")
+                   "tags: string>>>")
 
 
 def flatten_elements(df: DataFrame, doc_col: str = "doc", element_type: str = "node",
                      default_name: str = "Unknown") -> DataFrame:
     """N5 + F17: map elements of one type -> points with tag lookups. The
     amenity tag has no default; a missing name tag becomes 'Unknown' (a
-    null one stays null)."""
+    null one stays null). Of a repeated tag the last value counts."""
     d = F.from_json(F.col(doc_col), ELEMENTS_SCHEMA)
     rows = df.select(F.explode(d["elements"]).alias("e")).filter(F.col("e.type") == element_type)
-    tags = F.coalesce(F.col("e.tags"), F.create_map().cast("map<string,string>"))
-    name = F.when(F.map_contains_key(tags, "name"), F.element_at(tags, F.lit("name"))).otherwise(F.lit(default_name))
+    # a map read from JSON keeps every entry of a repeated key, in order
+    entries = F.coalesce(F.map_entries(F.from_json(F.col("e.tags"), "map<string, string>")),
+                         F.array().cast("array<struct<key: string, value: string>>"))
+    tag = lambda k: F.filter(entries, lambda t: t["key"] == F.lit(k))
+    last = lambda a: F.get(a, F.size(a) - 1)["value"]
+    name = F.when(F.size(tag("name")) > 0, last(tag("name"))).otherwise(F.lit(default_name))
     return rows.select(
         F.col("e.id").alias("node_id"), F.col("e.lat").alias("latitude"), F.col("e.lon").alias("longitude"),
-        F.element_at(tags, F.lit("amenity")).alias("amenity_type"), name.alias("name"))
+        last(tag("amenity")).alias("amenity_type"), name.alias("name"))
 
 
 def zip_by_position(left: DataFrame, left_array: str, right: DataFrame, right_array: str,
                     key: str | Sequence[str]) -> DataFrame:
     """Pair two lists by position within the same key; stops at the
-    shorter list (an inner join on (key, position))."""
+    shorter list. The lists of a key meet once, whole (``key`` is unique on
+    both sides), and are zipped inside the row."""
     keys = [key] if isinstance(key, str) else list(key)
-    lp = left.select(*keys, F.posexplode(left_array).alias("pos", "left_item"))
-    rp = right.select(*keys, F.posexplode(right_array).alias("pos", "right_item"))
-    return lp.join(rp, [*keys, "pos"], "inner")
+    both = left.select(*keys, F.col(left_array).alias("_left")).join(
+        right.select(*keys, F.col(right_array).alias("_right")), keys)
+    return zip_arrays(both, "_left", "_right", keep=keys)
+
+
+def zip_arrays(df: DataFrame, left_array: str, right_array: str, keep: Sequence[str] = ()) -> DataFrame:
+    """J7 within a row: (pos, left_item, right_item) up to the shorter list;
+    no join and no shuffle."""
+    n = F.least(F.size(left_array), F.size(right_array))
+    pairs = F.arrays_zip(F.slice(left_array, 1, F.greatest(n, F.lit(0))).alias("left_item"),
+                         F.slice(right_array, 1, F.greatest(n, F.lit(0))).alias("right_item"))
+    return df.select(*keep, F.posexplode(pairs).alias("pos", "_p")).select(
+        *keep, "pos", F.col("_p")["left_item"].alias("left_item"), F.col("_p")["right_item"].alias("right_item"))
