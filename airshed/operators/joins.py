@@ -1,11 +1,10 @@
 """Join operators.
 
-Broadcast policy: a side is hinted for broadcast only when its size is
-proven — either a fixed rule/seed table, or a bounded ``limit(n+1).count()``
-check that returns at most ``max_rows``. Otherwise the join stays a shuffle
-join and AQE may still turn it into a broadcast after measuring the real
-shuffle output (``spark.sql.adaptive.autoBroadcastJoinThreshold``), and
-splits skewed partitions (``spark.sql.adaptive.skewJoin.enabled``).
+Broadcast policy: a side is hinted for broadcast only when it is a fixed
+rule or seed table. Every other join is a shuffle join, which AQE turns
+into a broadcast after measuring the bytes of the real shuffle output
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``) and whose skewed
+partitions it splits (``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
@@ -15,31 +14,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound for a checked broadcast: rows of a dimension we accept to ship
-# to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else
-    ``df`` unchanged. The check reads at most ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,
-             how: str = "inner", broadcast: bool | str = "auto",
-             max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Fact x dimension join.
-
-    ``broadcast=True``: the caller vouches for a fixed small dimension (seed
-    or rule table). ``"check"``: broadcast after a bounded row-count check.
-    ``"auto"``: no hint; shuffle join re-planned by AQE at runtime.
-    """
-    if broadcast is True:
+             how: str = "inner", broadcast: bool = False) -> DataFrame:
+    """Fact x dimension join. With ``broadcast`` the caller vouches for a
+    fixed small dimension (seed or rule table); else there is no hint and
+    AQE plans the join from measured sizes."""
+    if broadcast:
         dim = F.broadcast(dim)
-    elif broadcast == "check":
-        dim = checked_broadcast(dim, max_rows)
     return fact.join(dim, on=on, how=how)
 
 

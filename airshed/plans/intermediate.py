@@ -89,14 +89,14 @@ def river_station_key(rivers: DataFrame) -> F.Column:
 
 def flood_risk(stg_flood: DataFrame, rivers: DataFrame,
                point_aliases: Mapping[str, str] | None = None,
-               broadcast_seed: bool | str = True, seed_key=None,
+               broadcast_seed: bool = True, seed_key=None,
                river_aliases: Mapping[str, str] | None = None) -> DataFrame:
     """Per day x city: average discharge and its capped 0-30 component.
 
     The reference seed is a fixed-size table (one row per monitoring point)
     and is broadcast, so readings never shuffle for this join; a station
-    table that grows with the data passes ``broadcast_seed="auto"`` (AQE
-    measures it) or ``"check"``. ``seed_key`` is the seed-side key matched
+    table that grows with the data passes ``broadcast_seed=False`` (AQE
+    measures it). ``seed_key`` is the seed-side key matched
     against the readings' river name (default ``name (point)``);
     ``river_aliases`` renames readings' river names first (spellings that
     differ from the seed), ``point_aliases`` maps monitoring points to
@@ -142,25 +142,26 @@ def aqi_risk(daily_aqi: DataFrame) -> DataFrame:
 
 def combine_risk(aqi: DataFrame, flood: DataFrame, fire: DataFrame,
                  regional_name: str = "Regional") -> DataFrame:
-    """Full outer join of the three components: (date, city) for air and
-    flood, then date only for fire; composite score and level (the level
-    uses the unrounded sum)."""
-    a = aqi.select(F.to_date("risk_date").alias("a_date"), F.col("city_name").alias("a_city"),
-                   "latitude", "longitude", "aqi_risk_score")
-    fl = flood.select(F.to_date("risk_date").alias("fl_date"), F.col("city_name").alias("fl_city"),
-                      "flood_risk_score", "avg_discharge")
-    fi = fire.select(F.to_date("risk_date").alias("fi_date"), "fire_risk_score", "hotspot_count")
-    af = a.join(fl, (F.col("a_date") == F.col("fl_date")) & (F.col("a_city") == F.col("fl_city")), "full")
-    allj = af.join(fi, F.coalesce(F.col("a_date"), F.col("fl_date")) == F.col("fi_date"), "full")
-    total = (F.coalesce(F.col("aqi_risk_score"), F.lit(0)) + F.coalesce(F.col("flood_risk_score"), F.lit(0))
-             + F.coalesce(F.col("fire_risk_score"), F.lit(0)))
-    return allj.select(
-        F.coalesce("a_date", "fl_date", "fi_date").alias("risk_date"),
-        F.coalesce(F.col("a_city"), F.col("fl_city"), F.lit(regional_name)).alias("province_name"),
-        "latitude", "longitude",
-        F.coalesce(F.col("aqi_risk_score"), F.lit(0)).alias("aqi_risk_score"),
-        F.coalesce(F.col("flood_risk_score"), F.lit(0)).alias("flood_risk_score"),
-        F.coalesce(F.col("fire_risk_score"), F.lit(0)).alias("fire_risk_score"),
+    """Air, flood and fire components per day and province; composite score
+    and level (the level uses the unrounded sum).
+
+    Air and flood meet on (day, city) in a full outer join. Fire has one row
+    a day: it is left-joined to those rows, so a day with many cities can be
+    split or broadcast against, and the days that only fire knows are added
+    by an anti join with the distinct days.
+    """
+    air = aqi.select(F.to_date("risk_date").alias("risk_date"), "city_name", "latitude", "longitude", "aqi_risk_score")
+    water = flood.select(F.to_date("risk_date").alias("risk_date"), "city_name", "flood_risk_score", "avg_discharge")
+    local = full_join_coalesced(air, water, ["risk_date", "city_name"])
+    daily = fire.select(F.to_date("risk_date").alias("fire_day"), "fire_risk_score", "hotspot_count")
+    with_fire = local.join(daily, local["risk_date"] == daily["fire_day"], "left").drop("fire_day")
+    days = local.select(F.col("risk_date").alias("seen")).distinct()
+    alone = daily.join(days, daily["fire_day"] == days["seen"], "left_anti").withColumnRenamed("fire_day", "risk_date")
+    parts = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("aqi_risk_score", "flood_risk_score", "fire_risk_score")}
+    total = parts["aqi_risk_score"] + parts["flood_risk_score"] + parts["fire_risk_score"]
+    return with_fire.unionByName(alone, allowMissingColumns=True).select(
+        "risk_date", F.coalesce("city_name", F.lit(regional_name)).alias("province_name"), "latitude", "longitude",
+        *(c.alias(n) for n, c in parts.items()),
         F.round(total, 1).alias("composite_risk_score"),
         bucketize(total, rules.RISK_LEVEL_CUTS, rules.RISK_LEVEL_DEFAULT).alias("risk_level"),
         "avg_discharge", "hotspot_count")
@@ -170,7 +171,7 @@ def int_environmental_risk(daily_aqi: DataFrame, stg_flood: DataFrame, rivers: D
                            stg_fire: DataFrame,
                            point_aliases: Mapping[str, str] | None = None,
                            confidence: Iterable[str] = rules.FIRE_CONFIDENCE,
-                           broadcast_seed: bool | str = True, seed_key=None,
+                           broadcast_seed: bool = True, seed_key=None,
                            river_aliases: Mapping[str, str] | None = None) -> DataFrame:
     """T-11: composite 0-100 risk per day and province."""
     return combine_risk(aqi_risk(daily_aqi),

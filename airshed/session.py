@@ -69,10 +69,8 @@ def apply_core_conf(spark: SparkSession) -> None:
     for key, value in CORE_CONF.items():
         if key == "spark.ui.enabled":
             continue
-        try:
+        if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
-        except Exception:  # static conf on a running session
-            pass
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -116,18 +114,16 @@ def input_bytes(spark: SparkSession, paths: list[str] | str) -> int:
     return int(total)
 
 
-def size_shuffle_partitions(spark: SparkSession, paths: list[str] | str,
-                            target_bytes: int = 128 * 1024 * 1024, min_partitions: int | None = None,
-                            max_partitions: int = 200_000) -> int:
-    """Set the initial shuffle partition count from the input size: about
-    one partition per ``target_bytes`` of input (columnar input expands in
-    a shuffle, so this errs on the side of more partitions), never fewer
-    than the cluster's cores. AQE coalesces the ones that turn out small;
-    it cannot split large ones (except skewed join partitions), so the
-    initial count must scale with the data."""
-    cores = spark.sparkContext.defaultParallelism
-    need = -(-input_bytes(spark, paths) // target_bytes)
-    parts = int(min(max(need, min_partitions or cores, 1), max_partitions))
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
-    return parts
+def sized_session(spark: SparkSession, paths: list[str] | str,
+                  target_bytes: int = 128 * 1024 * 1024) -> SparkSession:
+    """A session of the same application whose shuffles start with about one
+    partition per ``target_bytes`` of the input under ``paths``, never fewer
+    than the cluster's cores. AQE coalesces partitions that turn out small
+    but splits large ones only in joins, so the initial count follows the
+    data. The caller's session keeps its settings."""
+    parts = str(max(-(-input_bytes(spark, paths) // target_bytes), spark.sparkContext.defaultParallelism, 1))
+    sized = spark.newSession()
+    apply_core_conf(sized)
+    sized.conf.set("spark.sql.shuffle.partitions", parts)
+    sized.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", parts)
+    return sized

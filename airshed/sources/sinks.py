@@ -11,7 +11,9 @@ from __future__ import annotations
 import logging
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from airshed import rules
@@ -55,20 +57,13 @@ def write_partitioned(df: DataFrame, path: str, run_ts: datetime, mode: str = "a
 
 def replace_table(df: DataFrame, target: str, partition_cols: list[str], fmt: str = "parquet",
                   catalog_table: bool = False) -> None:
-    """Replace a partitioned table. All partition columns are passed in one
-    call (repeated calls would keep only the last). A v2 catalog table gets
-    ``createOrReplace``; paths and the built-in catalog get an overwrite."""
-    if catalog_table:
-        writer = df.writeTo(target)
-        if partition_cols:
-            writer = writer.partitionedBy(*[F.col(c) for c in partition_cols])
-        try:
-            writer.using(fmt).createOrReplace()
-            return
-        except Exception:  # built-in catalog: no REPLACE AS SELECT
-            df.write.mode("overwrite").format(fmt).partitionBy(*partition_cols).saveAsTable(target)
-            return
-    df.write.mode("overwrite").format(fmt).partitionBy(*partition_cols).save(target)
+    """Replace a partitioned table (a path or a table of the catalog). The
+    rows are rebalanced by the partition columns first: a partition is
+    written by one task, a large one by several of the advisory size, and
+    no task writes a file for every partition."""
+    rows = df.hint("rebalance", *partition_cols) if partition_cols else df
+    writer = rows.write.mode("overwrite").format(fmt).partitionBy(*partition_cols)
+    writer.saveAsTable(target) if catalog_table else writer.save(target)
 
 
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
@@ -96,37 +91,37 @@ def run_log_row(spark: SparkSession, source: str, rows: int, path: str, status:
 
 def land(df: DataFrame, source: str, run_ts: datetime, mode: str, lake_path: str,
          log_path: str, text_path: str | None = None) -> DataFrame:
-    """Land one batch: empty -> status EMPTY, nothing written; else add
-    lineage, append to the date-partitioned lake (failure -> FAILED),
-    optionally replace the text table (failure only logged), and append
-    one run-log row. Returns the log row.
-
-    The row count comes from an observation on the write itself, so the
-    batch is scanned once.
+    """Land one batch: add lineage, write it to the date-partitioned lake
+    (failure -> FAILED), optionally replace the text table from the files
+    just written (failure only logged), and log the run. A batch without
+    rows is EMPTY. Returns the log row.
+
+    The batch is computed once, by the lake write, whose observed row count
+    tells an empty batch; the text table reads the written run folder. The
+    log row has a folder of its own, named by source and run time, so a
+    retried run replaces its row.
     """
-    spark = df.sparkSession
-    if df.isEmpty():
-        log = run_log_row(spark, source, 0, "", "EMPTY", run_ts)
-    else:
-        tagged = add_lineage(df, source, F.lit(run_ts).cast("timestamp"), mode)
-        from pyspark.sql import Observation
-        obs = Observation(f"land_{source}")
-        observed = tagged.observe(obs, F.count(F.lit(1)).alias("rows"))
+    spark, log = df.sparkSession, logging.getLogger("airshed.land")
+    rows = Observation(f"land_{source}")
+    tagged = add_lineage(df, source, F.lit(run_ts).cast("timestamp"), mode).observe(rows, F.count(F.lit(1)).alias("rows"))
+    status, n, path = "SUCCESS", 0, ""
+    try:
+        path = write_partitioned(tagged, f"{lake_path.rstrip('/')}/{source}", run_ts)
+        n = rows.get.get("rows", 0)
+    except (PySparkException, Py4JError) as error:
+        log.error("lake write failed for %s: %s", source, str(error).split("\n", 1)[0])
+        status, path = "FAILED", ""
+    if status == "SUCCESS" and not n:
+        status, path = "EMPTY", ""
+    if n and text_path:
+        # the text copy is secondary: a failure is logged, the run stays SUCCESS
         try:
-            path = write_partitioned(observed, f"{lake_path.rstrip('/')}/{source}", run_ts)
-        except Exception:
-            logging.getLogger("airshed.land").exception("lake write failed for %s", source)
-            log = run_log_row(spark, source, 0, "", "FAILED", run_ts)
-        else:
-            if text_path:
-                # the text copy is secondary: a failure is logged, the run stays SUCCESS
-                try:
-                    write_text_replace(tagged, f"{text_path.rstrip('/')}/{source}")
-                except Exception:
-                    logging.getLogger("airshed.land").exception("text table load failed for %s", source)
-            log = run_log_row(spark, source, obs.get.get("rows", 0), path, "SUCCESS", run_ts)
-    log.write.mode("append").parquet(log_path)
-    return log
+            write_text_replace(spark.read.schema(tagged.schema).parquet(path), f"{text_path.rstrip('/')}/{source}")
+        except (PySparkException, Py4JError) as error:
+            log.error("text table load failed for %s: %s", source, str(error).split("\n", 1)[0])
+    row = run_log_row(spark, source, n, path, status, run_ts)
+    row.write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/run={source}-{run_ts:%Y%m%d%H%M%S}")
+    return row
 
 
 def recent_runs(log: DataFrame, as_of, hours: int = rules.FRESHNESS_HOURS) -> DataFrame:
