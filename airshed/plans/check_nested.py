@@ -12,11 +12,10 @@ from airshed import rules
 from airshed.functions.exprs import aqi_subindex, bucketize, risk_score
 from airshed.operators.changes import apply_changes
 from airshed.operators.fallback import with_fallback
-from airshed.operators.html import LIST_ENTRY, html_items
+from airshed.operators.html import html_items
 from airshed.operators.nested import as_list, flatten_arrays, flatten_latest
-from airshed.operators.partitioning import spread
 from airshed.operators.quality import Rule, aqi_range_rule, run_rules
-from airshed.plans.check_staging import CODE_OF_TYPE, map_lit, ntz, sql_case, sround, station_places, table
+from airshed.plans.check_staging import CODE_OF_TYPE, ladder_sql, map_lit, ntz, sql_case, sround, station_places, table
 from airshed.streaming.validator import reason_counts, validate
 
 # Documents hold at most this many readings: bounded arrays whatever the
@@ -63,9 +62,7 @@ def aqi_sql(code_sql: str, v: str) -> str:
     return f"case {' '.join(arms)} else {generic} end"
 
 
-_PM_SQL = "case when value <= 12 then 'good' when value <= 35.4 then 'moderate' when value <= 55.4 then " \
-          "'unhealthy_sg' when value <= 150.4 then 'unhealthy' when value <= 250.4 then 'very_unhealthy' " \
-          "else 'hazardous' end"
+_PM_SQL = ladder_sql("value", rules.PM25_CATEGORY_CUTS, rules.PM25_CATEGORY_DEFAULT)
 Q25 = f"""
 with e as (select *, {sql_case('event_type', CODE_OF_TYPE)} as pollutant_code from events),
 a as (select event_id, pollutant_code, {aqi_sql('pollutant_code', 'value')} as aqi_value,
@@ -85,10 +82,17 @@ from a
 TARGET_TYPES = ("click", "view", "purchase")
 
 
+def _outdated(sensor):
+    """An earlier entry of the same id with other contents."""
+    return F.named_struct(F.lit("id"), sensor["id"], F.lit("parameter"),
+                          F.named_struct(F.lit("name"), F.lit("NONE"), F.lit("units"), F.lit("none")))
+
+
 def location_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON document per station and block of <= DOC_CHUNK readings:
     location with a sensor list (id -> parameter) and the latest results
-    that refer to sensors by id; 'error' readings have no sensor entry.
+    that refer to sensors by id; 'error' readings have no sensor entry, the
+    other ids are listed twice and only the last entry holds.
     Even stations carry a locality; every third station writes times as
     ``{"utc": ...}`` objects."""
     ev = table(spark, sf_dir, "events")
@@ -100,7 +104,8 @@ def location_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                        F.lit("ppm").alias("units")).alias("parameter")))
     docs = (j.groupBy("user_id", "c_name", "n_name", "n_nationkey", "n_regionkey",
                       F.expr(f"event_id div {DOC_CHUNK}").alias("chunk"))
-             .agg(F.array_distinct(F.collect_list(sensor)).alias("sensors"),
+             .agg(F.concat(F.transform(F.array_distinct(F.collect_list(sensor)), _outdated),
+                           F.array_distinct(F.collect_list(sensor))).alias("sensors"),
                   F.collect_list(F.struct(sid.alias("sensorsId"), F.col("value"),
                                           F.col("ts").cast("string").alias("datetime"))).alias("results")))
     location = F.struct(
@@ -178,7 +183,7 @@ from e join l using (user_id, chunk)
 def q28_html_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages keep their list in ``li`` entries: that layout's selector
     is passed as configuration."""
-    return html_items(spread(table(spark, sf_dir, "pages")), items_pattern=LIST_ENTRY)
+    return html_items(table(spark, sf_dir, "pages"), item_tag="li", fallback="")
 
 
 def _strip_sql(x: str) -> str:
@@ -215,20 +220,27 @@ from r where not (title = 'N/A' and summary = '')
 # Q29: per source, fall back to the latest earlier batch
 # ---------------------------------------------------------------------------
 
-FALLBACK_TTL = "6 HOURS"
+# The last hour of the readings; one source stopped three hours before it,
+# another one longer ago than a batch may be served.
+AS_OF, FALLBACK_TTL = "2024-01-30 23:00:00", "6 HOURS"
+GAPS = {"error": 3, "signup": 9}
 
 
 def q29_snapshot_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     hist = ev.select("event_id", "event_type", F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("batch"))
-    as_of = hist.select(F.max("batch")).scalar()
-    out = with_fallback(hist, "event_type", "batch", as_of, ttl=FALLBACK_TTL)
+    for source, hours in GAPS.items():
+        hist = hist.filter((F.col("event_type") != source) | (F.col("batch") <= F.lit(AS_OF).cast("timestamp")
+                                                              - F.expr(f"INTERVAL {hours} HOURS")))
+    out = with_fallback(hist, "event_type", "batch", AS_OF, ttl=FALLBACK_TTL)
     return out.select("event_id", "event_type", ntz("batch").alias("batch"), "is_fallback")
 
 
 Q29 = """
-with h as (select event_id, event_type, date_trunc('hour', ts) as batch from events),
-m as (select max(batch) as ref from h),
+with h as (select event_id, event_type, date_trunc('hour', ts) as batch from events
+           where not (event_type = 'error' and date_trunc('hour', ts) > timestamp '2024-01-30 20:00:00')
+             and not (event_type = 'signup' and date_trunc('hour', ts) > timestamp '2024-01-30 14:00:00')),
+m as (select timestamp '2024-01-30 23:00:00' as ref),
 cur as (select h.* from h where batch = (select ref from m)),
 missing as (select distinct event_type from h where event_type not in (select event_type from cur)),
 chosen as (select h.event_type, max(h.batch) as batch from h join missing using (event_type)
@@ -290,17 +302,14 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q30_validate_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reason_counts(validate(spread(messages(spark, sf_dir)), "value"))
+    return reason_counts(validate(messages(spark, sf_dir), "value"))
 
 
 _FAULT_SQL = "case " + " ".join(f"when event_id % {m} = 0 then '{n}'" for m, n in FAULTS) + " else 'none' end"
 _VALID_SQL = ", ".join(f"'{p}'" for p in rules.VALID_POLLUTANTS)
 _LAT0, _LAT1, _LON0, _LON1 = rules.VIETNAM_BOX
-Q30 = f"""
-with e as (select event_id, {_FAULT_SQL} as fault, {sql_case('event_type', PARAM_OF_TYPE)} as param,
-                  case when event_id % {NEGATIVE_EVERY} = 0 then -value else value end as v,
-                  8.0 + (user_id % 20) as lat from events),
-r as (select case when fault = 'malformed_text' then 'malformed'
+MESSAGE_SQL = f"""
+select *, case when fault = 'malformed_text' then 'malformed'
                   when fault in ('json_list', 'no_location_id') then 'missing:location_id'
                   when fault in ('float_id', 'bool_id') then 'type:location_id'
                   when fault = 'null_city' then 'type:city'
@@ -308,7 +317,13 @@ r as (select case when fault = 'malformed_text' then 'malformed'
                   when param not in ({_VALID_SQL}) then 'enum:parameter'
                   when v < 0 then 'range:value'
                   when not (lat between {_LAT0} and {_LAT1} and {LON} between {_LON0} and {_LON1}) then 'box'
-             end as reason from e)
+             end as reason
+from (select event_id, user_id, ts, {_FAULT_SQL} as fault, {sql_case('event_type', PARAM_OF_TYPE)} as param,
+                  case when event_id % {NEGATIVE_EVERY} = 0 then -value else value end as v,
+                  cast(8.0 + (user_id % 20) as double) as lat from events)
+"""
+Q30 = f"""
+with r as ({MESSAGE_SQL})
 select case when reason is null then 'valid' else 'invalid' end as status, coalesce(reason, '') as reason,
        count(*) as n
 from r group by 1, 2

@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 from airshed import rules
 from airshed.functions.exprs import disaster_type, surrogate_key
 from airshed.operators.cleaning import drop_all_null, null_out_of_range
-from airshed.operators.joins import checked_broadcast, join_dim
-from airshed.operators.partitioning import spread
+from airshed.operators.joins import join_dim
 from airshed.plans.gold import clean_air_quality
 from airshed.plans.marts import dim_disaster_type, enrich_dates
 from airshed.plans.staging import stg_air_quality, stg_weather
@@ -40,11 +39,6 @@ def sround(expr: str, digits: int) -> str:
     return f"cast(round(cast({expr} as decimal(38, 12)), {digits}) as double)"
 
 
-# Tables whose row-level work is worth spreading; the dimensions are small
-# and go straight into a broadcast or a shuffle join.
-LARGE_TABLES = ("events", "lineitem", "orders", "documents", "pages")
-
-
 def half_up_div_sql(num: str, den: str) -> str:
     """DuckDB SQL: integer num / positive integer den, rounded half away
     from zero (exact, no floating point)."""
@@ -65,14 +59,8 @@ def spark_avg_sql(col: str, scale: int, digits: int) -> tuple[str, str]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Its file is a single row group, which Spark cannot
-    split, so the scan is one task; for the large tables ``spread``
-    restores parallelism for the stages after it (a no-op for inputs that
-    already have enough splits)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in LARGE_TABLES and spark.conf.get("airshed.spreadScans", "true") == "true":
-        df = spread(df)
-    return df
+    """A driver table, with the partitions its files give."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def dbl(c: str | Column, digits: int | None = None) -> Column:
@@ -102,6 +90,14 @@ def sql_case(col: str, d: dict, default: str = "null") -> str:
     return f"case {arms} else {default} end"
 
 
+def ladder_sql(value: str, cuts, last: str) -> str:
+    """Label of the first cut of a fixed list that holds for ``value``, by
+    joining the labels' list with the number of cuts that fail."""
+    labels = ", ".join(f"'{label}'" for _, _, label in cuts)
+    tests = ", ".join(f"{value} {op} {bound}" for op, bound, _ in cuts)
+    return f"(case when {value} is null then '{last}' else coalesce(([{labels}])[list_position([{tests}], true)], '{last}') end)"
+
+
 def sql_keyword_case(fields: dict[str, str], rules_list, default: str, lower: bool = True) -> str:
     """The SQL CASE an ordered keyword rule list stands for."""
     arms = []
@@ -123,49 +119,61 @@ def sql_keyword_case(fields: dict[str, str], rules_list, default: str, lower: bo
 # Shared adapters
 # ---------------------------------------------------------------------------
 
-# Largest station table shipped to every executor (rows); beyond it the
-# readings join the stations by shuffle (sort-merge, AQE skew splitting).
-PLACES_BROADCAST_ROWS = 2_000_000
-
-
 def station_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer (station) x nation (city). nation is the fixed 25-row TPC-H
-    table, so it is broadcast. customer grows with the data: it is
-    broadcast into the readings only after a bounded row-count check
-    (``checked_broadcast``), else the join stays a shuffle join."""
+    table, so it is broadcast. customer grows with the data: the join of
+    the readings with it is AQE's to plan."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    places = c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"]).drop("c_nationkey")
-    return checked_broadcast(places, PLACES_BROADCAST_ROWS)
+    return c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"]).drop("c_nationkey")
 
 
 # Event type -> pollutant code of the air-quality feed.
 CODE_OF_TYPE = {"click": "pm25", "view": "pm10", "purchase": "o3", "signup": "no2", "error": "co"}
 
 
+# Nations whose stations spell a known city; one has no city at all.
+CITY_OF_NATION = {0: ("hanoi", "Hà Nội"), 1: ("Ho Chi Minh City", "Hồ Chí Minh"), 2: ("DA NANG", "Đà Nẵng"),
+                  3: ("Hai Phong", "Hải Phòng"), 4: ("haiphong", "Hải Phòng"), 5: ("Can Tho", "Cần Thơ"),
+                  6: ("ho chi minh", "Hồ Chí Minh"), 7: (None, "Unknown")}
+NULL_EVERY, NEGATIVE_EVERY = 17, 19
+
+
+def city_spelling() -> Column:
+    out = F.col("n_name")
+    for k, (spelling, _) in CITY_OF_NATION.items():
+        out = F.when(F.col("n_nationkey") == k, F.lit(spelling)).otherwise(out)
+    return out
+
+
 def air_quality_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as the raw (all-text) air-quality feed; the code arrives
-    upper-cased and padded (' PM25 ')."""
+    """Events as the raw (all-text) air-quality feed: the code arrives
+    upper-cased and padded (' PM25 '), some cities in other spellings or
+    missing, some values missing or negative."""
     ev = table(spark, sf_dir, "events")
     pl = station_places(spark, sf_dir)
     j = ev.join(pl, ev["user_id"] == pl["c_custkey"])
     return j.select(
         F.col("user_id").cast("string").alias("location_id"),
         F.col("c_name").alias("location_name"),
-        F.col("n_name").alias("city"),
+        city_spelling().alias("city"),
         (F.lit(8.0) + F.col("n_nationkey") * 0.5).cast("string").alias("latitude"),
         (F.lit(102.0) + F.col("n_regionkey") * 1.5).cast("string").alias("longitude"),
         F.concat(F.lit(" "), F.upper(F.element_at(map_lit(CODE_OF_TYPE), F.col("event_type"))),
                  F.lit(" ")).alias("parameter"),
-        F.col("value").cast("string").alias("value"),
+        F.when(F.col("event_id") % NULL_EVERY != 0,
+               F.when(F.col("event_id") % NEGATIVE_EVERY == 0, -F.col("value")).otherwise(F.col("value")))
+         .cast("string").alias("value"),
         F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.lit("ppm")).alias("unit"),
         F.col("ts").cast("string").alias("last_updated"),
         F.col("ts").cast("string").alias("_extracted_at"),
     )
 
 
+CITY_SQL = "case n.n_nationkey " + " ".join(f"when {k} then '{name}'" for k, (_, name) in CITY_OF_NATION.items()) \
+    + " else n.n_name end"
 AIR_SQL = f"""
-select cast(e.user_id as integer) as station_id, c.c_name as station_name, n.n_name as city,
+select cast(e.user_id as integer) as station_id, c.c_name as station_name, {CITY_SQL} as city,
        cast(8 + n.n_nationkey * 0.5 as decimal(10, 6)) as latitude,
        cast(102 + n.n_regionkey * 1.5 as decimal(10, 6)) as longitude,
        lower(trim(' ' || upper({sql_case('e.event_type', CODE_OF_TYPE)}) || ' ')) as pollutant_code,
@@ -173,7 +181,7 @@ select cast(e.user_id as integer) as station_id, c.c_name as station_name, n.n_n
        coalesce(case when e.event_type = 'error' then null else 'ppm' end, 'µg/m³') as unit,
        e.ts as measured_at_utc, e.ts as ingested_at
 from events e join customer c on e.user_id = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey
-where e.value is not null and cast(e.value as decimal(12, 4)) >= 0
+where e.event_id % {NULL_EVERY} <> 0 and (e.event_id % {NEGATIVE_EVERY} <> 0 or e.value <= 0)
 """
 
 # Priority -> official category text (the feed's Vietnamese wording).
@@ -185,31 +193,39 @@ PRIORITY_CATEGORY = {
 
 def cem_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as the official-index crawl: one reading per order, the
-    customer's city as station, index = floor(price) mod 500 as float text,
-    priority as category text, the shifted order date as bulletin time."""
+    customer's city as station (some station names contain a known city),
+    index = floor(price) mod 500 as float text, priority as category text
+    (some of the worst class, some unknown), the shifted order date as
+    bulletin time (some unreadable)."""
     o = table(spark, sf_dir, "orders")
     pl = station_places(spark, sf_dir)
     j = o.join(pl, o["o_custkey"] == pl["c_custkey"])
     t = shifted("o_orderdate")
+    key = F.col("o_orderkey")
+    station = F.when(F.col("n_nationkey") == 0, "Trạm Hà Nội 1").when(F.col("n_nationkey") == 3, "KK Hải Phòng") \
+        .otherwise(F.col("n_name"))
     return j.select(
-        F.col("n_name").alias("station_name"),
+        station.alias("station_name"),
         F.concat((F.floor("o_totalprice") % 500).cast("string"), F.lit(".0")).alias("aqi_value"),
-        F.element_at(map_lit(PRIORITY_CATEGORY), F.col("o_orderpriority")).alias("category"),
-        F.concat(F.lit("Cập nhật "), F.date_format(t, "HH:mm dd/MM/yyyy")).alias("published_time"),
+        F.when(key % 13 == 0, " Nguy hại ").when(key % 29 == 0, "không rõ")
+         .otherwise(F.element_at(map_lit(PRIORITY_CATEGORY), F.col("o_orderpriority"))).alias("category"),
+        F.when(key % 11 == 0, "đang cập nhật")
+         .otherwise(F.concat(F.lit("Cập nhật "), F.date_format(t, "HH:mm dd/MM/yyyy"))).alias("published_time"),
         t.cast("string").alias("_crawled_at"),
     )
 
 
+# what each category text stands for
+CODE_OF_PRIORITY = {"1-URGENT": "very_unhealthy", "2-HIGH": "unhealthy", "3-MEDIUM": "unhealthy_sg",
+                    "4-NOT SPECIFIED": "moderate", "5-LOW": "good"}
 CEM_SQL = f"""
-select n.n_name as station_name, n.n_name as city_name,
-       cast(round(cast(cast(floor(o.o_totalprice) as bigint) % 500 as decimal(12, 4))) as integer) as aqi_value,
-       case when lower(cat) like '%tốt%' then 'good' when lower(cat) like '%trung bình%' then 'moderate'
-            when lower(cat) like '%kém%' then 'unhealthy_sg' when lower(cat) like '%rất xấu%' then 'very_unhealthy'
-            when lower(cat) like '%xấu%' then 'unhealthy' when lower(cat) like '%nguy hại%' then 'hazardous'
-            else 'unknown' end as aqi_category,
-       o.o_orderdate + INTERVAL 29 YEAR as measured_at
-from (select *, {sql_case('o_orderpriority', PRIORITY_CATEGORY)} as cat from orders) o
-join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey
+select case n.n_nationkey when 0 then 'Trạm Hà Nội 1' when 3 then 'KK Hải Phòng' else n.n_name end as station_name,
+       case n.n_nationkey when 0 then 'Hà Nội' when 3 then 'Hải Phòng' else n.n_name end as city_name,
+       cast(floor(o.o_totalprice) as bigint) % 500 as aqi_value,
+       case when o.o_orderkey % 13 = 0 then 'hazardous' when o.o_orderkey % 29 = 0 then 'unknown'
+            else {sql_case('o.o_orderpriority', CODE_OF_PRIORITY)} end as aqi_category,
+       case when o.o_orderkey % 11 <> 0 then o.o_orderdate + INTERVAL 29 YEAR end as measured_at
+from orders o join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey
 """
 
 
@@ -254,9 +270,47 @@ def doc_title(c: str = "text") -> Column:
     return F.substring_index(F.col(c), "\n", 1)
 
 
+# Headlines in the feed's language: text, hazard type, severity. A document
+# whose id falls on one has it as title (and its text as summary, if the
+# headline's type outranks whatever the text may hold).
+HEADLINES = [
+    ("Tin BÃO khẩn cấp trên biển Đông", "storm", "extreme"),
+    ("Cảnh báo lũ quét", "flood", "high"),
+    ("Nguy cơ sạt lở bờ sông", "landslide", "normal"),
+    ("Tin động đất rất mạnh", "earthquake", "extreme"),
+    ("Hạn hán kéo dài", "drought", "normal"),
+    ("Triều cường dâng, cảnh báo ngập", "high_tide", "high"),
+    ("Rét đậm, rét hại", "cold_wave", "normal"),
+    ("Nắng nóng mạnh diện rộng", "heatwave", "high"),
+    ("Mưa giông về chiều", "thunderstorm", "normal"),
+    ("Lốc xoáy khẩn cấp", "thunderstorm", "extreme"),
+    ("Thông báo định kỳ", "other", "normal"),
+]
+#: every HEADLINE_EVERY-th document has no headline, but its own first line
+HEADLINE_EVERY = 12
+
+
+def bulletin_title() -> Column:
+    k = F.col("doc_id") % HEADLINE_EVERY
+    out = doc_title()
+    for i, (text, _, _) in enumerate(HEADLINES):
+        out = F.when(k == i, F.lit(text)).otherwise(out)
+    return out
+
+
+def bulletin_summary() -> Column:
+    """The document's text; under a headline a line without any key word."""
+    return F.when(F.col("doc_id") % HEADLINE_EVERY < len(HEADLINES), F.lit("Chi tiết trong bản tin.")).otherwise(F.col("text"))
+
+
+def headline_sql(field: int, otherwise: str) -> str:
+    arms = " ".join(f"when {i} then '{h[field]}'" for i, h in enumerate(HEADLINES))
+    return f"case doc_id % {HEADLINE_EVERY} {arms} else {otherwise} end"
+
+
 def q02_disaster_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"))
-    typed = docs.select(disaster_type(doc_title(), F.col("text")).alias("disaster_code"))
+    docs = table(spark, sf_dir, "documents").select(bulletin_title().alias("title"), bulletin_summary().alias("summary"))
+    typed = docs.select(disaster_type("title", "summary").alias("disaster_code"))
     counts = typed.groupBy("disaster_code").agg(F.count(F.lit(1)).alias("n_documents"))
     dim = dim_disaster_type(spark)
     # counts has at most one row per rule label (+ the default): bounded
@@ -266,8 +320,10 @@ def q02_disaster_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DOC_TITLE_SQL = "split_part(text, chr(10), 1)"
-TYPE_SQL = sql_keyword_case({"title": DOC_TITLE_SQL, "summary": "text"}, rules.DISASTER_TYPE_RULES, "'other'")
-SEV_SQL = sql_keyword_case({"title": DOC_TITLE_SQL}, rules.SEVERITY_RULES, "'normal'")
+# a document without a headline: the words its text may hold by chance
+TYPE_SQL = headline_sql(1, f"""(case when lower(text) like '%bão%' then 'storm' when lower(text) like '%lũ%' then 'flood'
+  when lower({DOC_TITLE_SQL}) like '%rét%' then 'cold_wave' else 'other' end)""")
+SEV_SQL = headline_sql(2, "'normal'")
 
 DISASTER_VALUES = ", ".join(
     "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in rules.DISASTER_TYPES)
@@ -431,18 +487,23 @@ EVENT_BOUNDS = {"click": (0.0, 100.0), "view": (0.0, 200.0), "purchase": (10.0,
 
 
 def q08_range_nulling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blank = lambda c, m: F.when(F.col("event_id") % m != 0, c)
     ev = table(spark, sf_dir, "events").select(
-        "event_id", F.col("user_id").cast("string").alias("station_code"),
-        F.col("event_type").alias("pollutant"), F.col("value").alias("measurement_value"))
+        "event_id", blank(F.col("user_id").cast("string"), 7).alias("station_code"),
+        blank(F.col("event_type"), 14).alias("pollutant"), blank(F.col("value"), 21).alias("measurement_value"))
     out = null_out_of_range(drop_all_null(ev), "pollutant", "measurement_value", EVENT_BOUNDS)
     return out.select("event_id", F.col("pollutant").alias("event_type"),
                       F.col("measurement_value").alias("value_clean"))
 
 
-Q08 = "select event_id, event_type, case " + " ".join(
-    f"when event_type = '{k}' and (value < {lo} or value > {hi} or isnan(value)) then null"
-    for k, (lo, hi) in EVENT_BOUNDS.items()) + """ else value end as value_clean
-from events where not (user_id is null and event_type is null and value is null)
+Q08 = """
+with e as (select event_id, case when event_id % 7 <> 0 then user_id end as station,
+                  case when event_id % 14 <> 0 then event_type end as event_type,
+                  case when event_id % 21 <> 0 then value end as value from events),
+b as (select * from (values ('click', 0, 100), ('view', 0, 200), ('purchase', 10, 300), ('signup', 0, 50)) t(kind, lo, hi))
+select event_id, event_type, case when b.kind is null or value between lo and hi then value end as value_clean
+from e left join b on b.kind = e.event_type
+where station is not null or event_type is not null or value is not null
 """
 
 

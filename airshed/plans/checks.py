@@ -4,8 +4,9 @@ Each ``qNN_*`` function takes ``(spark, sf_dir)`` and returns a DataFrame;
 ``ORACLE`` holds the same computation as DuckDB SQL over the pre-registered
 views. Column roles on the driver tables:
 
-* ``events``: ts = measured time, user_id = station, event_type = pollutant
-  (or, for the city-level summaries, the place series), value = reading.
+* ``events``: ts = measured time, user_id = station (its remainder by seven
+  the place of the city-level summaries), event_type = pollutant, value =
+  reading.
 * ``customer`` / ``nation`` / ``region``: stations' places.
 * ``orders``: official daily index feed and bulletins (priority = level).
 * ``lineitem`` x ``supplier``: river readings x river stations.
@@ -16,102 +17,9 @@ Every query reads whole tables; nothing is sampled or capped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from airshed.plans import check_facts, check_gold, check_jobs, check_models, check_nested, check_staging, check_streams
 
-from airshed.plans.gold import daily_city_aqi_summary, monthly_risk_index, clean_air_quality
-
-
-def sround(expr: str, digits: int) -> str:
-    """DuckDB SQL rounding a double the way Spark does (half-up on the
-    shortest decimal form of the double)."""
-    return f"cast(round(cast({expr} as decimal(38, 12)), {digits}) as double)"
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-# ---------------------------------------------------------------------------
-# Q18 / Q19: raw -> silver -> daily summary -> monthly index (flagship)
-# ---------------------------------------------------------------------------
-
-def events_as_raw_aqi(events: DataFrame) -> DataFrame:
-    """Events as raw readings of an 'aqi' series per place (= event type)."""
-    return events.select(
-        F.col("user_id").cast("string").alias("station_code"),
-        F.concat(F.lit("Station "), F.col("user_id").cast("string")).alias("station_name"),
-        F.lit("aqi").alias("pollutant"),
-        F.col("value").alias("measurement_value"),
-        F.col("event_type").alias("city_name"),
-        F.lit("events").alias("source_name"),
-        F.col("ts").alias("extracted_at"),
-    )
-
-
-def q18_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = events_as_raw_aqi(table(spark, sf_dir, "events"))
-    silver = clean_air_quality(raw, source_tz=None, value_type="decimal(12,4)")
-    return daily_city_aqi_summary(silver).select(
-        "city_name", "measurement_date", F.col("avg_aqi").cast("double").alias("avg_aqi"),
-        F.col("max_aqi").cast("double").alias("max_aqi"), "station_count",
-        "risk_label", "year", "month")
-
-
-def q19_monthly_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_risk_index(q18_daily_summary(spark, sf_dir))
-
-
-_Q18_SQL = f"""
-with r as (
-  select event_type as city_name, ts, user_id,
-         case when value < 0 or value > 500 or isnan(value) then null
-              else cast(value as decimal(12, 4)) end as v
-  from events
-), d as (
-  select city_name, cast(ts as date) as measurement_date,
-         {sround("avg(v)", 2)} as avg_aqi, {sround("max(v)", 2)} as max_aqi,
-         count(distinct user_id) as station_count
-  from r where v is not null group by 1, 2
-)
-select city_name, measurement_date, avg_aqi, max_aqi, station_count,
-       case when avg_aqi <= 50 then 'Good' when avg_aqi <= 100 then 'Moderate'
-            when avg_aqi <= 150 then 'Sensitive' when avg_aqi <= 200 then 'Unhealthy'
-            when avg_aqi <= 300 then 'Very Unhealthy' else 'Hazardous' end as risk_label,
-       cast(year(measurement_date) as integer) as year,
-       cast(month(measurement_date) as integer) as month
-from d
-"""
-
-ORACLE: dict[str, str] = {
-    "q18_daily_summary": _Q18_SQL,
-    "q19_monthly_index": f"""
-with d as ({_Q18_SQL})
-select city_name, year, month,
-       {sround("avg(avg_aqi)", 2)} as avg_monthly_aqi,
-       {sround("avg(case when avg_aqi > 100 then 1 else 0 end) * 100", 1)} as risk_index_pct,
-       sum(station_count) as total_station_days,
-       case when {sround("avg(case when avg_aqi > 100 then 1 else 0 end) * 100", 1)} >= 50 then 'High'
-            when {sround("avg(case when avg_aqi > 100 then 1 else 0 end) * 100", 1)} >= 20 then 'Medium'
-            else 'Low' end as risk_tier
-from d group by 1, 2, 3
-""",
-}
-
-from airshed.plans import check_facts, check_models, check_nested, check_staging, check_streams  # noqa: E402
-
-ORACLE.update(check_staging.ORACLE)
-ORACLE.update(check_models.ORACLE)
-ORACLE.update(check_nested.ORACLE)
-ORACLE.update(check_facts.ORACLE)
-ORACLE.update(check_streams.ORACLE)
-
-QUERIES = {
-    **check_staging.QUERIES,
-    **check_models.QUERIES,
-    **check_nested.QUERIES,
-    **check_facts.QUERIES,
-    **check_streams.QUERIES,
-    "q18_daily_summary": q18_daily_summary,
-    "q19_monthly_index": q19_monthly_index,
-}
+MODULES = (check_staging, check_models, check_nested, check_facts, check_streams, check_gold, check_jobs)
+QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
+ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
+q19_monthly_index = check_gold.q19_monthly_index

@@ -76,17 +76,16 @@ def test_bronze_silver_gold_jobs(spark, tmp_path):
         (100.0, 50.0, 2, "High")
 
 
-def test_size_shuffle_partitions(spark):
-    from airshed.session import input_bytes, size_shuffle_partitions
+def test_sized_session(spark):
+    from airshed.session import input_bytes, sized_session
 
     path = "/root/testdata/sf0.01/lineitem.parquet"
     assert input_bytes(spark, path) > 0
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_shuffle_partitions(spark, path, target_bytes=100_000) > 4
-        assert size_shuffle_partitions(spark, path) == spark.sparkContext.defaultParallelism
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    assert int(sized_session(spark, path, target_bytes=10_000).conf.get(key)) > 4
+    assert int(sized_session(spark, path).conf.get(key)) == spark.sparkContext.defaultParallelism
+    assert spark.conf.get(key) == before
 
 
 def test_feed_csv_catalog_and_sql(spark, tmp_path):

@@ -1,11 +1,10 @@
-"""Smaller operators: two-stage mode, checked broadcast, observed counts,
+"""Smaller operators: two-stage mode, observed counts,
 status counts, quality gate, multi-path reads, catalog-table sinks."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from airshed.operators import aggregates as A
-from airshed.operators import joins as J
 from airshed.operators import quality as Q
 from airshed.sources import readers, sinks
 from conftest import rows
@@ -19,14 +18,6 @@ def test_mode_by_counts_matches_mode(spark):
     assert two_stage == direct == [(1, "a"), (2, "d")]
 
 
-def test_checked_broadcast(spark):
-    # static size-based broadcast is off, so a BroadcastExchange can only come from the hint
-    plan = lambda df: spark.range(100).join(J.checked_broadcast(df, 10), "id")._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "BroadcastExchange" in plan(spark.range(5))
-    assert "BroadcastExchange" not in plan(spark.range(50))
-
-
 def test_observe_and_status_counts(spark):
     df = spark.createDataFrame([("valid",), ("invalid",), ("valid",), ("valid",)], "status string")
     observed, obs = A.observe_counts(df, "check", invalid=F.sum(F.when(F.col("status") == "invalid", 1).otherwise(0)))
