@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from airshed.llm.common import by_text
 
 BUCKETS = 1 << 15
-SMOOTHING = 0.5                # added to every count
+SMOOTHING = 0.5                # added to every count of the background
+BACKGROUND = 0.02              # weight of the trigrams of all languages in each of them
 ROUNDS, ROUNDS_AGAIN = 10, 6   # EM steps over all languages, and after each removal
 PENALTY = 3.0
 CHUNK = 200_000                # distinct trigrams treated together in a task
@@ -85,8 +86,12 @@ class Mixture:
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
-        smooth = counts.astype(np.float64) + SMOOTHING
-        self.p = np.ascontiguousarray((smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float32) * BUCKETS)
+        # what a language has not shown is as likely as in all languages
+        # together: little training text is no advantage
+        whole = counts.sum(axis=0) + SMOOTHING
+        own = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+        p = (1 - BACKGROUND) * own + BACKGROUND * whole / whole.sum()
+        self.p = np.ascontiguousarray(p.T.astype(np.float32) * BUCKETS)
 
     def _em(self, p, weight, doc, starts, share, active, rounds):
         for _ in range(rounds):

@@ -8,7 +8,8 @@ page is important; so is one whose contents are its page's own, while
 contents that repeat on a host's pages carry no information: a content on k
 of the node's m pages has the entropy log k / log m. A branch's composite
 importance weighs its own presentation entropy against the mean of its
-children; branches below ``LEAST`` are taken out of each page.
+children; branches in which no node reaches ``LEAST`` are taken out of each
+page.
 
 Elements that name their own purpose (navigation, footers, forms, adverts,
 comments ...) are left out before that. Where a page marks its article, the
@@ -248,6 +249,7 @@ def _weigh(pdf: pd.DataFrame) -> pd.DataFrame:
         if key != int(r.parent):
             children.setdefault(int(r.parent), []).append(key)
     value: dict[int, float] = {}
+    best: dict[int, float] = {}      # of a node and all below it
     stack = [(k, False) for k in nodes if int(nodes[k].parent) not in nodes or k == int(nodes[k].parent)]
     while stack:
         key, ready = stack.pop()
@@ -264,7 +266,9 @@ def _weigh(pdf: pd.DataFrame) -> pd.DataFrame:
         else:
             weight = FADE ** float(r.presentations)
             value[key] = (1 - weight) * float(r.presentation_importance) + weight * float(np.mean(below))
-    low = sorted(k for k, v in value.items() if v < LEAST and nodes[k].pages >= EVIDENCE and k != 0)
+        best[key] = max([value[key], *(best[c] for c in children.get(key, []))])
+    # a branch is noise if nothing in it is important
+    low = sorted(k for k, v in best.items() if v < LEAST and nodes[k].pages >= EVIDENCE and k != 0)
     return pd.DataFrame({"host": [pdf["host"].iloc[0]], "noise": [np.array(low, dtype=np.int64)]})
 
 
