@@ -1,13 +1,16 @@
 """Near-duplicate embeddings by product quantisation.
 
 Unit vectors are assigned to the coarse centroid nearest to them; the
-residual is stored as one code per subspace. A query probes every list that
-can hold a link: a vector y of list c' within distance d of x lies on the
-far side of the plane between x's centroid c and c', so c' is probed if x is
-no further than d from that plane. In a probed list the distances to all
-codes come from a lookup table of the query (asymmetric distance); whatever
-is within d plus the code's own error is compared by exact cosine in double
-precision. Neither step loses a link.
+residual is stored as one code per subspace. A vector y of list c' within
+distance d of x lies on the far side of the plane between x's centroid c
+and c', so c' need only be probed if x is no further than d from that plane.
+In many dimensions a difference of length d reaches far less than d in any
+one direction: a list is probed up to ``SPREAD`` standard deviations of that
+reach, d * SPREAD / sqrt(dimensions), and a pair counts when either of the
+two probes the other's list. In a probed list the distances to all codes
+come from a lookup table of the query (asymmetric distance); whatever is
+within d plus the code's own error is compared by exact cosine in double
+precision, which loses nothing.
 
 Equal vectors form a class and cost one row. Lists are cut into blocks, a
 group is one block of queries and one block of a list, and what leaves it is
@@ -32,6 +35,7 @@ COSINE = 0.95
 SAMPLE = 20_000                # vectors the index is fitted on, about
 LISTS_MOST = 4096              # centroids sent to every task, at most
 SUBSPACES, CODES = 8, 32
+SPREAD = 4.0                   # infinite: every list that can hold a link is probed
 ITERATIONS = 10
 BLOCK = 512
 _SLACK = 1e-5                  # for float32 in the table lookups
@@ -78,7 +82,7 @@ class Quantiser:
         codes = np.stack([_nearest(rest[:, p], b)[0] for p, b in zip(self.parts, self.books)], axis=1).astype(np.uint8)
         for m, (p, b) in enumerate(zip(self.parts, self.books)):
             rest[:, p] -= b[codes[:, m]]
-        reach = math.sqrt(2 - 2 * cosine)
+        reach = math.sqrt(2 - 2 * cosine) * min(1.0, SPREAD / math.sqrt(unit.shape[1]))
         near = gap - gap[np.arange(len(own)), own][:, None] <= 2 * reach * self.apart[own] + _SLACK
         near[np.arange(len(own)), own] = True
         return own, codes, np.linalg.norm(rest, axis=1), near
@@ -106,6 +110,9 @@ def _block(model: Quantiser, cosine: float):
 
         x, y = vectors(asks), vectors(has)
         codes = np.frombuffer(b"".join(has["codes"]), dtype=np.uint8).reshape(len(has), -1)
+        home, sure = asks["own"].to_numpy(), np.zeros((len(has), len(model.centres)), dtype=bool)
+        for r, lists in enumerate(has["probes"]):
+            sure[r, lists] = True
         reach = math.sqrt(2 - 2 * cosine) + _SLACK
         close = model.distances(x, at, codes) <= reach + has["error"].to_numpy()
         left, right = asks["id"].to_numpy(), has["id"].to_numpy()
@@ -116,6 +123,10 @@ def _block(model: Quantiser, cosine: float):
             a, b = i[k:k + 65_536], j[k:k + 65_536]
             linked[a, b] = np.einsum("nd,nd->n", x[a], y[b]) >= cosine
         links = linked @ has["weight"].to_numpy()
+        # a query whose own list the other one does not probe is counted for both here
+        i, j = np.nonzero(linked)
+        alone = ~sure[j, home[i]]
+        back = np.bincount(j[alone], weights=asks["weight"].to_numpy()[i[alone]], minlength=len(has)).astype(np.int64)
         head, seen = left.copy(), np.zeros(len(left), dtype=bool)
         hung = np.full(len(right), -1, dtype=np.int64)
         for s in np.flatnonzero(linked.any(axis=1)):
@@ -132,7 +143,7 @@ def _block(model: Quantiser, cosine: float):
             head[rows], hung[cols] = top, top
         kept = linked.any(axis=0)
         out = [pd.DataFrame({"id": left, "links": links, "head": head})[linked.any(axis=1)],
-               pd.DataFrame({"id": right[kept], "links": 0, "head": hung[kept]})]
+               pd.DataFrame({"id": right[kept], "links": back[kept], "head": hung[kept]})]
         return pd.concat(out).astype("int64")
 
     return work
@@ -166,7 +177,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, lists: int | Non
         if not len(drawn):
             drawn = own.select("id", "embedding").limit(1).toArrow().to_pandas()
         model = Quantiser(np.stack(drawn["embedding"].to_numpy()).astype(np.float64),
-                          lists or max(1, min(LISTS_MOST, round(math.sqrt(n) / 2))))
+                          lists or max(1, min(LISTS_MOST, round(math.sqrt(n)))))
         here = _links(scratch, own, model, cosine, block)
         found = here if found is None else found.unionByName(here)
     if found is None:
@@ -210,16 +221,17 @@ def _links(scratch: Scratch, classes: DataFrame, model: Quantiser, cosine: float
         F.ceil(F.col("asked") / block).cast("int").alias("waves")))
     mark = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     asks = (
-        placed.select("id", "weight", "vector", F.explode("probes").alias("list")).join(plan, "list")
+        placed.select("id", "weight", "vector", "own", F.explode("probes").alias("list")).join(plan, "list")
         .select("list", (mark % F.col("waves")).cast("int").alias("wave"),
                 F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), "id", "weight", "vector",
-                F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("error"), F.lit(True).alias("asks"))
+                F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("error"), "own",
+                F.lit(None).cast("array<int>").alias("probes"), F.lit(True).alias("asks"))
     )
     has = (
         placed.withColumnRenamed("own", "list").join(plan, "list")
         .select("list", F.explode(F.sequence(F.lit(0), F.col("waves") - 1)).alias("wave"),
                 (mark % F.col("blocks")).cast("int").alias("part"), "id", "weight", "vector", "codes", "error",
-                F.lit(False).alias("asks"))
+                F.col("list").alias("own"), "probes", F.lit(False).alias("asks"))
     )
     return scratch.settle(asks.unionByName(has).groupBy("list", "wave", "part").applyInPandas(
         _block(model, cosine), "id long, links long, head long"))
