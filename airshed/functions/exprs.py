@@ -236,18 +236,6 @@ def heat_index(temp: ColumnOrName, humidity: ColumnOrName,
 # Predicates
 # ---------------------------------------------------------------------------
 
-def non_negative(c: ColumnOrName) -> Column:
-    return col(c).isNotNull() & (col(c) >= 0)
-
-
-def in_range(c: ColumnOrName, lo: float | None = None, hi: float | None = None) -> Column:
-    x = col(c)
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (x >= dec(lo))
-    if hi is not None:
-        cond = cond & (x <= dec(hi))
-    return cond
 
 
 def in_box(lat: ColumnOrName, lon: ColumnOrName, box=rules.VIETNAM_BOX) -> Column:
@@ -255,9 +243,6 @@ def in_box(lat: ColumnOrName, lon: ColumnOrName, box=rules.VIETNAM_BOX) -> Colum
     return col(lat).between(dec(lat_lo), dec(lat_hi)) & col(lon).between(dec(lon_lo), dec(lon_hi))
 
 
-def in_set(c: ColumnOrName, values: Iterable[str]) -> Column:
-    return col(c).isin(list(values))
-
 
 # ---------------------------------------------------------------------------
 # Text and time

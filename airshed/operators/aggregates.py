@@ -21,14 +21,6 @@ def mode_value(c: str | Column) -> Column:
     return F.mode(col(c), True)
 
 
-def mode_by_counts(df: DataFrame, keys: Sequence[str], value_col: str, out_col: str = "mode") -> DataFrame:
-    """Two-stage mode for high-cardinality values: count per (keys, value)
-    with map-side combine, then pick the top count (smallest value on ties)
-    per key with ``min_by`` — no per-group value map is held in memory."""
-    counts = df.groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.groupBy(*keys).agg(
-        F.min_by(F.col(value_col), F.struct(-F.col("_n"), F.col(value_col))).alias(out_col))
-
 
 def daily_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
                 date_col: str = "measurement_date", extras: Iterable[Column] = (),

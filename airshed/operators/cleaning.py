@@ -17,15 +17,6 @@ def trim_all(df: DataFrame, cols: Iterable[str] = rules.CLEANING_TEXT_COLUMNS) -
     return df.withColumns({c: F.trim(F.col(c)) for c in present}) if present else df
 
 
-def default_nulls(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
-    """coalesce(col, default) for each listed column."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
-
-
-def try_typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast text to the given types; bad text becomes NULL instead of failing
-    (ANSI mode would raise on a plain cast)."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
 
 
 def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
@@ -80,11 +71,8 @@ def all_text(df: DataFrame) -> DataFrame:
     return out.select([F.col(c).cast("string").alias(c) for c in out.columns])
 
 
-def filter_by(df: DataFrame, cond: Column) -> DataFrame:
-    return df.filter(cond)
-
 
 __all__ = [
-    "trim_all", "default_nulls", "try_typed", "nan_to_null", "drop_all_null",
-    "null_out_of_range", "add_date_parts", "add_lineage", "all_text", "filter_by", "col",
+    "trim_all", "nan_to_null", "drop_all_null",
+    "null_out_of_range", "add_date_parts", "add_lineage", "all_text", "col",
 ]

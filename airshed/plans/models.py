@@ -8,7 +8,7 @@ fixed here — there is no model-graph resolver.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,16 +32,40 @@ MART_TABLES = ("dim_location", "dim_time", "dim_pollutant", "dim_station", "dim_
                "fact_air_measurements", "fact_weather_observations", "fact_natural_disasters")
 
 
+class _Models(dict):
+    """Models by name, each settled as it is added."""
+
+    def __init__(self, settle: Callable[[str, DataFrame], DataFrame] | None):
+        super().__init__()
+        self._settle = settle
+
+    def __setitem__(self, name: str, model: DataFrame) -> None:
+        super().__setitem__(name, self._settle(name, model) if self._settle else model)
+
+
+def written_to(target: str, fmt: str = "parquet") -> Callable[[str, DataFrame], DataFrame]:
+    """Write a model below ``target`` (replaced each run) and read it back."""
+    def settle(name: str, model: DataFrame) -> DataFrame:
+        path = f"{target.rstrip('/')}/{name}"
+        model.write.mode("overwrite").format(fmt).save(path)
+        return model.sparkSession.read.format(fmt).schema(model.schema).load(path)
+
+    return settle
+
+
 def build_models(spark: SparkSession, bronze: Mapping[str, DataFrame],
                  seeds: Mapping[str, DataFrame] | None = None,
-                 point_aliases: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+                 point_aliases: Mapping[str, str] | None = None,
+                 settle: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """All models from the raw tables (``bronze`` keyed by source name:
     air_quality, weather, flood, cem_aqi, nchmf_disaster, fire_hotspot,
-    geo_features) and the seeds (default: packaged)."""
+    geo_features) and the seeds (default: packaged). ``settle`` replaces a
+    model before others read it, e.g. by its written table
+    (``written_to``): then each model is computed once, whatever reads it."""
     seeds = dict(seeds or {n: seed_frame(spark, n) for n in ("vietnam_cities", "vietnam_rivers",
                                                               "pollutant_standards")})
     aliases = point_aliases if point_aliases is not None else rules.RIVER_POINT_CITY_ALIASES
-    m: dict[str, DataFrame] = {}
+    m: dict[str, DataFrame] = _Models(settle)
     for name, (source, fn) in STAGING.items():
         if source in bronze:
             m[name] = fn(bronze[source])
@@ -65,12 +89,14 @@ def build_models(spark: SparkSession, bronze: Mapping[str, DataFrame],
         m["fact_air_measurements"] = M.fact_air_measurements(m["stg_air_quality"])
     if "stg_nchmf_disaster" in m:
         m["fact_natural_disasters"] = M.fact_natural_disasters(m["stg_nchmf_disaster"], m["dim_disaster_type"])
-    return m
+    return dict(m)
 
 
 def test_models(models: Mapping[str, DataFrame], stop_on_failure: bool = False) -> DataFrame:
-    """The declared model tests (QT1-QT4) over the built models; with
-    ``stop_on_failure`` a failing test raises, stopping the pipeline."""
+    """The declared model tests (QT1-QT4), one scan per model; give it
+    written models (``build_models(settle=written_to(...))``), so that no test
+    computes a model again. With ``stop_on_failure`` a failing test raises,
+    stopping the pipeline."""
     from airshed.operators.quality import assert_rules, model_tests
 
     results = model_tests(models)

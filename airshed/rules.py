@@ -310,7 +310,6 @@ LOCAL_TIME_FORMAT = "HH:mm dd/MM/yyyy"
 HTML_MIN_CELLS = 4
 HTML_HEADER_WORDS = ("Trạm", "Station")
 HTML_NUMERIC_REGEX = r"^\d*\.?\d*$"
-LIST_BASE_URL = "https://nchmf.gov.vn"
 
 # Freshness check window (hours).
 FRESHNESS_HOURS = 25

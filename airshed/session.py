@@ -8,10 +8,13 @@ zone, ANSI casts) and turns on the runtime re-planning the jobs rely on
 
 from __future__ import annotations
 
+import atexit
+import logging
 import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 # Settings every job needs regardless of cluster size.
@@ -98,9 +101,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/airshed/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared checkpoint folder for written tables.
+    The folder of an application is removed when its driver ends, or by
+    ``clear_scratch``."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/airshed/{spark.sparkContext.applicationId}"
+    if base not in _scratch:
+        _scratch.add(base)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        atexit.register(_remove_folder, jvm, conf, base)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_scratch: set[str] = set()
+
+
+def _remove_folder(jvm, conf, path: str) -> None:
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        where.getFileSystem(conf).delete(where, True)
+    except (Py4JError, OSError):  # the JVM went first: the folder stays
+        logging.getLogger("airshed.session").warning("scratch folder %s was not removed", path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written to its scratch folder;
+    DataFrames that still read from there fail afterwards."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/airshed/{spark.sparkContext.applicationId}"
+    _remove_folder(spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), base)
 
 
 def input_bytes(spark: SparkSession, paths: list[str] | str) -> int:

@@ -45,10 +45,10 @@ def test_build_models_and_write_marts(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "gold" / "dim_time")).count() == 1096
 
 
-def test_declared_model_tests(spark):
+def test_declared_model_tests(spark, tmp_path):
     from airshed import rules
 
-    m = models.build_models(spark, _bronze(spark))
+    m = models.build_models(spark, _bronze(spark), settle=models.written_to(str(tmp_path / "models")))
     res = {(r["table_name"], r["rule"], r["column"]): r["failed"] for r in models.test_models(m).collect()}
     present = {(t[0]) for t in rules.MODEL_TESTS if t[0] in m}
     assert {k[0] for k in res} == present

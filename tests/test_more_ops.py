@@ -1,4 +1,4 @@
-"""Smaller operators: two-stage mode, observed counts,
+"""Smaller operators: observed counts,
 status counts, quality gate, multi-path reads, catalog-table sinks."""
 
 import pytest
@@ -10,14 +10,6 @@ from airshed.sources import readers, sinks
 from conftest import rows
 
 
-def test_mode_by_counts_matches_mode(spark):
-    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, "a"), (2, "c"), (2, "d"), (2, "d")],
-                               "k int, v string")
-    two_stage = sorted(rows(A.mode_by_counts(df, ["k"], "v")))
-    direct = sorted(rows(df.groupBy("k").agg(A.mode_value("v"))))
-    assert two_stage == direct == [(1, "a"), (2, "d")]
-
-
 def test_observe_and_status_counts(spark):
     df = spark.createDataFrame([("valid",), ("invalid",), ("valid",), ("valid",)], "status string")
     observed, obs = A.observe_counts(df, "check", invalid=F.sum(F.when(F.col("status") == "invalid", 1).otherwise(0)))
