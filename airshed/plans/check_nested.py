@@ -369,24 +369,26 @@ QUALITY_RULES = [
 
 
 def q32_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_rules(table(spark, sf_dir, "events"), QUALITY_RULES)
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props", (F.col("value") * 3).alias("value"))
+    return run_rules(ev, QUALITY_RULES)
 
 
 Q32 = """
-select 'not_null' as rule, 'user_id' as "column", count(*) filter (where user_id is null) as failed from events
-union all select 'not_null', 'props', count(*) filter (where props is null) from events
+with e as (select event_id, user_id, event_type, props, value * 3 as value from events)
+select 'not_null' as rule, 'user_id' as "column", count(*) filter (where user_id is null) as failed from e
+union all select 'not_null', 'props', count(*) filter (where props is null) from e
 union all select 'unique', 'event_id', cast(coalesce(sum(n), 0) as bigint) from
-  (select event_id, count(*) as n from events where event_id is not null group by 1 having count(*) > 1)
+  (select event_id, count(*) as n from e where event_id is not null group by 1 having count(*) > 1)
 union all select 'unique', 'user_id', cast(coalesce(sum(n), 0) as bigint) from
-  (select user_id, count(*) as n from events where user_id is not null group by 1 having count(*) > 1)
+  (select user_id, count(*) as n from e where user_id is not null group by 1 having count(*) > 1)
 union all select 'accepted_values', 'event_type',
   count(*) filter (where event_type is not null and event_type not in ('click', 'view', 'purchase', 'signup'))
-  from events
+  from e
 union all select 'accepted_range', 'value', count(*) filter (where value is not null and (value < 0 or value > 300))
-  from events
+  from e
 union all select 'accepted_range', 'value', count(*) filter (where value is not null and (value < 0 or value > 500))
-  from events
-union all select 'expression', 'value', count(*) filter (where event_type = 'error' and value > 100) from events
+  from e
+union all select 'expression', 'value', count(*) filter (where event_type = 'error' and value > 100) from e
 """
 
 QUERIES = {

@@ -136,7 +136,7 @@ CODE_OF_TYPE = {"click": "pm25", "view": "pm10", "purchase": "o3", "signup": "no
 CITY_OF_NATION = {0: ("hanoi", "Hà Nội"), 1: ("Ho Chi Minh City", "Hồ Chí Minh"), 2: ("DA NANG", "Đà Nẵng"),
                   3: ("Hai Phong", "Hải Phòng"), 4: ("haiphong", "Hải Phòng"), 5: ("Can Tho", "Cần Thơ"),
                   6: ("ho chi minh", "Hồ Chí Minh"), 7: (None, "Unknown")}
-NULL_EVERY, NEGATIVE_EVERY = 17, 19
+NULL_EVERY, NEGATIVE_EVERY, NO_STATION_EVERY = 17, 19, 43
 
 
 def city_spelling() -> Column:
@@ -149,12 +149,12 @@ def city_spelling() -> Column:
 def air_quality_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as the raw (all-text) air-quality feed: the code arrives
     upper-cased and padded (' PM25 '), some cities in other spellings or
-    missing, some values missing or negative."""
+    missing, some values missing or negative, some station ids missing."""
     ev = table(spark, sf_dir, "events")
     pl = station_places(spark, sf_dir)
     j = ev.join(pl, ev["user_id"] == pl["c_custkey"])
     return j.select(
-        F.col("user_id").cast("string").alias("location_id"),
+        F.when(F.col("event_id") % NO_STATION_EVERY != 0, F.col("user_id").cast("string")).alias("location_id"),
         F.col("c_name").alias("location_name"),
         city_spelling().alias("city"),
         (F.lit(8.0) + F.col("n_nationkey") * 0.5).cast("string").alias("latitude"),
@@ -173,7 +173,7 @@ def air_quality_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 CITY_SQL = "case n.n_nationkey " + " ".join(f"when {k} then '{name}'" for k, (_, name) in CITY_OF_NATION.items()) \
     + " else n.n_name end"
 AIR_SQL = f"""
-select cast(e.user_id as integer) as station_id, c.c_name as station_name, {CITY_SQL} as city,
+select case when e.event_id % {NO_STATION_EVERY} <> 0 then cast(e.user_id as integer) end as station_id, c.c_name as station_name, {CITY_SQL} as city,
        cast(8 + n.n_nationkey * 0.5 as decimal(10, 6)) as latitude,
        cast(102 + n.n_regionkey * 1.5 as decimal(10, 6)) as longitude,
        lower(trim(' ' || upper({sql_case('e.event_type', CODE_OF_TYPE)}) || ' ')) as pollutant_code,
@@ -194,7 +194,7 @@ PRIORITY_CATEGORY = {
 def cem_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as the official-index crawl: one reading per order, the
     customer's city as station (some station names contain a known city),
-    index = floor(price) mod 500 as float text, priority as category text
+    index = floor(price) mod 500 as float text (some missing), priority as category text
     (some of the worst class, some unknown), the shifted order date as
     bulletin time (some unreadable)."""
     o = table(spark, sf_dir, "orders")
@@ -206,7 +206,7 @@ def cem_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("n_name"))
     return j.select(
         station.alias("station_name"),
-        F.concat((F.floor("o_totalprice") % 500).cast("string"), F.lit(".0")).alias("aqi_value"),
+        F.when(key % 17 != 0, F.concat((F.floor("o_totalprice") % 500).cast("string"), F.lit(".0"))).alias("aqi_value"),
         F.when(key % 13 == 0, " Nguy hại ").when(key % 29 == 0, "không rõ")
          .otherwise(F.element_at(map_lit(PRIORITY_CATEGORY), F.col("o_orderpriority"))).alias("category"),
         F.when(key % 11 == 0, "đang cập nhật")
@@ -226,6 +226,7 @@ select case n.n_nationkey when 0 then 'Trạm Hà Nội 1' when 3 then 'KK Hải
             else {sql_case('o.o_orderpriority', CODE_OF_PRIORITY)} end as aqi_category,
        case when o.o_orderkey % 11 <> 0 then o.o_orderdate + INTERVAL 29 YEAR end as measured_at
 from orders o join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey
+where o.o_orderkey % 17 <> 0
 """
 
 

@@ -30,7 +30,8 @@ def values():
 def test_air_quality_cities_and_filters(values):
     cities = values("q04_stage_air_quality", "city")
     assert {"Hà Nội", "Hồ Chí Minh", "Đà Nẵng", "Hải Phòng", "Cần Thơ", "Unknown"} <= cities
-    assert len(values("q04_stage_air_quality", "station_id")) > 100
+    assert None in values("q04_stage_air_quality", "station_id")
+    assert None not in values("q20_station_dim", "station_id")
 
 
 def test_null_and_out_of_range_values(values):
@@ -85,6 +86,7 @@ def test_items_without_title_summary_or_link(values):
 
 
 def test_rules_that_fail(values):
-    assert {r for r in values("q32_quality_rules", "failed")} - {0}
+    assert 0 not in values("q32_quality_rules", "failed", "rule = 'accepted_range'")
+    assert {"text", "lake", "log"} == values("q40_land_batch", "copy")
     assert values("q54_landing_log", "status") >= {"SUCCESS", "EMPTY", "FAILED"}
     assert values("q50_failing_rows", "rule") == {"range", "null", "values", "expression", "unique"}
