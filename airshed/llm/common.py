@@ -78,9 +78,11 @@ def components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b") -
     """
     def step(pairs: DataFrame, large: bool) -> DataFrame:
         # rows (u, v): v is a neighbour of u to be considered at u
+        # joined on the id's complement: dealt anew on both sides, so that a
+        # hub's rows can be split (an aggregate's own partitions cannot)
         least = pairs.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-        hung = pairs.join(least, F.col("u") == F.col("w"))
+        least = least.select(F.bitwise_not("u").alias("k"), F.col("u").alias("w"), F.least("u", "m").alias("m"))
+        hung = pairs.join(least, F.bitwise_not(pairs["u"]) == least["k"])
         if large:
             out = hung.where("v > u").select(F.col("v").alias("x"), F.col("m").alias("y"))
         else:
