@@ -91,7 +91,9 @@ def with_elements(df: DataFrame, html_col: str, names: str | tuple[str, ...], ou
 
     # the marks are read many times: a column of its own, computed once a row
     none = F.array().cast("array<struct<opens: boolean, depth: int, inside: int>>")
-    df = df.withColumn(toks, F.split(F.col(html_col), "(?=<)")).withColumn(marks, F.aggregate(F.col(toks), none, mark))
+    # a text without such a tag is not cut at all
+    cut = F.when(F.col(html_col).rlike(rf"(?i)<(?:{word})[\s>/]"), F.split(F.col(html_col), "(?=<)"))
+    df = df.withColumn(toks, F.coalesce(cut, F.array().cast("array<string>"))).withColumn(marks, F.aggregate(F.col(toks), none, mark))
     n = F.size(F.col(toks))
 
     def element(i: Column) -> Column:
@@ -122,6 +124,14 @@ def once(c: Column) -> Column:
     return F.explode(F.array(c))
 
 
+def each(df: DataFrame, elements: Column, keep: tuple[str, ...], number: str, out: str) -> DataFrame:
+    """A row per element: its number and what is in it. The outer generator
+    keeps the optimizer from testing the array's size in a filter below,
+    which would compute the array there once more for every token."""
+    rows = df.select(*keep, F.posexplode_outer(elements).alias(number, "_element"))
+    return rows.where(F.col("_element").isNotNull()).select(*keep, number, F.col("_element.inner").alias(out))
+
+
 def html_table_rows(pages: DataFrame, html_col: str = "html", table_class: str = "table-striped",
                     keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """H1 first half: (page, row_no, cells[]). Rows are the rows inside a
@@ -138,7 +148,7 @@ def html_table_rows(pages: DataFrame, html_col: str = "html", table_class: str =
     page = with_elements(page, "_in", "tr", "_body", within="tbody")
     page = with_elements(page, "_first", "tr", "_all")
     rows = F.when(F.size("_body") > 0, F.col("_body")).otherwise(F.col("_all"))
-    row = page.select(*keep, F.posexplode(rows).alias("row_no", "_row")).select(*keep, "row_no", F.col("_row.inner").alias("_row"))
+    row = each(page, rows, keep, "row_no", "_row")
     row = with_elements(row, "_row", ("td", "th"), "_cells")
     return row.select(*keep, "row_no", once(F.transform("_cells", lambda c: strip_tags(c["inner"]))).alias("cells"))
 
@@ -189,8 +199,7 @@ def html_items(pages: DataFrame, html_col: str = "html", url_col: str = "url",
         if fallback else F.col("_any")
     page = page.withColumn("_chosen", chosen)
     items = F.when(F.size("_chosen") > 0, F.col("_chosen")).otherwise(other)
-    item = page.select(*keep, "_base", F.posexplode(items).alias("item_no", "_item")) \
-               .select(*keep, "_base", "item_no", F.col("_item.inner").alias("_item"))
+    item = each(page, items, (*keep, "_base"), "item_no", "_item")
     for tag, out in (("h3", "_h3"), ("a", "_a"), ("div", "_div"), ("span", "_span")):
         item = with_elements(item, "_item", tag, out)
     headed = F.filter("_a", lambda a: F.exists(
