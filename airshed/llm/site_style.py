@@ -59,7 +59,7 @@ SIBLINGS = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)),
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|itemprop|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTR = re.compile(r"""(?<![\w-])(class|id|role|itemprop|style|aria-hidden|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", re.I)
 
@@ -137,8 +137,10 @@ class Page:
         if attributes:
             for m in _ATTR.finditer(attributes):
                 name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-                if name == "hidden":
+                if name == "hidden" or name == "aria-hidden" and value == "true":
                     hidden = True
+                elif name == "style":
+                    hidden |= "display:none" in (style := value.replace(" ", "")) or "visibility:hidden" in style
                 elif name == "itemprop":
                     role += " " + value
                 else:

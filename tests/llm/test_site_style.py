@@ -26,6 +26,12 @@ def test_parts_of_a_page():
         "Headéline © A", "First paragraph with a link and a break.", "Unclosed <b> second", "one", "two", "a b"])
 
 
+def test_hidden_elements():
+    parts = ['<p hidden>a</p>', '<p style="color:red; DISPLAY: none">b</p>', "<p aria-hidden='true'>c</p>", '<p data-hidden="x">d</p>',
+             '<p data-id="menu">e</p>', '<p class=menu>f</p>', '<p style="color:red">g</p>']
+    assert H.Page("".join(parts)).text() == "d\ne\ng"
+
+
 def test_tree_finds_what_repeats_on_a_site(spark):
     page = ("<html><body><div class='wrap'><div class='slogan'><p>All the news, every day.</p></div>"
             "<div class='body'><p>Story number {0} tells of {1}.</p><p>It goes on with {1} and {0}.</p></div>"
