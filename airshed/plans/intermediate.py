@@ -155,7 +155,7 @@ def combine_risk(aqi: DataFrame, flood: DataFrame, fire: DataFrame,
     local = full_join_coalesced(air, water, ["risk_date", "city_name"])
     daily = fire.select(F.to_date("risk_date").alias("fire_day"), "fire_risk_score", "hotspot_count")
     with_fire = local.join(daily, local["risk_date"] == daily["fire_day"], "left").drop("fire_day")
-    days = local.select(F.col("risk_date").alias("seen")).distinct()
+    days = air.select(F.col("risk_date").alias("seen")).union(water.select("risk_date")).distinct()
     alone = daily.join(days, daily["fire_day"] == days["seen"], "left_anti").withColumnRenamed("fire_day", "risk_date")
     parts = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("aqi_risk_score", "flood_risk_score", "fire_risk_score")}
     total = parts["aqi_risk_score"] + parts["flood_risk_score"] + parts["fire_risk_score"]

@@ -83,3 +83,19 @@ def test_building_a_plan_starts_no_job(spark, name):
     # reading a parquet footer is the one job a plan may need
     stages = [s for i in ids for s in sc.statusTracker().getJobInfo(i).stageIds]
     assert all("parquet at" in sc.statusTracker().getStageInfo(s).name for s in stages), name
+
+
+def test_keyword_rules_stay_inside_codegen(spark):
+    plan = plan_of(spark, "q22_keyword_rules")
+    assert "transform(" not in plan and "SortMergeJoin" not in plan
+    # the plan string marks the stages of whole-stage codegen with an asterisk
+    assert re.search(r"\*\(1\) Project .*CASE WHEN", plan)
+
+
+def test_fallback_reads_its_source_twice(spark):
+    plan = plan_of(spark, "q29_snapshot_fallback")
+    assert plan.count("FileScan parquet") == 2 and plan.count("SortMergeJoin") == 1
+
+
+def test_positional_zip_has_no_join(spark):
+    assert "Join" not in plan_of(spark, "q38_zip_positions")
