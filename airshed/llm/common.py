@@ -3,7 +3,7 @@ lineage through the shared checkpoint folder, connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +59,14 @@ def by_text(docs: DataFrame, fn: Callable[[pd.Series], pd.DataFrame], schema: st
     return docs.withColumn(name, udf(F.col("text").cast("string")))
 
 
+def in_slices(batches: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
+    """The batches cut to at most ``rows`` rows, for tasks whose output is as
+    large as their texts."""
+    for pdf in batches:
+        for at in range(0, len(pdf), rows):
+            yield pdf.iloc[at:at + rows]
+
+
 def with_ids(docs: DataFrame) -> DataFrame:
     """(doc_id as text, text): pandas would turn a whole-number column that
     holds a null into floats, which cannot carry every 64-bit id."""

@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airshed.llm.common import Scratch, components, with_ids
+from airshed.llm.common import Scratch, components, in_slices, with_ids
 from airshed.llm.shingles import shingle_hashes
 
 REGISTERS = 256
@@ -119,8 +119,8 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        yield pd.DataFrame({"id": pdf["doc_id"], "shingles": [shingle_hashes(t, WIDTH).tobytes() for t in pdf["text"]]})
+    for pdf in in_slices(batches):
+        yield pd.DataFrame({"id": pdf["doc_id"].to_numpy(), "shingles": [shingle_hashes(t, WIDTH).tobytes() for t in pdf["text"]]})
 
 
 def _matrix(column: pd.Series) -> np.ndarray:

@@ -102,17 +102,16 @@ class Mixture:
         mixed = np.einsum("gl,gl->g", p, share[doc])
         return share, np.add.reduceat(weight * np.log(np.maximum(mixed, 1e-30)), starts)
 
-    def proportions(self, found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Language shares of documents (each with one trigram at least) after
-        the selection of their language sets, and their numbers of trigrams."""
-        counts = [np.bincount(x, minlength=BUCKETS) for x in found]
-        used = [np.flatnonzero(c) for c in counts]
-        size = np.array([len(u) for u in used])
+    def proportions(self, found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """Language shares of documents, given as distinct buckets (one at
+        least) and their counts, after the selection of their language sets,
+        and their numbers of trigrams."""
+        size = np.array([len(used) for used, _ in found])
         starts = np.concatenate([[0], np.cumsum(size)[:-1]])
         doc = np.repeat(np.arange(len(found)), size)
-        p = self.p[np.concatenate(used)]
-        weight = np.concatenate([c[u] for c, u in zip(counts, used)]).astype(np.float32)
-        n = np.array([len(x) for x in found], dtype=np.float32)
+        p = self.p[np.concatenate([used for used, _ in found])]
+        weight = np.concatenate([counts for _, counts in found]).astype(np.float32)
+        n = np.array([counts.sum() for _, counts in found], dtype=np.float32)
         k = len(self.languages)
         active = np.ones((len(found), k), dtype=np.float32)
         share, fit = self._em(p, weight, doc, starts, active / k, active, ROUNDS)
@@ -136,7 +135,7 @@ class Mixture:
 
     def label(self, texts) -> tuple[list[str], list[float], list[str]]:
         lang, score, langs = [UNKNOWN] * len(texts), [0.0] * len(texts), [""] * len(texts)
-        pending: list[tuple[int, np.ndarray]] = []
+        pending: list[tuple[int, tuple[np.ndarray, np.ndarray]]] = []
 
         def flush():
             share, n = self.proportions([x for _, x in pending])
@@ -153,8 +152,10 @@ class Mixture:
         for i, text in enumerate(texts):
             found = trigrams(text)
             if len(found) and self.languages:
-                pending.append((i, found))
-                held += min(len(found), BUCKETS)
+                counts = np.bincount(found, minlength=BUCKETS)
+                used = np.flatnonzero(counts)
+                pending.append((i, (used, counts[used])))
+                held += len(used)
                 if held >= CHUNK:
                     flush()
                     held = 0

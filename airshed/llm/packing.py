@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airshed.llm.common import Scratch, with_ids
+from airshed.llm.common import Scratch, in_slices, with_ids
 
 SEQUENCE = 2048
 SEPARATOR = 1
@@ -66,14 +66,14 @@ def tokenize(docs: DataFrame, make_encoder=default_encoder, separator: int = SEP
     twice: the order of a partition's rows is that of one run."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, before, part = make_encoder(), 0, TaskContext.get().partitionId()
-        for pdf in batches:
+        for pdf in in_slices(batches):
             ids, at = [], []
             for text in pdf["text"]:
                 found = np.append(np.asarray(encode(text) if text else [], dtype="<u4"), np.uint32(separator)).astype("<u4")
                 ids.append(found.tobytes())
                 at.append(before)
                 before += len(found)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "part": part, "before": at,
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "part": part, "before": at,
                                 "doc_tokens": [len(x) // 4 for x in ids], "ids": ids})
 
     return with_ids(docs).mapInPandas(work, "doc_id string, part int, before long, doc_tokens long, ids binary").withColumn(

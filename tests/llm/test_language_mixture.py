@@ -28,8 +28,7 @@ def test_em_is_the_likelihood_maximum():
     counts = np.zeros((2, M.BUCKETS), dtype=np.int64)
     counts[0, :3], counts[1, :3] = (800, 150, 50), (50, 250, 700)
     model = M.Mixture(["a", "b"], counts)
-    found = [np.repeat([0, 1, 2], (60, 30, 110))]
-    share, n = model.proportions(found)
+    share, n = model.proportions([(np.array([0, 1, 2]), np.array([60, 30, 110]))])
     p = model.p[[0, 1, 2]].astype(float)
     grid = np.linspace(0.001, 0.999, 999)
     like = [(np.array([60, 30, 110]) * np.log(g * p[:, 0] + (1 - g) * p[:, 1])).sum() for g in grid]
