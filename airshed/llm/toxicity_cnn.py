@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from airshed.llm.common import by_text
 from airshed.llm.language_mixture import fold
-from airshed.llm.sampling import bounded_sample
+from airshed.llm.sampling import drawn, share_of
 from airshed.llm.shingles import letter_word_hashes
 
 SAMPLE = 4_000                 # rows of each label the classifier is fitted on, about
@@ -170,16 +170,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
         labels.where("doc_id is not null and toxic in (0, 1)").where(fold(F.col("doc_id"), FOLDS) != TEST_FOLD)
         .groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other")
     )
-    chosen = [bounded_sample(known.where(F.col("toxic") == y).select("doc_id", "toxic"), "doc_id", sample, seed=y) for y in (0, 1)]
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    # the same draw on both sides: texts outside the sample are not moved
+    draws = [(F.col("toxic") == y, drawn("doc_id", share_of(counts.get(y, 0), sample), y)) for y in (0, 1)]
+    chosen = known.where((draws[0][0] & draws[0][1]) | (draws[1][0] & draws[1][1])).select("doc_id", "toxic")
+    texts = docs.select("doc_id", "text", "lang").where(draws[0][1] | draws[1][1])
     rows = (
-        docs.select("doc_id", "text", "lang").join(chosen[0].unionByName(chosen[1]), "doc_id").select("text", "toxic", "lang")
+        texts.join(chosen, "doc_id").select("text", "toxic", "lang")
         .mapInPandas(_to_ids, "ids binary, toxic int, lang string").toArrow().to_pylist()
     )
     found = sorted(((r["ids"], r["toxic"], r["lang"]) for r in rows), key=lambda r: (r[0], r[1], r[2] or ""))
-    drawn = [sum(1 for r in found if r[1] == y) for y in (0, 1)]
+    taken = [sum(1 for r in found if r[1] == y) for y in (0, 1)]
     return train([(np.frombuffer(b, dtype="<i4"), y, l) for b, y, l in found],
-                 tuple(counts.get(y, 0) / max(1, drawn[y]) for y in (0, 1)))
+                 tuple(counts.get(y, 0) / max(1, taken[y]) for y in (0, 1)))
 
 
 def score(docs: DataFrame, model: Classifier) -> DataFrame:
