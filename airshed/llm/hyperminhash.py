@@ -12,9 +12,10 @@ Steps, each of which Spark partitions:
 
 1. sketch every text once; equal sets (128-bit digest) form a class with one
    representative, so copies cost one row each;
-2. band the registers (36 bands of 7); a band's bucket links its members
-   with its smallest one. At a similarity of 0.85 the chance that no band
-   agrees is 1e-6, at 0.3 that one does is 0.8 %;
+2. band the registers, in bands as long as the threshold allows (36 of 7 at
+   0.85, 42 of 6 at 0.8); a band's bucket links its members with its smallest
+   one. At a similarity of 0.85 the chance that none of 36 bands agrees is
+   1e-6, at 0.3 that one does is 0.8 %; of 42 at 0.8 it is 3e-6 and 3 %;
 3. the collision-corrected Jaccard estimate drops hopeless pairs, the exact
    comparison of the full sets confirms the others; linked documents become
    components;
@@ -44,7 +45,7 @@ from airshed.llm.shingles import shingle_hashes
 
 REGISTERS = 256
 MANTISSA = 10
-BANDS, ROWS = 36, 7
+MISSED = 5e-6                  # chance that a pair on the threshold shares no band, at most
 THRESHOLD = (85, 100)          # intersection / union, as a fraction of integers
 WIDTH = 5                      # words a shingle
 MARGIN = 0.25                  # an estimate this far below the threshold is hopeless (over 5 sigma)
@@ -95,10 +96,17 @@ def estimate(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray)
     return np.clip((agree - c) / (1 - c), 0.0, 1.0)
 
 
-def linked(left: np.ndarray, right: np.ndarray) -> bool:
+def banding(threshold: tuple[int, int]) -> tuple[int, int]:
+    """Bands and registers of a band: the longest bands that miss a pair on
+    the threshold with a probability of at most ``MISSED``."""
+    t = threshold[0] / threshold[1]
+    return next(((REGISTERS // r, r) for r in range(REGISTERS, 1, -1) if (1 - t ** r) ** (REGISTERS // r) <= MISSED), (REGISTERS, 1))
+
+
+def linked(left: np.ndarray, right: np.ndarray, threshold: tuple[int, int] = THRESHOLD) -> bool:
     """Exact test on two full sets (sorted, distinct)."""
     low, high = sorted((len(left), len(right)))
-    a, b = THRESHOLD
+    a, b = threshold
     if low == 0 or b * low < a * high:
         return False
     both = np.concatenate([left, right])
@@ -127,19 +135,23 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype=np.uint16).reshape(len(column), REGISTERS)
 
 
-_FLOOR = THRESHOLD[0] / THRESHOLD[1] - MARGIN
+def _floor(threshold: tuple[int, int]) -> float:
+    return threshold[0] / threshold[1] - MARGIN
 
 
-def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _confirm(threshold: tuple[int, int]):
     """Pairs with both sides' registers and sets -> the linked ones."""
-    for pdf in batches:
-        if not len(pdf):
-            continue
-        size = pdf["a_shingles"].str.len().to_numpy() // 8, pdf["b_shingles"].str.len().to_numpy() // 8
-        good = estimate(_matrix(pdf["a_regs"]), _matrix(pdf["b_regs"]), *size) >= _FLOOR
-        keep = [bool(ok) and linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
-                for ok, x, y in zip(good, pdf["a_shingles"], pdf["b_shingles"])]
-        yield pdf.loc[keep, ["a", "b"]]
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            size = pdf["a_shingles"].str.len().to_numpy() // 8, pdf["b_shingles"].str.len().to_numpy() // 8
+            good = estimate(_matrix(pdf["a_regs"]), _matrix(pdf["b_regs"]), *size) >= _floor(threshold)
+            keep = [bool(ok) and linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), threshold)
+                    for ok, x, y in zip(good, pdf["a_shingles"], pdf["b_shingles"])]
+            yield pdf.loc[keep, ["a", "b"]]
+
+    return work
 
 
 def _find(parent: list[int], x: int) -> int:
@@ -149,34 +161,38 @@ def _find(parent: list[int], x: int) -> int:
     return x
 
 
-def _block_links(pdf: pd.DataFrame) -> pd.DataFrame:
+def _block_links(threshold: tuple[int, int]):
     """One pair of blocks: a spanning forest of the links between documents
     of different components."""
-    pdf = pdf.sort_values("id", kind="stable")
-    regs = _matrix(pdf["regs"])
-    sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
-    size = np.array([len(s) for s in sets])
-    label, root = np.unique(pdf["component"].to_numpy(), return_inverse=True)
-    parent = list(range(len(label)))
-    side, one = pdf["side"].to_numpy(), bool((pdf["i"].iloc[0] == pdf["j"].iloc[0]))
-    out = []
-    for x in range(len(sets) - 1):
-        rest = np.arange(x + 1, len(sets))
-        rest = rest[(root[rest] != root[x]) & (one | (side[rest] != side[x]))]
-        if not len(rest):
-            continue
-        rest = rest[estimate(regs[x], regs[rest], size[x], size[rest]) >= _FLOOR]
-        for y in rest:
-            p, q = _find(parent, int(root[x])), _find(parent, int(root[y]))
-            if p != q and linked(sets[x], sets[y]):
-                parent[max(p, q)] = min(p, q)
-                out.append((label[root[x]], label[root[y]]))
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-
-def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id", kind="stable")
+        regs = _matrix(pdf["regs"])
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+        size = np.array([len(s) for s in sets])
+        label, root = np.unique(pdf["component"].to_numpy(), return_inverse=True)
+        parent = list(range(len(label)))
+        side, one = pdf["side"].to_numpy(), bool((pdf["i"].iloc[0] == pdf["j"].iloc[0]))
+        out = []
+        for x in range(len(sets) - 1):
+            rest = np.arange(x + 1, len(sets))
+            rest = rest[(root[rest] != root[x]) & (one | (side[rest] != side[x]))]
+            if not len(rest):
+                continue
+            rest = rest[estimate(regs[x], regs[rest], size[x], size[rest]) >= _floor(threshold)]
+            for y in rest:
+                p, q = _find(parent, int(root[x])), _find(parent, int(root[y]))
+                if p != q and linked(sets[x], sets[y], threshold):
+                    parent[max(p, q)] = min(p, q)
+                    out.append((label[root[x]], label[root[y]]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return work
+
+
+def near_duplicates(docs: DataFrame, block: int = BLOCK, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored):
-    doc_id, n_shingles, component_id, kept.
+    doc_id, n_shingles, component_id, kept. Documents are linked from the
+    similarity ``threshold`` (a fraction of integers) on.
 
     Null, empty or blank text: an empty set, linked with nothing (its own
     component). Repeated rows: equal sets, one component. Null doc_id: a row
@@ -195,8 +211,9 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         F.min("doc_id").alias("id"), F.first("regs").alias("regs")))
 
     # 2. bands
-    width = 2 * ROWS
-    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
+    bands, registers_each = banding(threshold)
+    width = 2 * registers_each
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
                        lambda b: F.xxhash64(b, F.substr("regs", b * width + 1, F.lit(width))))
     banded = classes.select("id", F.explode(keys).alias("band"))
     heads = banded.groupBy("band").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
@@ -212,7 +229,7 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     # 3. each bucket's smallest member against the others
     side = lambda c: sets.select(F.col("id").alias(c), F.col("regs").alias(f"{c}_regs"),
                                  F.col("shingles").alias(f"{c}_shingles"))
-    links = scratch.settle(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_confirm, "a long, b long"))
+    links = scratch.settle(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_confirm(threshold), "a long, b long"))
     first = scratch.settle(components(scratch, links))
 
     # 4. buckets with several components
@@ -233,7 +250,7 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                 F.col("own").alias("side"), "id", "component", "regs", "shingles")
     )
-    more = rest.groupBy("cluster", "i", "j").applyInPandas(_block_links, "a long, b long")
+    more = rest.groupBy("cluster", "i", "j").applyInPandas(_block_links(threshold), "a long, b long")
     merged = scratch.settle(components(scratch, more))
     scratch.drop(members, sets, links, opened, clusters)
 

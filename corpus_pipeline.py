@@ -24,11 +24,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str,
+               threshold: tuple[int, int] = hyperminhash.THRESHOLD) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the
     smallest id; of rows with the same id one stays. Rows without an id
     cannot be named as duplicates and stay."""
-    kept = hyperminhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
+    kept = hyperminhash.near_duplicates(docs, threshold=threshold).where("kept").select("doc_id").distinct()
     named = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.select(*COLUMNS).where("doc_id is null"))
 

@@ -53,6 +53,15 @@ def test_run_is_the_chain_of_stages(spark):
     assert per_doc(P.run(spark, SF)) == per_doc(docs)
 
 
+def test_near_copies_from_0_8_on_go(spark, documents):
+    words = [f"w{i}" for i in range(104)]                 # 100 shingles; n spoilt last words leave 100 - n of them
+    texts = [" ".join(words[:104 - n] + [f"x{n}y{i}" for i in range(n)]) for n in (0, 10, 12)]
+    for other, stays in ((1, False), (2, True)):          # 90/110 and 88/112
+        data = documents([(1, texts[0], "en", "s"), (2, texts[other], "en", "s")])
+        assert len(P.near_dedup(spark, data, SF, (80, 100)).collect()) == 1 + stays
+        assert P.hyperminhash.near_duplicates(data).where("kept").count() == 2
+
+
 def test_awkward_table(spark, written):
     path = written(AWKWARD)
     docs = spark.read.parquet(f"{path}/documents.parquet")
