@@ -7,8 +7,9 @@ steps on a bounded sample of labelled rows; the embeddings' first dimension
 starts from the words' smoothed log odds in that sample.
 
 The text's language, told from its words by counts of the same sample,
-chooses a threshold calibrated on rows held back from training; the score is
-the logistic function of the distance to that threshold, 0.7 lying on it.
+chooses a threshold calibrated on every labelled row of the training folds
+that the classifier was not fitted on, by counts of (language, score bin,
+label); the score is the logistic function of the distance to that threshold, 0.7 lying on it.
 Scoring reads the text only: no label, language, source or id.
 """
 
@@ -32,6 +33,7 @@ WIDTHS, FILTERS = (1, 2, 3), 6
 EPOCHS, RATE, PRIOR = 4, 0.05, 2.0
 CUT = 0.7                      # scores from here on are predictions of 1
 SLOPE = 2.0
+BINS, REACH = 256, 100          # bins of a unit of the logit, and the largest logit told apart, in calibration
 LEAST = 25                     # positive calibration rows a language needs for a threshold of its own
 FOLDS, TEST_FOLD = 3, 1
 
@@ -113,9 +115,8 @@ def _best_threshold(z: np.ndarray, label: np.ndarray, weight: np.ndarray) -> flo
     return float((z[at] + below[at]) / 2)
 
 
-def train(rows: list[tuple[np.ndarray, int, str | None]], weights: tuple[float, float] = (1.0, 1.0)) -> Classifier:
-    """``rows``: word ids, label, language (or None); ``weights``: rows that a
-    sampled row of label 0 and 1 stands for. A quarter is held back for the thresholds."""
+def train(rows: list[tuple[np.ndarray, int, str | None]]) -> Classifier:
+    """``rows``: word ids, label, language (or None). The thresholds are left to ``calibrate``."""
     model = Classifier()
     if not rows or len({y for _, y, _ in rows}) < 2:
         # one label only: its share is all there is to learn
@@ -123,12 +124,9 @@ def train(rows: list[tuple[np.ndarray, int, str | None]], weights: tuple[float,
         model.thresholds[:] = -10.0 if rows and rows[0][1] else 10.0
         return model
     rng = np.random.default_rng(5)
-    order = rng.permutation(len(rows))
-    held, learn = order[:len(rows) // 4], order[len(rows) // 4:]
     count = np.zeros((2, 1 << TABLE_BITS), dtype=np.float64)
     total = np.zeros(2)
-    for i in learn:
-        ids, y, _ = rows[i]
+    for ids, y, _ in rows:
         count[y, np.unique(ids)] += 1
         total[y] += 1
     odds = np.log((count[1] + PRIOR) / (total[1] + 2 * PRIOR)) - np.log((count[0] + PRIOR) / (total[0] + 2 * PRIOR))
@@ -137,23 +135,30 @@ def train(rows: list[tuple[np.ndarray, int, str | None]], weights: tuple[float,
     model.languages = sorted({l for _, _, l in rows if l is not None})
     if model.languages:
         words = np.full((1 << TABLE_BITS, len(model.languages)), 0.1, dtype=np.float64)
-        for i in learn:
-            if rows[i][2] is not None:
-                np.add.at(words[:, model.languages.index(rows[i][2])], rows[i][0], 1.0)
+        for ids, _, l in rows:
+            if l is not None:
+                np.add.at(words[:, model.languages.index(l)], ids, 1.0)
         words = np.log(words / words.sum(axis=0))
         model.words = (words - words.mean(axis=1, keepdims=True)).astype(np.float32)
     for epoch in range(EPOCHS):
-        for i in rng.permutation(learn):
+        for i in rng.permutation(len(rows)):
             model.step(rows[i][0], rows[i][1], RATE / (1 + epoch))
-    z = np.array([model.forward(rows[i][0])[0] for i in held])
-    label = np.array([rows[i][1] for i in held])
-    weight = np.where(label == 1, weights[1], weights[0])
-    group = np.array([model.language(rows[i][0]) for i in held])
+    model.thresholds = np.zeros(max(1, len(model.languages)))
+    return model
+
+
+def calibrate(model: Classifier, counts: pd.DataFrame, weights: tuple[float, float] = (1.0, 1.0)) -> None:
+    """Sets the thresholds. ``counts``: rows ``n`` by language, score ``bin``
+    and label ``toxic``; ``weights``: labelled rows that a counted row of
+    label 0 and 1 stands for."""
+    counts = counts.sort_values(["language", "bin", "toxic"], kind="stable")
+    z = (counts["bin"].to_numpy() + 0.5) / BINS
+    label, n, group = (counts[c].to_numpy() for c in ("toxic", "n", "language"))
+    weight = n * np.where(label == 1, weights[1], weights[0])
     common = _best_threshold(z, label, weight) if label.any() else 0.0
     model.thresholds = np.array([
         _best_threshold(z[group == g], label[group == g], weight[group == g])
-        if label[group == g].sum() >= LEAST else common for g in range(max(1, len(model.languages)))])
-    return model
+        if n[(group == g) & (label == 1)].sum() >= LEAST else common for g in range(max(1, len(model.languages)))])
 
 
 def _to_ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -162,27 +167,62 @@ def _to_ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "toxic": pdf["toxic"].astype("int32"), "lang": pdf["lang"]})
 
 
+def _to_bins(model: Classifier):
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [(model.language(ids), model.forward(ids)[0]) for ids in map(word_ids, pdf["text"])]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "language": [g for g, _ in found],
+                                "bin": [int(np.floor(np.clip(z, -REACH, REACH) * BINS)) for _, z in found]})
+
+    return work
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
-    """Fit on about ``sample`` labelled rows of each label, chosen by a hash of
-    their ids. Only rows outside the test fold are read. Rows of ``labels``
-    without an id or a label, or that contradict each other, are left out."""
+    """Fit on three quarters of about ``sample`` labelled rows of each label,
+    chosen by a hash of their ids; thresholds from all other labelled rows.
+    Only rows outside the test fold are read. Rows of ``labels`` without an
+    id or a label, or that contradict each other, are left out."""
+    outside = fold(F.col("doc_id"), FOLDS) != TEST_FOLD
     known = (
-        labels.where("doc_id is not null and toxic in (0, 1)").where(fold(F.col("doc_id"), FOLDS) != TEST_FOLD)
+        labels.where("doc_id is not null and toxic in (0, 1)").where(outside)
         .groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other")
     )
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     # the same draw on both sides: texts outside the sample are not moved
     draws = [(F.col("toxic") == y, drawn("doc_id", share_of(counts.get(y, 0), sample), y)) for y in (0, 1)]
+    learn = drawn("doc_id", share_of(4, 3), 2)
     chosen = known.where((draws[0][0] & draws[0][1]) | (draws[1][0] & draws[1][1])).select("doc_id", "toxic")
     texts = docs.select("doc_id", "text", "lang").where(draws[0][1] | draws[1][1])
-    rows = (
-        texts.join(chosen, "doc_id").select("text", "toxic", "lang")
-        .mapInPandas(_to_ids, "ids binary, toxic int, lang string").toArrow().to_pylist()
+
+    def rows(part):
+        found = (
+            texts.where(part).join(chosen.where(part), "doc_id").select("text", "toxic", "lang")
+            .mapInPandas(_to_ids, "ids binary, toxic int, lang string").toArrow().to_pylist()
+        )
+        return sorted(((r["ids"], r["toxic"], r["lang"]) for r in found), key=lambda r: (r[0], r[1], r[2] or ""))
+
+    found = rows(learn)
+    if len({y for _, y, _ in found}) < 2 <= len(counts):
+        # too few rows to hold any back
+        learn = F.lit(True)
+        found = rows(learn)
+    model = train([(np.frombuffer(b, dtype="<i4"), y, l) for b, y, l in found])
+    if len({y for _, y, _ in found}) < 2:
+        return model
+    # texts are scored where they lie; only ids, languages and bins are moved
+    fitted = learn & ((draws[0][0] & draws[0][1]) | (draws[1][0] & draws[1][1]))
+    binned = (
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        .where("doc_id is not null").where(outside)
+        .mapInPandas(_to_bins(model), "doc_id long, language int, bin int")
     )
-    found = sorted(((r["ids"], r["toxic"], r["lang"]) for r in rows), key=lambda r: (r[0], r[1], r[2] or ""))
-    taken = [sum(1 for r in found if r[1] == y) for y in (0, 1)]
-    return train([(np.frombuffer(b, dtype="<i4"), y, l) for b, y, l in found],
-                 tuple(counts.get(y, 0) / max(1, taken[y]) for y in (0, 1)))
+    bins = (
+        binned.join(known.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic"), "doc_id").where(~fitted)
+        .groupBy("language", "bin", "toxic").agg(F.count(F.lit(1)).alias("n")).toArrow().to_pandas()
+    )
+    held = [int(bins.loc[bins["toxic"] == y, "n"].sum()) for y in (0, 1)]
+    calibrate(model, bins, tuple(counts.get(y, 0) / max(1, held[y]) for y in (0, 1)))
+    return model
 
 
 def score(docs: DataFrame, model: Classifier) -> DataFrame:

@@ -59,6 +59,13 @@ def test_neither_test_labels_nor_other_columns_are_read(spark, scored):
     assert again == {r.doc_id: r.score for r in out}
 
 
+def test_thresholds_come_from_every_row_outside_the_fit(spark, scored):
+    # a quarter of 80 rows of a label holds no language's LEAST positives, the rows outside the sample do
+    model = T.fit(scored[0], scored[1], sample=80)
+    at = dict(zip(model.languages, model.thresholds))
+    assert len({at["en"], at["de"], at["fr"]}) == 3
+
+
 def test_awkward_and_degenerate(spark, documents):
     docs = documents(AWKWARD)
     labels = spark.createDataFrame([(4, 1, 0), (4, 1, 1), (6, None, 1), (7, 0, None), (2, 1, 0), (-5, 1, 1), (None, 1, 1), (6, 1, 0)],
