@@ -13,7 +13,10 @@ page.
 
 Elements that name their own purpose (navigation, footers, forms, adverts,
 comments ...) are left out before that. Where a page marks its article, the
-mark outweighs the tree: the text is the article's, whatever repeats in it.
+mark is a prior that the tree can overrule: a branch inside the mark goes if
+nothing in it varies at all (``MARKED_LEAST``), unless the whole mark is like
+that; and where the tree finds more of a page's own text outside the marks
+than there is inside, the page is read as one without marks.
 
 Pages are parsed where they lie; what is shuffled are counts by node.
 """
@@ -33,6 +36,8 @@ from pyspark.sql import functions as F
 from airshed.llm.common import Scratch
 
 LEAST = 0.2                    # composite importance below this is noise
+MARKED_LEAST = 0.05            # the same, for a branch inside a marked article
+OWN = 0.8                      # importance of contents that speak for a node outside the marks
 FADE = 0.9                     # weight of a node's children: FADE ** (number of presentations)
 EVIDENCE = 5                   # pages a node needs to be weighed
 LINKED = 0.6                   # share of link text that makes a block a menu, outside articles
@@ -198,25 +203,44 @@ class Page:
                     self._in_link += 1
         self._flush()
 
-    def text(self, noise: frozenset[int] | set[int] = frozenset()) -> str:
-        out = []
-        for node, text, links in self.blocks:
-            if self.marked:
-                if not node.article:
-                    continue
-            else:
-                if links > LINKED * len("".join(text.split())):
-                    continue
-                up, dropped = node, False
-                while up is not None and not dropped:
-                    dropped, up = up.key in noise, up.parent
-                if dropped:
-                    continue
-            out.append(text)
-        return "\n".join(out)
+    def text(self, noise: frozenset[int] | set[int] = frozenset(), plain: frozenset[int] | set[int] = frozenset(),
+             own: frozenset[int] | set[int] = frozenset()) -> str:
+        """``noise``: branches to leave out; ``plain``: those to leave out
+        inside a mark; ``own``: nodes whose contents are important."""
+        if self.marked:
+            inside = [text for node, text, _ in self.blocks if node.article and not self._plain(node, plain)]
+            outside = [text for node, text, links in self.blocks if not node.article and node.key in own
+                       and not self._menu(text, links) and not self._within(node, noise)]
+            if sum(map(len, outside)) <= sum(map(len, inside)):
+                return "\n".join(inside)
+        return "\n".join(text for node, text, links in self.blocks
+                         if not self._menu(text, links) and not self._within(node, noise))
+
+    @staticmethod
+    def _menu(text: str, links: int) -> bool:
+        return links > LINKED * len("".join(text.split()))
+
+    @staticmethod
+    def _within(node: _Node | None, keys) -> bool:
+        while node is not None:
+            if node.key in keys:
+                return True
+            node = node.parent
+        return False
+
+    def _plain(self, node: _Node, plain) -> bool:
+        """Whether a block's node lies in a plain branch below a mark that is not plain itself."""
+        if not plain:
+            return False
+        found = False
+        while node.parent is not None and node.parent.article:
+            found |= node.key in plain
+            node = node.parent
+        return found and not self._within(node, plain)
 
     def features(self) -> dict[tuple[int, int, int, int], None]:
-        """Distinct (node, parent, kind, feature): kind 0 a presentation, 1 a content."""
+        """Distinct (node, parent, kind, feature): kind 0 a presentation, 1 a
+        content, 2 that a page with marks has text there outside of them."""
         out: dict[tuple[int, int, int, int], None] = {}
         shown: dict[int, list[str]] = {}
         above: dict[int, int] = {}
@@ -230,6 +254,8 @@ class Page:
             out[(key, above[key], 0, _hash("p", *kids))] = None
         for node, text, _ in self.blocks:
             out[(node.key, above.get(node.key, 0), 1, _hash("c", text))] = None
+            if self.marked and not node.article:
+                out[(node.key, above.get(node.key, 0), 2, 0)] = None
         return out
 
 
@@ -252,6 +278,7 @@ def _weigh(pdf: pd.DataFrame) -> pd.DataFrame:
             children.setdefault(int(r.parent), []).append(key)
     value: dict[int, float] = {}
     best: dict[int, float] = {}      # of a node and all below it
+    most: dict[int, float] = {}      # the same, contents by themselves
     stack = [(k, False) for k in nodes if int(nodes[k].parent) not in nodes or k == int(nodes[k].parent)]
     while stack:
         key, ready = stack.pop()
@@ -269,13 +296,20 @@ def _weigh(pdf: pd.DataFrame) -> pd.DataFrame:
             weight = FADE ** float(r.presentations)
             value[key] = (1 - weight) * float(r.presentation_importance) + weight * float(np.mean(below))
         best[key] = max([value[key], *(best[c] for c in children.get(key, []))])
+        most[key] = max([value[key], float(r.content_importance) if r.contents else 0.0, *(most[c] for c in children.get(key, []))])
     # a branch is noise if nothing in it is important
     low = sorted(k for k, v in best.items() if v < LEAST and nodes[k].pages >= EVIDENCE and k != 0)
-    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "noise": [np.array(low, dtype=np.int64)]})
+    plain = {k for k, v in most.items() if v < MARKED_LEAST and nodes[k].pages >= EVIDENCE and k != 0}
+    own = sorted(k for k, r in nodes.items() if r.outside and r.pages >= EVIDENCE and r.content_importance >= OWN)
+    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "noise": [np.array(low, dtype=np.int64)],
+                         "plain": [np.array(sorted(k for k in plain if int(nodes[k].parent) not in plain), dtype=np.int64)],
+                         "own": [np.array(own, dtype=np.int64)]})
 
 
 def noise_nodes(pages: DataFrame) -> DataFrame:
-    """host, noise: the style nodes of each host's tree below ``LEAST``."""
+    """host, noise, plain, own: of each host's tree the style nodes below
+    ``LEAST``, the topmost ones below ``MARKED_LEAST``, and those with own
+    contents outside the marks of pages that have marks."""
     rows = pages.select("url", "html").mapInPandas(_features, "host string, node long, parent long, kind int, feature long")
     counted = rows.groupBy("host", "node", "parent", "kind", "feature").agg(F.count(F.lit(1)).alias("k"))
     shown = counted.where("kind = 0")
@@ -287,17 +321,21 @@ def noise_nodes(pages: DataFrame) -> DataFrame:
         (F.log(m) - F.col("klogk") / m) / F.log(m)))
     contents = counted.where("kind = 1").groupBy("host", "node").agg(
         F.count(F.lit(1)).alias("contents"), F.sum(F.log("k")).alias("logs"))
-    both = nodes.join(contents, ["host", "node"], "left").withColumn(
+    outside = counted.where("kind = 2").groupBy("host", "node").agg(F.sum("k").alias("outside"))
+    both = nodes.join(contents, ["host", "node"], "left").join(outside, ["host", "node"], "left").withColumn(
         "content_importance", F.greatest(F.lit(0.0), 1 - F.col("logs") / F.col("contents") / F.log(m))).select(
         "host", "node", "parent", "pages", "presentations", "presentation_importance",
-        F.coalesce("contents", F.lit(0)).alias("contents"), F.coalesce("content_importance", F.lit(1.0)).alias("content_importance"))
+        F.coalesce("contents", F.lit(0)).alias("contents"), F.coalesce("content_importance", F.lit(1.0)).alias("content_importance"),
+        F.coalesce("outside", F.lit(0)).alias("outside"))
     # a group is the style nodes of one host, not its pages
-    return both.groupBy("host").applyInPandas(_weigh, "host string, noise array<long>").where(F.size("noise") > 0)
+    return both.groupBy("host").applyInPandas(_weigh, "host string, noise array<long>, plain array<long>, own array<long>").where(
+        (F.size("noise") > 0) | (F.size("own") > 0))
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        text = [Page(s).text(set() if n is None else set(map(int, n))) for s, n in zip(pdf["html"], pdf["noise"])]
+        lists = ([set() if x is None else set(map(int, x)) for x in row] for row in zip(pdf["noise"], pdf["plain"], pdf["own"]))
+        text = [Page(s).text(*row) for s, row in zip(pdf["html"], lists)]
         yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": text, "n_chars": [len(t) for t in text]})
 
 
@@ -313,7 +351,7 @@ def extract(pages: DataFrame) -> DataFrame:
     noise = scratch.settle(noise_nodes(pages))
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     return (
-        pages.withColumn("host", host).join(noise, "host", "left").select("page_id", "url", "html", "noise")
+        pages.withColumn("host", host).join(noise, "host", "left").select("page_id", "url", "html", "noise", "plain", "own")
         .mapInPandas(_extract, "page_id string, url string, text string, n_chars long")
         .withColumn("page_id", F.col("page_id").cast("long"))
     )

@@ -52,6 +52,22 @@ def test_repeated_lines_of_a_marked_article_stay(spark):
     assert all(t == f"The same line.\nText {i // 20}." for i, t in found)
 
 
+def test_tree_overrules_marks(spark):
+    teasers = ("<html><body><div class='list'><article class='card'><p>Teaser {0}.</p></article></div>"
+               "<div class='body'><p>Story number {0} tells of thing{0} at some length, and so on.</p></div></body></html>")
+    boxes = ("<html><body><main><div class='text'><p>Story {0} of thing{0}.</p></div>"
+             "<div class='box'><p>All the news, every day.</p></div></main><div class='date'><p>Day {0}</p></div></body></html>")
+    same = "<html><body><main><div><p>One text.</p></div><div class='x'><p>Another.</p></div></main></body></html>"
+    data = [(i, "https://a.example/", teasers.format(i), "x") for i in range(40)]
+    data += [(100 + i, "https://b.example/", boxes.format(i), "x") for i in range(40)]
+    data += [(200 + i, "https://c.example/", same, "x") for i in range(40)]
+    found = dict(rows(H.extract(spark.createDataFrame(data, SCHEMA)), "page_id", "text"))
+    for i in range(40):
+        assert f"Story number {i} tells of thing{i} at some length, and so on." in found[i]
+        assert found[100 + i] == f"Story {i} of thing{i}."
+        assert found[200 + i] == "One text.\nAnother."            # a page that is all repeats keeps its mark
+
+
 def test_driver_pages_against_their_articles(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     source = {r.page_id: r.html for r in pages.collect()}
