@@ -70,11 +70,17 @@ def rake(cells: pd.DataFrame, targets: dict[str, dict[str, float]], rounds: int
     return weight
 
 
-def calibrate(tokens: np.ndarray, wanted: np.ndarray, rate: float = RATE) -> np.ndarray:
+def calibrate(tokens: np.ndarray, wanted: np.ndarray, rate: float = RATE, keep_targets: bool = False) -> np.ndarray:
     """Probabilities min(1, scale * wanted / tokens), the scale such that the
-    expected tokens are ``rate`` of all."""
+    expected tokens are ``rate`` of all. Cells cut at 1 leave their missing
+    tokens to the others, which moves the marginals; with ``keep_targets`` the
+    scale is the largest, up to ``rate``, at which no cell is cut."""
     tokens = np.asarray(tokens, dtype=float)
     ratio = np.divide(wanted, tokens, out=np.zeros_like(tokens), where=tokens > 0)
+    if keep_targets and ratio.any():
+        scale = min(rate * tokens.sum() / float((tokens * ratio).sum()), 1 / ratio.max())
+        # no rounding: it would move the marginals of sparse cells
+        return np.where(tokens > 0, scale * ratio, rate)
     order = np.argsort(-ratio, kind="stable")
     budget = rate * tokens.sum()
     full, rest = 0.0, float((tokens * ratio).sum())
@@ -90,7 +96,17 @@ def calibrate(tokens: np.ndarray, wanted: np.ndarray, rate: float = RATE) -> np.
     return np.where(tokens > 0, np.round(np.minimum(1.0, scale * ratio), 6), round(rate, 6))
 
 
-def mix(docs: DataFrame, targets: dict[str, dict[str, float]] = TARGETS, rate: float = RATE) -> DataFrame:
+def marginals(cells: pd.DataFrame, targets: dict[str, dict[str, float]]) -> pd.DataFrame:
+    """dim, value, target, present, achieved: shares of the tokens in ``cells``
+    (the dimensions, ``tokens``, ``probability``) before and after the draw,
+    in expectation."""
+    after = cells["tokens"] * cells["probability"]
+    out = [(dim, v, w, cells["tokens"][cells[dim] == v].sum() / max(cells["tokens"].sum(), 1e-300),
+            after[cells[dim] == v].sum() / max(after.sum(), 1e-300)) for dim, wanted in targets.items() for v, w in wanted.items()]
+    return pd.DataFrame(out, columns=["dim", "value", "target", "present", "achieved"])
+
+
+def mix(docs: DataFrame, targets: dict[str, dict[str, float]] = TARGETS, rate: float = RATE, keep_targets: bool = False) -> DataFrame:
     """Every row with probability and kept.
 
     ``docs`` has doc_id and the dimensions that ``targets`` names, and
@@ -104,7 +120,7 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] = TARGETS, rate: f
         docs.select(*(named[d].alias(d) for d in dims), "n_tokens").groupBy(*dims)
         .agg(F.sum("n_tokens").alias("tokens")).toPandas().sort_values(dims, kind="stable", ignore_index=True)
     )
-    cells["probability"] = calibrate(cells["tokens"].to_numpy(dtype=float), rake(cells, targets), rate)
+    cells["probability"] = calibrate(cells["tokens"].to_numpy(dtype=float), rake(cells, targets), rate, keep_targets)
     spark = docs.sparkSession
     columns = [f"cell_{d}" for d in dims]
     schema = ", ".join(f"{c} string" for c in columns) + ", probability double"

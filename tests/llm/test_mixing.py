@@ -43,6 +43,18 @@ def test_calibrated_rate_without_probabilities_above_one():
     assert (X.calibrate(tokens, tokens, 1.0)[:3] == 1).all()
 
 
+def test_targets_are_kept_under_skew():
+    names = [f"s{i}" for i in range(20)]
+    targets = {"source": {n: 0.05 for n in names}}
+    c = pd.DataFrame({"source": names, "tokens": [950.0] + [100.0] * 19})
+    wanted = X.rake(c, targets)
+    c["probability"] = X.calibrate(c["tokens"], wanted, keep_targets=True)
+    assert c["probability"].max() == pytest.approx(1)
+    assert np.allclose(X.marginals(c, targets)["achieved"], 0.05)
+    c["probability"] = X.calibrate(c["tokens"], wanted)                # the fixed rate gives up the targets
+    assert X.marginals(c, targets)["achieved"][0] == pytest.approx(380 / 2280, abs=1e-4)
+
+
 def test_sample_moves_the_table_to_its_targets(spark):
     docs = X.with_topic(spark.read.parquet(f"{SF}/documents.parquet"))
     out = X.mix(docs).toPandas()
