@@ -6,8 +6,9 @@ distance d of x lies on the far side of the plane between x's centroid c
 and c', so c' need only be probed if x is no further than d from that plane.
 In many dimensions a difference of length d reaches far less than d in any
 one direction: a list is probed up to ``SPREAD`` standard deviations of that
-reach, d * SPREAD / sqrt(dimensions), and a pair counts when either of the
-two probes the other's list. In a probed list the distances to all codes
+reach, d * SPREAD / sqrt(dimensions), but never less than half of d, and a
+pair counts when either of the two probes the other's list: one of them lies
+within d / 2 of the plane, so no link is missed. In a probed list the distances to all codes
 come from a lookup table of the query (asymmetric distance); whatever is
 within d plus the code's own error is compared by exact cosine in double
 precision, which loses nothing.
@@ -82,7 +83,7 @@ class Quantiser:
         codes = np.stack([_nearest(rest[:, p], b)[0] for p, b in zip(self.parts, self.books)], axis=1).astype(np.uint8)
         for m, (p, b) in enumerate(zip(self.parts, self.books)):
             rest[:, p] -= b[codes[:, m]]
-        reach = math.sqrt(2 - 2 * cosine) * min(1.0, SPREAD / math.sqrt(unit.shape[1]))
+        reach = math.sqrt(2 - 2 * cosine) * min(1.0, max(0.5, SPREAD / math.sqrt(unit.shape[1])))
         near = gap - gap[np.arange(len(own)), own][:, None] <= 2 * reach * self.apart[own] + _SLACK
         near[np.arange(len(own)), own] = True
         return own, codes, np.linalg.norm(rest, axis=1), near

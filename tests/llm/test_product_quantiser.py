@@ -50,6 +50,15 @@ def planted(n, groups, seed, size=64):
     return [(int(i) * 5 - 20, [float(np.float32(x)) for x in out[j]]) for i, j in enumerate(order)]
 
 
+def test_every_link_is_probed_in_many_dimensions():
+    x = np.zeros((400, 400))
+    x[:, :3] = np.random.default_rng(4).normal(size=(400, 3))          # differences run along the centroids' axes
+    own, _, _, near = V.Quantiser(x, 40).encode(x, V.COSINE)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    i, j = np.nonzero(unit @ unit.T >= V.COSINE)
+    assert (near[i, own[j]] | near[j, own[i]]).all()
+
+
 @pytest.mark.parametrize("block,lists", [(512, None), (16, 7), (16, 40)])
 def test_matches_brute_force(spark, block, lists):
     data = planted(150, 40, 3)
