@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airshed.llm import (chat_format, hyperminhash, language_mixture, mixing, packing, product_quantiser, quartile_digest,
-                         secret_crf, site_style, toxicity_cnn)
+from airshed.llm import (chat_format, collocations, hyperminhash, language_mixture, mixing, packing, periodic_runs,
+                         product_quantiser, quality_neighbours, quartile_digest, secret_crf, site_style, toxicity_cnn)
 from airshed.llm.common import table
 
 
@@ -59,11 +59,28 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_mixture.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language of ``documents``."""
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of ``documents``, of which a tenth get a periodic tail before."""
+    return periodic_runs.digest(periodic_runs.runs(table(spark, sf_dir, "documents"), edit=periodic_runs.planted))
+
+
+def op13_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of ``documents``, learned from ``labels``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_neighbours.score(docs, quality_neighbours.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_site_style, op2_hyperminhash, op3_quartile_digest, op4_raking, op5_packing, op6_secret_crf,
-              op7_product_quantiser, op8_toxicity_cnn, op9_chat_format, op10_language_mixture)
+              op7_product_quantiser, op8_toxicity_cnn, op9_chat_format, op10_language_mixture, op11_collocations,
+              op12_periodic_runs, op13_quality_neighbours)
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {"op4_raking": mixing.oracle_sql()}
+ORACLE: dict[str, str] = {"op4_raking": mixing.oracle_sql(), "op11_collocations": collocations.oracle_sql()}
