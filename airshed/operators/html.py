@@ -1,42 +1,214 @@
-"""HTML pages -> rows (H1-H3), inside the JVM.
-
-Comments, scripts and styles are dropped first; the rest is cut before each
-tag, and an element runs from its opening tag to the closing tag that
-brings the depth of its name back to where it was, so nested elements of
-the same name stay whole. Each page is handled in its own row with
-higher-order functions; no Python worker is started and nothing is
-collected. Class lists are read from double-quoted, single-quoted and bare
-attributes.
+"""HTML pages -> rows (H1-H3).
+
+A page is read once, from its first to its last character, by a scanner
+with a stack of open elements; the rows or items it finds are an array
+column of the page's own row, exploded by Spark, so pages are neither
+collected nor shuffled. The scanner's steps are proportional to the page,
+whatever its markup: the only regular expressions are single forward passes
+over it, and an element's descendants are found by bisection in document
+order. (Built-in expressions can only find the end of an element by
+searching the rest of the page, once per element.)
+
+Comments, scripts and styles are dropped first. An element runs to its own
+closing tag, or to the end of the element around it. Names and attributes
+are read without regard to case; class lists from double-quoted,
+single-quoted and bare attributes. Elements nested deeper than ``DEEPEST``
+are read as text, so that what a page gives is bounded by its size.
 """
 
 from __future__ import annotations
 
+import re
+import sys
+from bisect import bisect_right
+from collections.abc import Callable
 from html.entities import name2codepoint
+from itertools import accumulate
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airshed import rules
 from airshed.functions.exprs import absolute_url, numeric_text, site_root
 
-_NOISE = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
-
-
-def clean_html(c: Column) -> Column:
-    """Without comments, scripts and styles."""
-    return F.regexp_replace(c, _NOISE, "")
-
-
-def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute of an opening tag; NULL when it has none."""
-    found = rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-    value = F.concat(*(F.regexp_extract(tag, found, i) for i in (1, 2, 3)))
-    return F.when(tag.rlike(found), decode_entities(value))
-
-
-def has_class(tag: Column, cls: str) -> Column:
-    """The class list of an opening tag holds the token ``cls``."""
-    return F.coalesce(F.array_contains(F.split(attribute(tag, "class"), r"\s+"), cls), F.lit(False))
+# shipped with the tasks: executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+DEEPEST = 256
+_BLANK = " \t\n\x0b\f\r "
+_TAG = re.compile(r"<(?:(/?)([a-zA-Z][^\s<>/]*)|[!?])[^<>]*>?")
+_HIDDEN = re.compile(r"<!--|<(script|style)\b", re.IGNORECASE)
+_HIDDEN_END = {n: re.compile(rf"</{n}\s*>", re.IGNORECASE) for n in ("script", "style")}
+_REFERENCE = re.compile(r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});")
+
+
+def visible(page: str) -> str:
+    """Without comments, scripts and styles; an unclosed one hides the rest."""
+    out, at = [], 0
+    while found := _HIDDEN.search(page, at):
+        name = found.group(1)
+        # an opening tag that never closes hides nothing, nor does any after it
+        start = page.find(">", found.end()) + 1 if name else found.end()
+        if start == 0:
+            break
+        out.append(page[at:found.start()])
+        if name:
+            end = _HIDDEN_END[name.lower()].search(page, start)
+            at = end.end() if end else len(page)
+        else:
+            end = page.find("-->", start)
+            at = end + 3 if end >= 0 else len(page)
+    out.append(page[at:])
+    return "".join(out)
+
+
+def decoded(text: str) -> str:
+    """Character references (decimal, hexadecimal, named) as characters."""
+    def char(m: re.Match) -> str:
+        name = m.group(1)
+        if not name.startswith("#"):
+            return chr(name2codepoint[name]) if name in name2codepoint else m.group(0)
+        point = int(name[2:], 16) if name[1] in "xX" else int(name[1:])
+        return chr(point) if 0 < point <= 0x10FFFF and not 0xD800 <= point <= 0xDFFF else "�"
+
+    return _REFERENCE.sub(char, text) if "&" in text else text
+
+
+def attribute_of(tag: str, name: str) -> str | None:
+    """Value of an attribute of an opening tag; None when it has none."""
+    found = re.search(rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", tag)
+    return None if found is None else decoded(next((g for g in found.groups() if g is not None), ""))
+
+
+class Element:
+    """An element: its place in document order, the place after its last
+    descendant, its opening tag and the text nodes inside it."""
+
+    __slots__ = ("name", "at", "end", "tag", "first", "last", "around")
+
+    def __init__(self, name: str, at: int, tag: str, first: int, around: int):
+        self.name, self.at, self.tag, self.first, self.around = name, at, tag, first, around
+        self.end = self.last = sys.maxsize
+
+    def classes(self) -> list[str]:
+        return (attribute_of(self.tag, "class") or "").split()
+
+
+class Page:
+    """The elements of some names, in document order, and the text nodes
+    (decoded and stripped) of a page. ``around`` of an element is the place
+    of the nearest element named ``mark`` that holds it, or -1."""
+
+    def __init__(self, html: str, names: frozenset[str], mark: str = ""):
+        page = visible(html)
+        self.texts: list[str] = []
+        self.elements: dict[str, list[Element]] = {n: [] for n in names}
+        self.places: dict[str, list[int]] = {n: [] for n in names}
+        stack: list[Element] = []
+        opened = dict.fromkeys(names, 0)
+        marks = [-1]
+        at = n = 0
+
+        def close(e: Element) -> None:
+            e.end, e.last = n, len(self.texts)
+            opened[e.name] -= 1
+            if e.name == mark:
+                marks.pop()
+
+        for tag in _TAG.finditer(page):
+            if tag.start() > at:
+                self.texts.append(decoded(page[at:tag.start()]).strip(_BLANK))
+            at, name = tag.end(), (tag.group(2) or "").lower()
+            if name not in names:
+                continue
+            n += 1
+            if tag.group(1):
+                if opened[name]:
+                    while (e := stack.pop()).name != name:
+                        close(e)
+                    close(e)
+            elif len(stack) < DEEPEST:
+                e = Element(name, n, tag.group(0), len(self.texts), marks[-1])
+                stack.append(e)
+                opened[name] += 1
+                self.elements[name].append(e)
+                self.places[name].append(n)
+                if name == mark:
+                    marks.append(n)
+        if at < len(page):
+            self.texts.append(decoded(page[at:]).strip(_BLANK))
+        n += 1
+        while stack:
+            close(stack.pop())
+        self.whole, self.starts = "".join(self.texts), [0, *accumulate(map(len, self.texts))]
+
+    def text(self, e: Element | None) -> str:
+        """Text nodes joined with no separator (``Hà <b>Nội</b>`` -> ``HàNội``)."""
+        return "" if e is None else self.whole[self.starts[e.first]:self.starts[e.last]]
+
+    def inside(self, e: Element, name: str):
+        """The elements of a name inside another, in document order."""
+        found = self.elements[name]
+        for i in range(bisect_right(self.places[name], e.at), len(found)):
+            if found[i].at >= e.end:
+                return
+            yield found[i]
+
+
+def outermost(elements: list[Element]) -> list[Element]:
+    """The elements, in document order, that lie in none of the others."""
+    out: list[Element] = []
+    for e in elements:
+        if not out or e.at >= out[-1].end:
+            out.append(e)
+    return out
+
+
+def table_rows(html: str | None, table_class: str) -> list[list[str]]:
+    """Texts of the cells of each row of a page (see ``html_table_rows``)."""
+    page = Page(html or "", frozenset(("table", "tbody", "tr", "td", "th")), "tbody")
+    tables = page.elements["table"]
+    chosen = [t for t in tables if table_class in t.classes()]
+    # a row is in a body of the table when the nearest body around it opened inside the table
+    rows = [r for t in outermost(chosen) for r in page.inside(t, "tr") if r.around > t.at]
+    if not rows and tables:
+        rows = list(page.inside((chosen or tables)[0], "tr"))
+    out = []
+    for row in rows:
+        cells = sorted((*page.inside(row, "td"), *page.inside(row, "th")), key=lambda c: c.at)
+        out.append([page.text(c) for c in cells])
+    return out
+
+
+def list_items(html: str | None, list_class: str, item_class: str, item_tag: str, fallback: str) -> list[dict]:
+    """Title, summary, date and link target of each item of a page (see
+    ``html_items``)."""
+    page = Page(html or "", frozenset(("div", item_tag, "h3", "a", "span")), "h3")
+    lists = outermost([d for d in page.elements["div"] if list_class in d.classes()])
+    items = [e for d in lists for e in page.inside(d, item_tag) if item_class in e.classes()]
+    if not items:
+        items = [e for e in page.elements[item_tag]
+                 if not fallback or re.search(fallback, attribute_of(e.tag, "class") or "")]
+
+    def first(item: Element, name: str, cls: str) -> str:
+        return page.text(next((e for e in page.inside(item, name) if cls in e.classes()), None))
+
+    out = []
+    for item in items:
+        link = next((a for a in page.inside(item, "a") if a.around > item.at), None) or next(page.inside(item, "a"), None)
+        out.append({"title": page.text(link) if link else "N/A", "summary": first(item, "div", "summary"),
+                    "publish_date": first(item, "span", "date"), "href": attribute_of(link.tag, "href") if link else ""})
+    return out
+
+
+def _scanned(scan: Callable[[str | None], list], schema: str):
+    """A column function of ``scan``, computed once a row."""
+    def work(pages: pd.Series) -> pd.Series:
+        return pd.Series([scan(p) for p in pages], dtype=object)
+
+    return F.pandas_udf(work, schema).asNondeterministic()
 
 
 def decode_entities(c: Column) -> Column:
@@ -68,89 +240,15 @@ def strip_tags(c: Column) -> Column:
         decode_entities(n), r"^[\s\x{A0}]+|[\s\x{A0}]+$", "")), "")
 
 
-def with_elements(df: DataFrame, html_col: str, names: str | tuple[str, ...], out: str,
-                  within: str | None = None) -> DataFrame:
-    """``out``: array of (at, length, open, inner) of the elements of these
-    names, in page order, also those inside each other. ``open`` is the
-    opening tag, ``inner`` what lies between it and the element's own closing
-    tag (the end of the text, if that is missing). ``within``: only elements
-    inside an element of that name."""
-    word = names if isinstance(names, str) else "|".join(names)
-    toks, marks = f"_{out}_toks", f"_{out}_marks"
-
-    def delta(t: Column, pattern: str) -> Column:
-        return F.when(t.rlike(rf"(?i)^<(?:{pattern})[\s>/]"), 1).when(t.rlike(rf"(?i)^</(?:{pattern})\s*>"), -1).otherwise(0)
-
-    def mark(seen: Column, t: Column) -> Column:
-        """One token more: whether it opens an element, and the depths after it."""
-        last, step = F.try_element_at(seen, F.lit(-1)), delta(t, word)
-        inside = F.coalesce(last["inside"], F.lit(0)) + (delta(t, within) if within else F.lit(1))
-        return F.concat(seen, F.array(F.named_struct(
-            F.lit("opens"), (step == 1) & (inside > 0), F.lit("depth"), F.coalesce(last["depth"], F.lit(0)) + step,
-            F.lit("inside"), inside)))
-
-    # the marks are read many times: a column of its own, computed once a row
-    none = F.array().cast("array<struct<opens: boolean, depth: int, inside: int>>")
-    # a text without such a tag is not cut at all
-    cut = F.when(F.col(html_col).rlike(rf"(?i)<(?:{word})[\s>/]"), F.split(F.col(html_col), "(?=<)"))
-    df = df.withColumn(toks, F.coalesce(cut, F.array().cast("array<string>"))).withColumn(marks, F.aggregate(F.col(toks), none, mark))
-    n = F.size(F.col(toks))
-
-    def element(i: Column) -> Column:
-        own = F.get(F.col(marks), i)["depth"]
-        after = F.slice(F.col(marks), i + 2, n)
-        stop = F.array_position(F.transform(after, lambda m: m["depth"] < own), True)
-        length = F.when(stop > 0, stop).otherwise(n - i).cast("int")
-        first = F.get(F.col(toks), i)
-        head = F.concat(F.substring_index(first, ">", 1), F.lit(">"))
-        body = F.concat(F.substr(first, F.length(head) + 1, F.length(first)),
-                        F.array_join(F.slice(F.col(toks), i + 2, length - 1), ""))
-        return F.named_struct(F.lit("at"), i, F.lit("length"), length, F.lit("open"), head, F.lit("inner"), body)
-
-    opened = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get(F.col(marks), i)["opens"])
-    kept = [c for c in df.columns if c not in (toks, marks)]
-    return df.select(*kept, F.transform(opened, element).alias(out))
-
-
-def outermost(elements: Column) -> Column:
-    """The elements that lie in none of the others."""
-    return F.filter(elements, lambda e: ~F.exists(
-        elements, lambda o: (o["at"] < e["at"]) & (e["at"] < o["at"] + o["length"])))
-
-
-def once(c: Column) -> Column:
-    """A generator of the one value ``c``: conditions on it are tested after
-    it is computed, instead of being pushed below with a copy of it each."""
-    return F.explode(F.array(c))
-
-
-def each(df: DataFrame, elements: Column, keep: tuple[str, ...], number: str, out: str) -> DataFrame:
-    """A row per element: its number and what is in it. The outer generator
-    keeps the optimizer from testing the array's size in a filter below,
-    which would compute the array there once more for every token."""
-    rows = df.select(*keep, F.posexplode_outer(elements).alias(number, "_element"))
-    return rows.where(F.col("_element").isNotNull()).select(*keep, number, F.col("_element.inner").alias(out))
-
-
 def html_table_rows(pages: DataFrame, html_col: str = "html", table_class: str = "table-striped",
                     keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """H1 first half: (page, row_no, cells[]). Rows are the rows inside a
     ``tbody`` of the tables with the class; when there are none, all rows
     of the first table with the class, else of the first table. A row's
     cells are all cells inside it, those of nested tables too, and nested
-    rows are rows of their own."""
-    page = pages.select(*keep, clean_html(F.col(html_col)).alias("_html"))
-    page = with_elements(page, "_html", "table", "_tables").drop("_html")
-    page = page.withColumn("_striped", F.filter("_tables", lambda t: has_class(t["open"], table_class)))
-    first = F.coalesce(F.get("_striped", 0), F.get("_tables", 0))["inner"]
-    page = page.select(*keep, F.array_join(F.transform(outermost(F.col("_striped")), lambda t: t["inner"]), "").alias("_in"),
-                       F.coalesce(first, F.lit("")).alias("_first"))
-    page = with_elements(page, "_in", "tr", "_body", within="tbody")
-    page = with_elements(page, "_first", "tr", "_all")
-    rows = F.when(F.size("_body") > 0, F.col("_body")).otherwise(F.col("_all"))
-    row = each(page, rows, keep, "row_no", "_row")
-    row = with_elements(row, "_row", ("td", "th"), "_cells")
-    return row.select(*keep, "row_no", once(F.transform("_cells", lambda c: strip_tags(c["inner"]))).alias("cells"))
+    rows are rows of their own. A null or empty page, or one without a table, has no row."""
+    scan = _scanned(lambda page: table_rows(page, table_class), "array<array<string>>")
+    return pages.select(*keep, F.posexplode(scan(F.col(html_col))).alias("row_no", "cells"))
 
 
 def html_tables(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url"),
@@ -163,7 +261,7 @@ def html_tables(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...]
     header = F.lit(False)
     for w in header_words:
         header = header | first.contains(w)
-    good = rows.filter((F.size("cells") >= min_cells) & ~header)
+    good = rows.filter(F.when(F.size("cells") >= min_cells, ~header).otherwise(False))
     return good.select(*keep, "row_no",
                        first.alias("station_name"),
                        numeric_text(F.element_at("cells", 2)).alias("aqi_value"),
@@ -184,34 +282,13 @@ def html_items(pages: DataFrame, html_col: str = "html", url_col: str = "url",
     a heading (h3), else the first link ('N/A' when none); relative links
     are made absolute against ``base_url`` (default: scheme and host of the
     page URL), a link without a target stays NULL. Items with no title and
-    no summary are skipped.
+    no summary are skipped. A null or empty page has no item.
     """
     base = site_root(F.col(url_col)) if base_url is None else (
         F.lit(base_url) if isinstance(base_url, str) else base_url)
-    page = pages.select(*keep, base.alias("_base"), clean_html(F.col(html_col)).alias("_html"))
-    page = with_elements(page, "_html", "div", "_divs")
-    lists = outermost(F.filter("_divs", lambda d: has_class(d["open"], list_class)))
-    page = page.withColumn("_in", F.array_join(F.transform(lists, lambda d: d["inner"]), "")).drop("_divs")
-    page = with_elements(page, "_in", item_tag, "_items")
-    page = with_elements(page, "_html", item_tag, "_any").drop("_html", "_in")
-    chosen = F.filter("_items", lambda e: has_class(e["open"], item_class))
-    other = F.filter("_any", lambda e: F.coalesce(attribute(e["open"], "class"), F.lit("")).rlike(fallback)) \
-        if fallback else F.col("_any")
-    page = page.withColumn("_chosen", chosen)
-    items = F.when(F.size("_chosen") > 0, F.col("_chosen")).otherwise(other)
-    item = each(page, items, (*keep, "_base"), "item_no", "_item")
-    for tag, out in (("h3", "_h3"), ("a", "_a"), ("div", "_div"), ("span", "_span")):
-        item = with_elements(item, "_item", tag, out)
-    headed = F.filter("_a", lambda a: F.exists(
-        "_h3", lambda h: (h["at"] < a["at"]) & (a["at"] < h["at"] + h["length"])))
-    link = F.coalesce(F.get(headed, 0), F.get("_a", 0))
-    first = lambda c, cls: F.get(F.filter(c, lambda e: has_class(e["open"], cls)), 0)["inner"]
-    item = item.select(*keep, "_base", "item_no", link.alias("_link"), first("_div", "summary").alias("_summary"),
-                       first("_span", "date").alias("_date"))
-    title = F.when(F.col("_link").isNull(), "N/A").otherwise(strip_tags(F.col("_link.inner")))
-    href = F.when(F.col("_link").isNull(), "").otherwise(attribute(F.col("_link.open"), "href"))
-    found = F.struct(title.alias("title"), strip_tags(F.coalesce("_summary", F.lit(""))).alias("summary"),
-                     strip_tags(F.coalesce("_date", F.lit(""))).alias("publish_date"),
-                     absolute_url(href, F.col("_base")).alias("detail_url"))
-    out = item.select(*keep, "item_no", once(found).alias("_found")).select(*keep, "item_no", "_found.*")
-    return out.filter(~((F.col("title") == "N/A") & (F.col("summary") == "")))
+    scan = _scanned(lambda page: list_items(page, list_class, item_class, item_tag, fallback),
+                    "array<struct<title: string, summary: string, publish_date: string, href: string>>")
+    item = pages.select(*keep, base.alias("_base"), F.posexplode(scan(F.col(html_col))).alias("item_no", "_item"))
+    return item.filter("_item.title <> 'N/A' or _item.summary <> ''").select(
+        *keep, "item_no", "_item.title", "_item.summary", "_item.publish_date",
+        absolute_url(F.col("_item.href"), F.col("_base")).alias("detail_url"))
