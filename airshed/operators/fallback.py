@@ -8,6 +8,10 @@ which earlier batch to serve) joined back to the batch rows on
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Mapping, Sequence
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,3 +39,18 @@ def with_fallback(history: DataFrame, source_col: str, batch_col: str, as_of: Co
                  .withColumnRenamed(source_col, "_source"))
     found = rows.join(serve, (F.col(source_col) == F.col("_source")) & (b == F.col("_batch")))
     return found.select(*rows.columns).withColumn("is_fallback", b < ref)
+
+
+def batches_to_serve(batches: Mapping[str, Sequence[datetime]], as_of: datetime,
+                     ttl: timedelta | None = None) -> dict[str, datetime]:
+    """The batch to read for each source, chosen from a manifest (the ordered
+    batch times of each source, such as ``sinks.landed_runs``): the one of
+    ``as_of``, else the latest before it within the TTL. A source without
+    one is left out. Only the chosen batch is then read, whatever the
+    length of the history."""
+    found = {}
+    for source, times in batches.items():
+        at = bisect_right(times, as_of)
+        if at and (ttl is None or times[at - 1] >= as_of - ttl):
+            found[source] = times[at - 1]
+    return found

@@ -8,7 +8,7 @@ are combined per key before the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -92,6 +92,30 @@ def failing_rows(df: DataFrame, rule: Rule) -> DataFrame:
     return df.filter(failing_condition(rule))
 
 
+def rows_by_rule(df: DataFrame, rules_by_name: Mapping[str, Rule]) -> DataFrame:
+    """QT5 for a table's rules together: each failing row once per rule it
+    breaks, with the rule's name in ``rule``.
+
+    The rows are scanned once and tagged with all the rules they break; only
+    rows that break one are exploded. A unique rule takes one scan more, of its
+    column: its keys are counted, with partial counts before the shuffle,
+    and the duplicated ones joined to the rows. Null keys are not duplicates.
+    """
+    rows, broken = df, []
+    for i, (name, rule) in enumerate(rules_by_name.items()):
+        if rule.kind == "unique":
+            key = df.select(F.col(rule.column).alias(f"_key{i}")).where(F.col(f"_key{i}").isNotNull())
+            dups = key.groupBy(f"_key{i}").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+            rows = rows.join(dups, rows[rule.column] == dups[f"_key{i}"], "left")
+            failing = F.col(f"_key{i}").isNotNull()
+        else:
+            failing = F.coalesce(failing_condition(rule), F.lit(False))
+        broken.append(F.when(failing, F.lit(name)))
+    tags = F.filter(F.array(*broken), lambda t: t.isNotNull())
+    # the outer generator: the array's size is not tested by a filter below, which would compute it twice
+    return rows.select(*df.columns, F.explode_outer(tags).alias("rule")).where("rule is not null")
+
+
 def assert_rules(results: DataFrame) -> None:
     """Stop the pipeline when any rule failed (reads the small result)."""
     bad = results.filter(F.col("failed") > 0).collect()  # a row per declared rule
@@ -117,8 +141,8 @@ def rules_from_tests(tests) -> dict[str, list[Rule]]:
 
 def model_tests(models, tests=None) -> DataFrame:
     """Run the declared tests of every model present in ``models`` (one
-    pass per model, plus one grouped pass per unique test) and return
-    (table_name, rule, column, failed) rows."""
+    pass per model; its unique tests are grouping sets of the same pass) and
+    return (table_name, rule, column, failed) rows."""
     from airshed import rules as R
 
     per_model = rules_from_tests(tests if tests is not None else R.MODEL_TESTS)

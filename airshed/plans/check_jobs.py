@@ -15,7 +15,7 @@ from airshed.functions.exprs import in_box
 from airshed.operators.aggregates import observe_counts, status_counts
 from airshed.operators.html import html_items, html_tables
 from airshed.operators.nested import flatten_elements
-from airshed.operators.quality import Rule, failing_rows
+from airshed.operators.quality import Rule, rows_by_rule
 from airshed.plans.check_gold import ORACLE as GOLD_ORACLE
 from airshed.plans.check_gold import events_as_raw_aqi
 from airshed.plans.check_nested import MESSAGE_SQL, messages
@@ -26,6 +26,7 @@ from airshed.plans.staging import stg_geo_features
 from airshed.session import scratch_path
 from airshed.sources.readers import EmptyFeedError, read_feed_csv, read_source, seed_frame, seed_rows
 from airshed.sources.sinks import land
+from airshed.sources.versions import put
 from airshed.streaming.validator import publish, validate
 
 BLOCK = 4096   # order keys of a page: bounded pages whatever a customer orders
@@ -254,15 +255,12 @@ def q50_failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         "event_id", F.when(F.col("event_id") % 97 != 0, F.col("event_type")).alias("event_type"), "value",
         F.floor("value").cast("long").alias("whole"))
-    broken = [("range", Rule("accepted_range", "value", min_value=1, max_value=150)), ("null", Rule("not_null", "event_type")),
-              ("values", Rule("accepted_values", "event_type", values=("click", "view", "purchase", "signup"))),
-              ("expression", Rule("expression", "value", condition="event_type = 'view' and value > 100")),
-              ("unique", Rule("unique", "whole"))]
-    out = None
-    for name, rule in broken:
-        rows = failing_rows(ev, rule).select(F.lit(name).alias("rule"), "event_id")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    checked = {
+        "range": Rule("accepted_range", "value", min_value=1, max_value=150), "null": Rule("not_null", "event_type"),
+        "values": Rule("accepted_values", "event_type", values=("click", "view", "purchase", "signup")),
+        "expression": Rule("expression", "value", condition="event_type = 'view' and value > 100"),
+        "unique": Rule("unique", "whole")}
+    return rows_by_rule(ev, checked).select("rule", "event_id")
 
 
 Q50 = """
@@ -367,7 +365,9 @@ def q54_landing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     land(o, "orders", RUN, "daily", lake, log)                            # a retry replaces its files and its log row
     land(o.where("o_orderstatus = 'none'"), "nothing", RUN, "daily", lake, log)
     # a lake below a file cannot be written
-    land(o, "broken", RUN, "daily", f"{sf_dir.rstrip('/')}/region.parquet", log)
+    blocked = scratch_path(spark, "blocked")
+    put(spark, blocked, "a file")
+    land(o, "broken", RUN, "daily", blocked, log)
     rows = spark.read.parquet(f"{lake}/orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
     counted, seen = observe_counts(validate(messages(spark, sf_dir)).select("status"), "messages")
     stats = status_counts(counted).first()

@@ -17,9 +17,11 @@ Every query reads whole tables; nothing is sampled or capped.
 
 from __future__ import annotations
 
-from airshed.plans import check_facts, check_gold, check_jobs, check_models, check_nested, check_staging, check_streams
+from airshed.plans import (check_facts, check_gold, check_jobs, check_models, check_nested, check_recovery, check_staging,
+                           check_streams)
 
-MODULES = (check_staging, check_models, check_nested, check_facts, check_streams, check_gold, check_jobs)
+MODULES = (check_staging, check_models, check_nested, check_facts, check_streams, check_gold, check_jobs,
+           check_recovery)
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
 q19_monthly_index = check_gold.q19_monthly_index

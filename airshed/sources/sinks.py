@@ -9,6 +9,7 @@ same files instead of duplicating rows.
 from __future__ import annotations
 
 import logging
+import uuid
 from datetime import datetime, timedelta, timezone
 
 from py4j.protocol import Py4JError
@@ -18,14 +19,19 @@ from pyspark.sql import functions as F
 
 from airshed import rules
 from airshed.operators.cleaning import add_lineage, all_text
+from airshed.sources.versions import commit, commits, file_system, restore, swap_in
 
+RUN_FORMAT = "%Y%m%d%H%M%S"    # of a run's folder and marker
+EMPTY_RUN = "-empty"            # ends the marker of a run without rows
 RUN_LOG_SCHEMA = "source_name string, row_count long, object_path string, status string, logged_at timestamp"
 
 
 def write_text_replace(df: DataFrame, target: str, fmt: str = "parquet", as_table: bool = False) -> None:
     """All-text full refresh: every column as text, NaN -> NULL, replace."""
-    w = all_text(df).write.mode("overwrite").format(fmt)
-    w.saveAsTable(target) if as_table else w.save(target)
+    if as_table:
+        all_text(df).write.mode("overwrite").format(fmt).saveAsTable(target)
+    else:
+        replace_table(all_text(df), target, [], fmt)
 
 
 def write_partitioned(df: DataFrame, path: str, run_ts: datetime, mode: str = "append",
@@ -43,7 +49,7 @@ def write_partitioned(df: DataFrame, path: str, run_ts: datetime, mode: str = "a
     target = f"{path.rstrip('/')}/year={y}/month={m}/day={d}"
     w_mode = mode
     if run_partition:
-        run = run_ts.strftime("%Y%m%d%H%M%S")
+        run = run_ts.strftime(RUN_FORMAT)
         cols["run"] = F.lit(run)
         parts.append("run")
         target = f"{target}/run={run}"
@@ -60,10 +66,27 @@ def replace_table(df: DataFrame, target: str, partition_cols: list[str], fmt: st
     """Replace a partitioned table (a path or a table of the catalog). The
     rows are rebalanced by the partition columns first: a partition is
     written by one task, a large one by several of the advisory size, and
-    no task writes a file for every partition."""
+    no task writes a file for every partition.
+
+    A path is written beside the table and moved into its place when it is
+    complete: a write that fails leaves the old table as it was, and ``df``
+    may read the table it replaces. Readers that must not meet the moment
+    between the two moves, and stores where a move is a copy, take
+    ``versions.publish_version``. A catalog table is replaced by its catalog."""
     rows = df.hint("rebalance", *partition_cols) if partition_cols else df
     writer = rows.write.mode("overwrite").format(fmt).partitionBy(*partition_cols)
-    writer.saveAsTable(target) if catalog_table else writer.save(target)
+    if catalog_table:
+        writer.saveAsTable(target)
+        return
+    spark, target = df.sparkSession, target.rstrip("/")
+    restore(spark, target)
+    staged = f"{target}.staged-{uuid.uuid4().hex}"
+    try:
+        writer.save(staged)
+        swap_in(spark, staged, target)
+    finally:
+        fs, left = file_system(spark, staged)
+        fs.delete(left, True)
 
 
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
@@ -100,11 +123,17 @@ def land(df: DataFrame, source: str, run_ts: datetime, mode: str, lake_path: str
     tells an empty batch; the text table reads the written run folder. The
     log row has a folder of its own, named by source and run time, so a
     retried run replaces its row.
+
+    Last of all the run is committed by a marker in the source's lake folder
+    that names the lake files, the text copy and the log row: a run that
+    stops anywhere before is no landed run for ``landed_runs`` and
+    ``read_landed``, and its retry writes the same places again. Empty
+    runs are committed without files, failed ones not at all.
     """
     spark, log = df.sparkSession, logging.getLogger("airshed.land")
     rows = Observation(f"land_{source}")
     tagged = add_lineage(df, source, F.lit(run_ts).cast("timestamp"), mode).observe(rows, F.count(F.lit(1)).alias("rows"))
-    status, n, path = "SUCCESS", 0, ""
+    status, n, path, copied = "SUCCESS", 0, "", ""
     try:
         path = write_partitioned(tagged, f"{lake_path.rstrip('/')}/{source}", run_ts)
         n = rows.get.get("rows", 0)
@@ -117,13 +146,38 @@ def land(df: DataFrame, source: str, run_ts: datetime, mode: str, lake_path: str
         # the text copy is secondary: a failure is logged, the run stays SUCCESS
         try:
             write_text_replace(spark.read.schema(tagged.schema).parquet(path), f"{text_path.rstrip('/')}/{source}")
+            copied = f"{text_path.rstrip('/')}/{source}"
         except (PySparkException, Py4JError) as error:
             log.error("text table load failed for %s: %s", source, str(error).split("\n", 1)[0])
     row = run_log_row(spark, source, n, path, status, run_ts)
-    row.write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/run={source}-{run_ts:%Y%m%d%H%M%S}")
+    logged = f"{log_path.rstrip('/')}/run={source}-{run_ts:{RUN_FORMAT}}"
+    row.write.mode("overwrite").parquet(logged)
+    if status != "FAILED":
+        commit(spark, f"{lake_path.rstrip('/')}/{source}", f"{run_ts:{RUN_FORMAT}}" + ("" if n else EMPTY_RUN),
+               {"status": status, "rows": n, "lake": path, "text": copied, "log": logged}, replace=True)
     return row
 
 
+def landed_runs(spark: SparkSession, lake_path: str, source: str) -> list[datetime]:
+    """Times of the committed runs of a source that have rows, oldest first
+    (from the names of the markers; no data is read)."""
+    names = commits(spark, f"{lake_path.rstrip('/')}/{source}")
+    return [datetime.strptime(n, RUN_FORMAT) for n in names if not n.endswith(EMPTY_RUN)]
+
+
+def read_landed(spark: SparkSession, lake_path: str, source: str, runs: list[datetime] | None = None,
+                schema: str | None = None) -> DataFrame:
+    """Rows of committed runs of a source (all of them, or those given) with
+    their partition columns; files of runs that never committed are not read."""
+    base = f"{lake_path.rstrip('/')}/{source}"
+    found = landed_runs(spark, lake_path, source) if runs is None else runs
+    if not found:
+        raise FileNotFoundError(f"no committed run under {base}")
+    paths = [f"{base}/year={t:%Y}/month={t:%m}/day={t:%d}/run={t:{RUN_FORMAT}}" for t in found]
+    reader = spark.read.option("basePath", base)
+    return (reader.schema(schema) if schema else reader).parquet(*paths)
+
+
 def recent_runs(log: DataFrame, as_of, hours: int = rules.FRESHNESS_HOURS) -> DataFrame:
     """Successful runs within ``hours`` before ``as_of`` (a timestamp
     literal or column)."""
@@ -144,6 +198,6 @@ def utc_now() -> datetime:
     return datetime.now(tz=timezone.utc).replace(tzinfo=None)
 
 
-__all__ = ["write_text_replace", "write_partitioned", "replace_table", "land", "run_log_row",
+__all__ = ["write_text_replace", "write_partitioned", "replace_table", "land", "run_log_row", "landed_runs", "read_landed",
            "materialize_view", "materialize_table",
            "recent_runs", "assert_fresh", "utc_now", "timedelta"]
