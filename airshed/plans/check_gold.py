@@ -17,10 +17,12 @@ from airshed.plans.gold import clean_air_quality, daily_city_aqi_summary, monthl
 def events_as_raw_aqi(events: DataFrame) -> DataFrame:
     """Events as raw readings of seven places (by user): padded texts, the
     'aqi' series and another one ('error' events), values that rise over
-    ten days (one place far above the others) and leave the physical range,
-    some keys missing."""
+    ten days (one place far above the others, two below: months of every
+    tier) and leave the physical range, some keys missing."""
     key = F.when(F.col("event_id") % 31 != 0, F.col("user_id").cast("string"))
-    rising = F.col("value") * (1 + F.dayofyear("ts") % 10) + F.when(F.col("user_id") % 7 == 6, 300).otherwise(0)
+    place = F.col("user_id") % 7
+    below = F.when(place == 0, 6).when(place == 1, 3).otherwise(1)
+    rising = F.col("value") * (1 + F.dayofyear("ts") % 10) / below + F.when(F.col("user_id") % 7 == 6, 300).otherwise(0)
     return events.select(
         F.concat(F.lit("  "), key, F.lit(" ")).alias("station_code"),
         F.concat(F.lit("Station "), F.col("user_id").cast("string")).alias("station_name"),
@@ -49,7 +51,8 @@ _Q18_SQL = f"""
 with r as (
   select 'Place ' || cast(user_id % 7 as varchar) as city_name, ts, user_id,
          cast(raw as decimal(12, 4)) as v
-  from (select *, value * (1 + dayofyear(ts) % 10) + case when user_id % 7 = 6 then 300 else 0 end as raw from events)
+  from (select *, value * (1 + dayofyear(ts) % 10) / case user_id % 7 when 0 then 6 when 1 then 3 else 1 end
+                       + case when user_id % 7 = 6 then 300 else 0 end as raw from events)
   where event_type <> 'error' and event_id % 31 <> 0 and raw between 0 and 500
 ), d as (
   select city_name, cast(ts as date) as measurement_date,

@@ -40,7 +40,7 @@ def q42_stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     dead = bad.select(
         F.lit("invalid").alias("status"), F.col("error_reason").alias("reason"),
         (F.col("rejected_at").isNotNull() & F.col("source_partition").isNotNull() & (F.col("source_offset") == -1)).alias("stamped"),
-        F.col("source_topic").alias("topic"), F.substring("original_message", 1, 15).alias("message"))
+        F.col("source_topic").alias("topic"), F.col("original_message").alias("message"))
     return good.unionByName(dead, allowMissingColumns=True)
 
 
@@ -70,9 +70,14 @@ select case when reason is null then 'valid' else 'invalid' end as status, coale
        case when reason is null then 'µg/m³' end as unit, case when reason is null then 'openaq' end as source,
        case when reason is null then ts end as date_utc, true as stamped,
        case when reason is not null then 'raw-air-quality' end as topic,
-       case when reason is not null then case when fault = 'json_list' then '[1, 2]' when fault = 'malformed_text'
-         then substr('{{"location_id": ' || user_id, 1, 15) when fault = 'no_location_id' then '{{"location_name'
-         else '{{"location_id":' end end as message
+       case when reason is not null then case when fault = 'json_list' then '[1, 2]'
+         when fault = 'malformed_text' then '{{"location_id": ' || user_id
+         else '{{' || case fault when 'no_location_id' then '' when 'float_id' then '"location_id":' || cast(user_id as double) || ','
+                               when 'bool_id' then '"location_id":true,' else '"location_id":' || user_id || ',' end
+              || '"location_name":"Station ' || user_id || '","city":' || case fault when 'null_city' then 'null' else '"Hà Nội"' end
+              || ',"latitude":' || lat || ',"longitude":{LON},"parameter":"' || param || '","value":'
+              || case fault when 'text_value' then '"' || v || '"' else cast(v as varchar) end
+              || ',"unit":"µg/m³","date_utc":"' || ts || '"}}' end end as message
 from e
 """
 ORACLE = {"q42_stream_route": Q42, "q43_stream_change_fold": Q31}

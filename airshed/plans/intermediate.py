@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airshed import rules
@@ -145,21 +145,36 @@ def combine_risk(aqi: DataFrame, flood: DataFrame, fire: DataFrame,
     """Air, flood and fire components per day and province; composite score
     and level (the level uses the unrounded sum).
 
-    Air and flood meet on (day, city) in a full outer join. Fire has one row
-    a day: it is left-joined to those rows, so a day with many cities can be
-    split or broadcast against, and the days that only fire knows are added
-    by an anti join with the distinct days.
+    The components are stacked, so each input is read and planned once, and
+    fill each other within a day: an air row takes the flood columns
+    of its (day, city) and a flood row without an air row stays as it is, all take the fire
+    columns of their day, and a fire row stays only on a day of its own.
+    Flood has one row a day and city, fire one a day; what meets in a task is
+    a day's places, not its readings. Rows without a day or city match nothing by it.
     """
-    air = aqi.select(F.to_date("risk_date").alias("risk_date"), "city_name", "latitude", "longitude", "aqi_risk_score")
-    water = flood.select(F.to_date("risk_date").alias("risk_date"), "city_name", "flood_risk_score", "avg_discharge")
-    local = full_join_coalesced(air, water, ["risk_date", "city_name"])
-    daily = fire.select(F.to_date("risk_date").alias("fire_day"), "fire_risk_score", "hotspot_count")
-    with_fire = local.join(daily, local["risk_date"] == daily["fire_day"], "left").drop("fire_day")
-    days = air.select(F.col("risk_date").alias("seen")).union(water.select("risk_date")).distinct()
-    alone = daily.join(days, daily["fire_day"] == days["seen"], "left_anti").withColumnRenamed("fire_day", "risk_date")
+    air = aqi.select(F.to_date("risk_date").alias("risk_date"), "city_name", "latitude", "longitude", "aqi_risk_score",
+                     F.lit("air").alias("_kind"))
+    water = flood.select(F.to_date("risk_date").alias("risk_date"), "city_name", "flood_risk_score", "avg_discharge",
+                         F.lit("water").alias("_kind"))
+    daily = fire.select(F.to_date("risk_date").alias("risk_date"), "fire_risk_score", "hotspot_count", F.lit("fire").alias("_kind"))
+    stacked = air.unionByName(water, allowMissingColumns=True).unionByName(daily, allowMissingColumns=True)
+    # one exchange, by day, serves both windows
+    stacked = stacked.repartition("risk_date")
+    day, place = Window.partitionBy("risk_date"), Window.partitionBy("risk_date", "city_name")
+    dated, placed = F.col("risk_date").isNotNull(), F.col("risk_date").isNotNull() & F.col("city_name").isNotNull()
+    kind = F.col("_kind")
+    seen = stacked.withColumns({
+        "_air": F.count_if(kind == "air").over(place), "_local": F.count_if(kind != "fire").over(day),
+        **{f"_{c}": F.max(c).over(place) for c in ("flood_risk_score", "avg_discharge")},
+        **{f"_{c}": F.max(c).over(day) for c in ("fire_risk_score", "hotspot_count")}})
+    rows = seen.where((kind == "air") | (kind == "water") & ~(placed & (F.col("_air") > 0))
+                      | (kind == "fire") & ~(dated & (F.col("_local") > 0)))
+    rows = rows.withColumns({
+        **{c: F.when(placed, F.col(f"_{c}")).otherwise(F.col(c)) for c in ("flood_risk_score", "avg_discharge")},
+        **{c: F.when(dated, F.col(f"_{c}")).otherwise(F.col(c)) for c in ("fire_risk_score", "hotspot_count")}})
     parts = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("aqi_risk_score", "flood_risk_score", "fire_risk_score")}
     total = parts["aqi_risk_score"] + parts["flood_risk_score"] + parts["fire_risk_score"]
-    return with_fire.unionByName(alone, allowMissingColumns=True).select(
+    return rows.select(
         "risk_date", F.coalesce("city_name", F.lit(regional_name)).alias("province_name"), "latitude", "longitude",
         *(c.alias(n) for n, c in parts.items()),
         F.round(total, 1).alias("composite_risk_score"),

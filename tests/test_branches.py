@@ -56,7 +56,7 @@ def test_risk_components(values):
 def test_daily_and_monthly_labels(values):
     assert len(values("q18_daily_summary", "risk_label")) == 6
     assert len(values("q19_monthly_index", "risk_index_pct")) > 1
-    assert values("q19_monthly_index", "risk_tier") - {"Low"}
+    assert values("q19_monthly_index", "risk_tier") == {"Low", "Medium", "High"}
 
 
 def test_hazards_and_severities(values):
