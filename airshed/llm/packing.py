@@ -53,10 +53,21 @@ def file_encoder(path: str):
 
 def default_encoder():
     """The ids of ``byte_bpe_50k.json``; made inside a task, from the files
-    installed there."""
+    installed there. A text whose words the ranks' pattern cannot cut (a
+    million blanks in a row exhaust its stack) is encoded by the file's own encoder."""
     import public_tokenizers
 
-    return ranks_encoder(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    fast, own = ranks_encoder(public_tokenizers.path(RANKS), public_tokenizers.PATTERN), []
+
+    def encode(text: str):
+        try:
+            return fast(text)
+        except ValueError:
+            if not own:
+                own.append(file_encoder(public_tokenizers.path(VOCABULARY)))
+            return own[0](text)
+
+    return encode
 
 
 def tokenize(docs: DataFrame, make_encoder=default_encoder, separator: int = SEPARATOR) -> DataFrame:
@@ -103,7 +114,8 @@ def cut(tokens: DataFrame, length: int = SEQUENCE) -> DataFrame:
 
 def pack(docs: DataFrame, make_encoder=default_encoder, length: int = SEQUENCE, separator: int = SEPARATOR) -> DataFrame:
     """Pieces with their ids. Null or empty text: the separator alone. Repeated
-    rows and equal texts are packed once each. Empty table: no piece."""
+    rows and equal texts are packed once each. Texts of any length and make
+    are encoded whole. Empty table: no piece. Only doc_id and text are read."""
     scratch = Scratch(docs.sparkSession, "packing")
     return cut(scratch.settle(tokenize(docs, make_encoder, separator)), length)
 

@@ -46,6 +46,13 @@ def test_awkward_rows_and_small_windows(spark, documents):
     assert rows(P.pack(documents([]))) == []
 
 
+def test_texts_that_exhaust_the_pattern(spark, documents):
+    texts = [" " * 2_000_000, "\n" * 2_000_000, "a " + "\t \n" * 500_000 + "end"]
+    for text in texts:
+        assert list(_fast(text)) == list(_file(text))
+    check(documents([(i, t, "en", "s") for i, t in enumerate([*texts, "plain"])]), P.SEQUENCE)
+
+
 def test_exact_fit_and_single_tokens(spark, documents):
     docs = documents([(i, None, "en", "s") for i in range(8)])       # the separator alone: eight tokens
     pieces = P.pack(docs, length=4).collect()
