@@ -146,3 +146,27 @@ def test_compaction_keeps_the_state_and_removes_layers(spark, tmp_path):
     assert live == [(0, 6, "v6"), (2, 5, "v5")] + [(10 + n, n, "x") for n in range(7)]
     kept = sum(len(os.listdir(os.path.join(state, f))) for f in ("base", "delta"))
     assert kept <= 4
+
+
+def test_compaction_rewrites_changed_buckets_only(spark, tmp_path):
+    state, schema = str(tmp_path / "state"), "id int, op string, seq int, v string"
+    fold = lambda rows, n: stream_changes.fold_batch(
+        spark.createDataFrame(rows, schema), n, ["id"], ["seq"], state, compact_every=1, buckets=8)
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(os.path.join(state, "base"))
+                       for f in fs if f.endswith(".parquet"))
+    fold([(i, "c", 0, f"value {i} " * 20) for i in range(8_000)], 0)
+    fold([(8_000, "c", 0, "x")], 1)                                   # two batches: the base
+    whole, before = size(), {os.path.join(d, f) for d, _, fs in os.walk(os.path.join(state, "base")) for f in fs if f.endswith(".parquet")}
+    for n in range(2, 6):                                             # small changes of one key
+        stream_changes.fold_batch(spark.createDataFrame([(7, "u", n, f"v{n}")], schema), n, ["id"], ["seq"], state, compact_every=99, buckets=8)
+    read = stream_changes.compact(spark, state, ["id"], ["seq"], buckets=8)
+    assert 0 < read < whole / 20 and before <= {os.path.join(d, f) for d, _, fs in os.walk(os.path.join(state, "base")) for f in fs}
+    assert os.listdir(os.path.join(state, "delta")) == []
+    live = {r.id: r.v for r in stream_changes.current_state(spark, state, ["id"], ["seq"]).collect()}
+    assert len(live) == 8_001 and live[7] == "v5" and live[8_000] == "x"
+    # as many changes as there are rows: the layers become one again
+    fold([(i, "u", 99, "new") for i in range(8_000)], 6)
+    fold([(i, "u", 100, f"newer {i} " * 30) for i in range(8_000)], 7)
+    layers = stream_changes._base(spark, state)[1]
+    assert all(len(of) <= 2 for of in layers.values())
+    assert {r.v.split()[0] for r in stream_changes.current_state(spark, state, ["id"], ["seq"]).collect()} == {"newer", "x"}
