@@ -7,9 +7,13 @@ prefix adds to the one before is that turn's span, and a prefix whose output
 does not begin with the one before shows a template that rewrites history.
 
 Conversations come as turns sorted inside their partition and are treated
-as a stream: blocks of ``BLOCK`` turns are rendered with ``LEAD`` turns of
-context ahead of them, so the work grows with the number of turns and a task
-holds one block, however long a conversation is.
+as a stream of blocks of ``BLOCK`` turns. What a template makes of a turn may
+depend on every turn before, so each prefix is rendered whole: all earlier turns are
+kept and rendered again, which takes work by the square of a conversation's turns. A
+template that declares itself local (attribute ``lead``: the number of turns
+it looks back) is given that many turns ahead of a block instead, so its work
+grows with the number of turns and a task holds one block, however long a
+conversation is.
 
 ``render`` is the production template. It marks each turn by a header and an
 end, and escapes control strings inside texts by a backslash, so that
@@ -26,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK, LEAD = 32, 2
+BLOCK = 32
 HEAD, END = "### ", "</turn>"
 TRAINED_ROLE = "assistant"
 #: A conversation whose texts are made of control strings.
@@ -50,6 +54,9 @@ def render(turns: list[Turn]) -> str:
     return "".join(f"{HEAD}{escape(role).replace(':', chr(92) + ':')}: {escape(text)}{END}\n" for role, text in turns)
 
 
+render.lead = 0                # a turn's output does not depend on any other turn
+
+
 def parse(output: str) -> list[tuple[str, str, int, int]]:
     """(role, text, start, end of the escaped text) of each turn."""
     return [(unescape(m[1]), unescape(m[2]), m.start(2), m.end(2)) for m in _TURN.finditer(output)]
@@ -72,7 +79,7 @@ def locate(template: Callable[[list[Turn]], str], lead: list[Turn], turns: list[
     return added, rewrites
 
 
-def _blocks(template: Callable[[list[Turn]], str]):
+def _blocks(template: Callable[[list[Turn]], str], look_back: int | None):
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         conv, number, lead, held = None, 0, [], []
 
@@ -90,7 +97,9 @@ def _blocks(template: Callable[[list[Turn]], str]):
             for key, role, text in zip(pdf["conv"], pdf["role"], pdf["text"]):
                 if held and (key != conv or len(held) == BLOCK):
                     out.append(finish(key != conv))
-                    lead, held, number = (held[-LEAD:], [], number + 1) if key == conv else ([], [], 0)
+                    seen = lead + held
+                    ahead = seen if look_back is None else seen[len(seen) - min(look_back, len(seen)):]
+                    lead, held, number = (ahead, [], number + 1) if key == conv else ([], [], 0)
                 conv = key
                 held.append((role, text))
             if out:
@@ -117,10 +126,15 @@ def format_conversations(conversations: DataFrame, template: Callable[[list[Turn
     turns in it, roles, rewrites, last (block of its conversation).
 
     Null text or role: empty. Null conv_id: one conversation of its own. Turns
-    without a number come first. Repeated rows are turns like others.
+    without a number come first. Repeated rows are turns like others, texts
+    are formatted whole. Empty table: empty result. Other columns are not read.
+
+    The output of a block is what its turns add. If ``template.lead`` is not
+    declared all earlier turns are rendered with each prefix, and ``rewrites``
+    tells of any that changed.
     """
     return sorted_turns(conversations).mapInPandas(
-        _blocks(template), "conv string, block int, output string, starts array<long>, ends array<long>, "
+        _blocks(template, getattr(template, "lead", None)), "conv string, block int, output string, starts array<long>, ends array<long>, "
                            "roles array<string>, rewrites boolean, last boolean")
 
 

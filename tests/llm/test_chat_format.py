@@ -72,3 +72,25 @@ def test_spans_of_the_output(spark):
     assert [len(b.roles) for b in blocks] == [32, 32, 6] and [b.last for b in blocks] == [False, False, True]
     texts = [C.parse(b.output[s:e])[0][1] for b in blocks for s, e in zip(b.starts, b.ends)]
     assert texts == [f"x{i}" for i in range(70)]
+
+
+def test_templates_that_look_far_back(spark):
+    turns = [("user" if i % 2 == 0 else "assistant", f"x{i}") for i in range(90)]
+    df = spark.createDataFrame([(5, i, r, t, "b") for i, (r, t) in enumerate(turns)], SCHEMA)
+
+    def numbered(given):
+        return "".join(f"{i}:{t}\n" for i, (_, t) in enumerate(given))
+
+    def dropping(given):        # old turns go once there are more than 40
+        return "".join(f"{t}\n" for _, t in given[-40:])
+
+    def repeated(given):        # the first turn again after each
+        return "".join(f"{given[0][1]}|{t}\n" for _, t in given)
+
+    for template, rewrites in ((numbered, False), (dropping, True), (repeated, False)):
+        blocks = sorted(C.format_conversations(df, template).collect(), key=lambda r: r.block)
+        assert any(b.rewrites for b in blocks) == rewrites
+        if not rewrites:
+            assert "".join(b.output for b in blocks) == template(turns)
+        else:
+            assert [b.rewrites for b in blocks] == [False, True, True]
