@@ -14,6 +14,8 @@ from airshed.llm import hyperminhash, language_mixture, mixing, packing, secret_
 from airshed.llm.common import Scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Similarity of word shingles from which a document is a near duplicate.
+NEAR = (80, 100)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,12 +27,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str,
-               threshold: tuple[int, int] = hyperminhash.THRESHOLD) -> DataFrame:
+               threshold: tuple[int, int] = NEAR) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the
-    smallest id; of rows with the same id one stays. Rows without an id
-    cannot be named as duplicates and stay."""
+    smallest id. Of rows with the same id the first by text (null first),
+    then by the other columns, stays. Rows without an id cannot be named as
+    duplicates and stay."""
     kept = hyperminhash.near_duplicates(docs, threshold=threshold).where("kept").select("doc_id").distinct()
-    named = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    first = F.min(F.struct(*COLUMNS[1:])).alias("_first")
+    named = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(first).select("doc_id", "_first.*")
     return named.unionByName(docs.select(*COLUMNS).where("doc_id is null"))
 
 
