@@ -19,8 +19,8 @@ def shingle_set(text):
     return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def brute(texts):
-    """{row: (set size, component)} of (id, text) rows."""
+def brute(texts, percent=85):
+    """(id, set size, component, kept) of (id, text) rows."""
     sets = [(i, shingle_set(t)) for i, t in texts]
     parent = {i: i for i, _ in texts}
 
@@ -32,7 +32,7 @@ def brute(texts):
     for a in range(len(sets)):
         for b in range(a):
             (i, x), (j, y) = sets[a], sets[b]
-            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 p, q = find(i), find(j)
                 parent[max(p, q)] = min(p, q)
     return sorted((i, len(s), find(i), find(i) == i) for i, s in sets)

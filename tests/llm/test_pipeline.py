@@ -26,7 +26,7 @@ def test_stages_on_the_driver_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = P.language_id(spark, docs, SF)
     assert kept.columns == docs.columns and kept.count() == docs.count()        # every text has letters
-    groups = near_groups([(r.doc_id, r.text) for r in kept.collect()])
+    groups = near_groups([(r.doc_id, r.text) for r in kept.collect()], 80)
     alone = P.near_dedup(spark, kept, SF)
     assert sorted(r.doc_id for r in alone.collect()) == [i for i, _, _, first in groups if first]
     clean = P.redact_secrets(spark, alone, SF)
@@ -58,10 +58,17 @@ def test_near_copies_from_0_8_on_go(spark, documents):
     texts = [" ".join(words[:104 - n] + [f"x{n}y{i}" for i in range(n)]) for n in (0, 10, 12)]
     for other, stays in ((1, False), (2, True)):          # 90/110 and 88/112
         data = documents([(1, texts[0], "en", "s"), (2, texts[other], "en", "s")])
-        assert len(P.near_dedup(spark, data, SF, (80, 100)).collect()) == 1 + stays
+        assert len(P.near_dedup(spark, data, SF).collect()) == 1 + stays
         assert P.hyperminhash.near_duplicates(data).where("kept").count() == 2
 
 
+def test_rows_with_one_id(spark, documents):
+    data = [(1, "b text of its own", "en", "s"), (1, "a text of its own", "en", "t"), (1, "a text of its own", "en", "s"),
+            (2, None, "en", "s"), (2, "later", "en", "s")]
+    got = {r.doc_id: (r.text, r.source) for r in P.near_dedup(spark, documents(data).repartition(3), SF).collect()}
+    assert got == {1: ("a text of its own", "s"), 2: (None, "s")}
+
+
 def test_awkward_table(spark, written):
     path = written(AWKWARD)
     docs = spark.read.parquet(f"{path}/documents.parquet")
@@ -80,4 +87,4 @@ def test_empty_table(spark, written):
 def test_registered_queries():
     entry = importlib.import_module("__spark_entry__")
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14)) and "pipeline" in entry.queries()
