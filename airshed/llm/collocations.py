@@ -46,7 +46,7 @@ UNKNOWN = "und"
 SPREAD = 512                   # a leading word with more than this part of all words is dealt by more words
 PARTS = 256                    # ways in which such a word is dealt
 TASK_WORDS = 1_000_000         # words whose pointers a task sorts, about
-CHUNK = 4_000_000              # words whose pointers are combined together before they are sent
+CHUNK = 2_000_000              # words whose pointers are combined together before they are sent
 CENSUS_BYTES = 1 << 20         # text whose hashes are counted together
 SLICE = 20_000                 # rows handed to Spark at once
 _BITS = 21                     # of a word's number within a chunk
