@@ -21,9 +21,11 @@ Steps, each of which Spark partitions:
    components;
 4. buckets that still hold several components are compared in full: their
    documents form clusters, a cluster is cut into blocks of ``BLOCK``
-   documents, every pair of blocks is one small group, in which pairs of
-   different components that pass the estimate are compared exactly. Only a
-   spanning forest of the links leaves a group, never its pairs.
+   documents, and every pair of blocks is one small group: first with the
+   registers alone, which tells the documents that pass the estimate with
+   one of another component there, then with the full sets of those, which are
+   compared exactly. Only a spanning forest of the links leaves a group,
+   never its pairs.
 
 A hot group of copies is one class; a hot group of near copies is resolved
 in step 3 by one pair per member; only documents that resemble a group
@@ -161,6 +163,30 @@ def _find(parent: list[int], x: int) -> int:
     return x
 
 
+def _rivals(x: int, root: np.ndarray, side: np.ndarray, one: bool, regs: np.ndarray, size: np.ndarray,
+            threshold: tuple[int, int]) -> np.ndarray:
+    """The later documents of a pair of blocks that are of another component
+    and pass the estimate with ``x`` (from the other block, unless it is one block)."""
+    rest = np.arange(x + 1, len(root))
+    rest = rest[(root[rest] != root[x]) & (one | (side[rest] != side[x]))]
+    return rest[estimate(regs[x], regs[rest], size[x], size[rest]) >= _floor(threshold)] if len(rest) else rest
+
+
+def _block_candidates(threshold: tuple[int, int]):
+    """One pair of blocks by registers: the documents whose sets are needed there."""
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id", kind="stable", ignore_index=True)
+        regs, size, root, side = _matrix(pdf["regs"]), pdf["size"].to_numpy(), pdf["component"].to_numpy(), pdf["side"].to_numpy()
+        one, wanted = bool(pdf["i"].iloc[0] == pdf["j"].iloc[0]), np.zeros(len(pdf), dtype=bool)
+        for x in range(len(pdf) - 1):
+            rest = _rivals(x, root, side, one, regs, size, threshold)
+            wanted[rest] = True
+            wanted[x] |= len(rest) > 0
+        return pdf.loc[wanted, ["cluster", "i", "j", "side", "id", "component"]]
+
+    return work
+
+
 def _block_links(threshold: tuple[int, int]):
     """One pair of blocks: a spanning forest of the links between documents
     of different components."""
@@ -174,12 +200,7 @@ def _block_links(threshold: tuple[int, int]):
         side, one = pdf["side"].to_numpy(), bool((pdf["i"].iloc[0] == pdf["j"].iloc[0]))
         out = []
         for x in range(len(sets) - 1):
-            rest = np.arange(x + 1, len(sets))
-            rest = rest[(root[rest] != root[x]) & (one | (side[rest] != side[x]))]
-            if not len(rest):
-                continue
-            rest = rest[estimate(regs[x], regs[rest], size[x], size[rest]) >= _floor(threshold)]
-            for y in rest:
+            for y in _rivals(x, root, side, one, regs, size, threshold):
                 p, q = _find(parent, int(root[x])), _find(parent, int(root[y]))
                 if p != q and linked(sets[x], sets[y], threshold):
                     parent[max(p, q)] = min(p, q)
@@ -224,7 +245,8 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, threshold: tuple[int, i
     wanted = members.select("id").distinct()
     sets = scratch.settle(
         docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi").mapInPandas(_sets, "id long, shingles binary")
-        .dropDuplicates(["id"]).join(classes.select("id", "regs"), "id"))
+        .dropDuplicates(["id"]).join(classes.select("id", "regs"), "id")
+        .withColumn("size", (F.octet_length("shingles") / 8).cast("int")))
 
     # 3. each bucket's smallest member against the others
     side = lambda c: sets.select(F.col("id").alias(c), F.col("regs").alias(f"{c}_regs"),
@@ -245,14 +267,17 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, threshold: tuple[int, i
     labelled = opened.select("id", "component").distinct()
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     rest = (
-        sized.join(labelled, "id").join(sets, "id").withColumn("own", own)
+        sized.join(labelled, "id").join(sets.select("id", "regs", "size"), "id").withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                F.col("own").alias("side"), "id", "component", "regs", "shingles")
+                F.col("own").alias("side"), "id", "component", "regs", "size")
     )
-    more = rest.groupBy("cluster", "i", "j").applyInPandas(_block_links(threshold), "a long, b long")
+    candidates = scratch.settle(rest.groupBy("cluster", "i", "j").applyInPandas(
+        _block_candidates(threshold), "cluster long, i int, j int, side int, id long, component long"))
+    more = candidates.join(sets.select("id", "regs", "shingles"), "id").groupBy("cluster", "i", "j").applyInPandas(
+        _block_links(threshold), "a long, b long")
     merged = scratch.settle(components(scratch, more))
-    scratch.drop(members, sets, links, opened, clusters)
+    scratch.drop(members, sets, links, opened, clusters, candidates)
 
     # from class to component, then to every document
     final = (

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from airshed.llm import hyperminhash as H
@@ -96,3 +97,22 @@ def test_shingles_ignore_ascii_case_and_white_space_only():
     assert (shingle_hashes("A b\tC\nd\x0be f") == shingle_hashes("a B c D E F")).all()
     assert not np.array_equal(shingle_hashes("É b c d e"), shingle_hashes("é b c d e"))
     assert len(shingle_hashes("a b")) == 1 and len(shingle_hashes("x " * 50)) == 1
+
+
+def test_blocks_send_sets_only_of_documents_that_pass_the_estimate():
+    rng = np.random.default_rng(6)
+    base = np.unique(rng.integers(0, 2**63, 400, dtype=np.uint64))
+
+    def spoilt(share):
+        own = base.copy()
+        own[rng.random(len(base)) < share] = rng.integers(0, 2**63, dtype=np.uint64)
+        return np.unique(np.concatenate([own, rng.integers(0, 2**63, int(share * 400), dtype=np.uint64)]))
+
+    sets = [spoilt(s) for s in [0.0, 0.02] + [0.45] * 30]          # two alike, thirty that share a template at most
+    pdf = pd.DataFrame({"cluster": 1, "i": 0, "j": 0, "side": 0, "id": range(len(sets)), "component": range(len(sets)),
+                        "regs": [H.registers(s).tobytes() for s in sets], "size": [len(s) for s in sets],
+                        "shingles": [s.tobytes() for s in sets]})
+    wanted = H._block_candidates(H.THRESHOLD)(pdf.drop(columns="shingles"))
+    assert {0, 1} <= set(wanted["id"]) and len(wanted) < 8
+    links = H._block_links(H.THRESHOLD)(wanted.merge(pdf[["id", "regs", "shingles"]], on="id"))
+    assert links.to_numpy().tolist() == [[0, 1]] == H._block_links(H.THRESHOLD)(pdf).to_numpy().tolist()
