@@ -1,6 +1,9 @@
 """Toxicity: gradients, held-out quality, no leak of labels or other columns."""
 
+import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -75,3 +78,45 @@ def test_awkward_and_degenerate(spark, documents):
     none = labels.where("false")
     assert {r.predicted for r in T.score(docs, T.fit(docs, none)).collect()} == {0}
     assert rows(T.score(documents([]), T.fit(documents([]), none))) == []
+
+
+def plain_logit(model, text):
+    """Filters, pooling and dense layer by loops over places and dimensions."""
+    words = re.findall(r"[a-z\x80-\U0010ffff]+", (text or "").lower())
+    ids = [int(T.word_ids(w)[0]) for w in words]
+    rows = [[float(v) for v in model.table[i]] for i in ids]
+    rows += [[0.0] * T.DIM] * (max(T.WIDTHS) - len(rows))
+    z = float(model.offset)
+    for n, w in enumerate(T.WIDTHS):
+        for f in range(T.FILTERS):
+            best = max(sum(rows[at + k][d] * float(model.filters[w][k, d, f]) for k in range(w) for d in range(T.DIM))
+                       for at in range(len(rows) - w + 1))
+            z += max(best + float(model.bias[w][f]), 0.0) * float(model.dense[n * T.FILTERS + f])
+    return z
+
+
+def test_scores_match_plain_loops(spark, scored):
+    docs, labels, out = scored
+    model = T.fit(docs, labels)
+    got = {r.doc_id: r for r in out}
+    for r in docs.where("doc_id < 60").collect():
+        words = Counter(re.findall(r"[a-z\x80-\U0010ffff]+", r.text.lower()))
+        told = [sum(n * float(model.words[T.word_ids(w)[0], g]) for w, n in words.items()) for g in range(len(model.languages))]
+        at = model.thresholds[max(range(len(told)), key=told.__getitem__)]
+        want = 1 / (1 + math.exp(-(T.SLOPE * (plain_logit(model, r.text) - at) + math.log(T.CUT / (1 - T.CUT)))))
+        assert got[r.doc_id].score == pytest.approx(want, abs=2e-3)
+
+
+def test_thresholds_match_a_search_over_all_cuts():
+    rng = np.random.default_rng(8)
+    for _ in range(30):
+        n = int(rng.integers(2, 60))
+        z, y = rng.integers(-9, 9, n).astype(float), rng.integers(0, 2, n)
+        y[0] = 1
+        weight = rng.integers(1, 4, n).astype(float)
+
+        def f1(cut):
+            taken = z > cut
+            return 2 * weight[taken & (y == 1)].sum() / (weight[taken].sum() + weight[y == 1].sum())
+
+        assert f1(T._best_threshold(z, y, weight)) == pytest.approx(max(f1(c - 0.5) for c in z), abs=1e-9)
