@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from airshed.operators.aggregates import status_counts
 from airshed.streaming import changes as stream_changes
 from airshed.streaming import validator as V
 
@@ -170,3 +171,10 @@ def test_compaction_rewrites_changed_buckets_only(spark, tmp_path):
     layers = stream_changes._base(spark, state)[1]
     assert all(len(of) <= 2 for of in layers.values())
     assert {r.v.split()[0] for r in stream_changes.current_state(spark, state, ["id"], ["seq"]).collect()} == {"newer", "x"}
+
+
+def test_batch_stats_are_the_status_counts(spark):
+    for total, valid in ((0, 0), (1, 1), (3, 2), (8, 1), (2000, 1), (1000, 333), (10_000, 9_995)):
+        df = spark.range(total).select(F.when(F.col("id") < valid, "valid").otherwise("invalid").alias("status"))
+        want = status_counts(df).first().asDict()
+        assert V.batch_stats(total, valid) == {**want, "valid_count": want["valid_count"] or 0, "invalid_count": want["invalid_count"] or 0}
