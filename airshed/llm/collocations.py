@@ -45,6 +45,7 @@ SHARE = 50                     # percent of a candidate's count that makes a lon
 UNKNOWN = "und"
 SPREAD = 512                   # a leading word with more than this part of all words is dealt by more words
 PARTS = 256                    # ways in which such a word is dealt
+RANKED_PARTS = 16              # parts of a language that are ranked by themselves first
 TASK_WORDS = 1_000_000         # words whose pointers a task sorts, about
 CHUNK = 2_000_000              # words whose pointers are combined together before they are sent
 CENSUS_BYTES = 1 << 20         # text whose hashes are counted together
@@ -100,7 +101,7 @@ def _census(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def count(lang: str) -> None:
         total[lang] += _count_hashes(_STOP.join(held.pop(lang)), counts["word"], counts["pair"])
-        size.pop(lang)
+        del size[lang]
 
     for batch in batches:
         for lang, text in zip(batch.column("lang"), batch.column("text")):
@@ -110,6 +111,8 @@ def _census(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size[lang] += len(held[lang][-1])
                 if size[lang] >= CENSUS_BYTES:
                     count(lang)
+                elif size.total() >= 16 * CENSUS_BYTES:      # many languages
+                    count(max(size, key=size.get))
     for lang in list(held):
         count(lang)
     names = ["kind", "lang", "bucket", "n"]
@@ -381,9 +384,9 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: i
                                                   .alias("phrase"), "f").groupBy("lang", "phrase").agg(F.max("f").alias("_longer"))
     kept = lowest.join(longer, ["lang", "phrase"], "left").where(
         F.col("_longer").isNull() | (F.col("_longer") * 100 < F.col("a") * share))
-    # the best of each of some parts of a language, then of the language: no task ranks more than PARTS * top
+    # the best of each of some parts of a language, then of the language: its last ranking sees RANKED_PARTS * top rows at most
     order = [F.desc("_cut.score"), F.desc("a"), F.col("phrase")]
-    some = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+    some = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(RANKED_PARTS))).orderBy(*order)
     few = kept.withColumn("_place", F.row_number().over(some)).where(F.col("_place") <= top)
     best = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return best.join(totals, "lang").select(
