@@ -22,7 +22,8 @@ a branch inside the mark goes only if nothing in it varies at all
 more of a page's own text outside the marks than there is inside, the page
 is read as one without marks. Hidden elements and controls are never text.
 
-Pages are parsed where they lie; what is shuffled are counts by node.
+Pages are parsed where they lie, once for the tree and once for the text;
+what is shuffled are counts by node.
 """
 
 from __future__ import annotations
@@ -382,14 +383,15 @@ def _weigh(pdf: pd.DataFrame) -> pd.DataFrame:
 LISTS = ("noise", "plain", "own", "named", "spared")
 
 
-def weighed_nodes(pages: DataFrame) -> DataFrame:
+def weighed_nodes(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """The style nodes of each host that have ``EVIDENCE`` pages, with their
     counts and entropies; what is rarer is folded into a number at its
     parent, so a host has as many rows as it has templates, not pages."""
     rows = pages.select("url", "html").mapInPandas(
         _features, "host string, node long, parent long, kind int, feature long, suspect int, spared int")
-    counted = rows.groupBy("host", "node", "parent", "kind", "feature", "suspect").agg(
-        F.count(F.lit(1)).alias("k"), F.sum("spared").alias("spared"))
+    # written, as four aggregates read it: the pages are parsed once for all of them
+    counted = scratch.settle(rows.groupBy("host", "node", "parent", "kind", "feature", "suspect").agg(
+        F.count(F.lit(1)).alias("k"), F.sum("spared").alias("spared")))
     shown = counted.where("kind = 0")
     # a node's pages: each gives it one presentation
     nodes = shown.groupBy("host", "node", "parent", "suspect").agg(
@@ -409,13 +411,13 @@ def weighed_nodes(pages: DataFrame) -> DataFrame:
         F.coalesce("outside", F.lit(0)).alias("outside"), F.coalesce("rare", F.lit(0)).alias("rare"))
 
 
-def noise_nodes(pages: DataFrame) -> DataFrame:
+def noise_nodes(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """host and its lists of style nodes: ``noise`` below ``LEAST``, ``plain``
     the topmost ones below ``MARKED_LEAST``, ``own`` with own contents outside
     the marks of pages that have marks, ``named`` and ``spared`` the branches
     with a noise name that go and that stay."""
     schema = ", ".join(f"{n} array<long>" for n in LISTS)
-    return weighed_nodes(pages).groupBy("host").applyInPandas(_weigh, f"host string, {schema}")
+    return weighed_nodes(pages, scratch).groupBy("host").applyInPandas(_weigh, f"host string, {schema}")
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -437,7 +439,7 @@ def extract(pages: DataFrame) -> DataFrame:
     scratch = Scratch(pages.sparkSession, "site-style")
     pages = pages.select(F.col("page_id").cast("long").cast("string").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html"))
-    noise = scratch.settle(noise_nodes(pages))
+    noise = scratch.settle(noise_nodes(pages, scratch))
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     return (
         pages.withColumn("host", host).join(noise, "host", "left").select("page_id", "url", "html", *LISTS)

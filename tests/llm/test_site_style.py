@@ -12,6 +12,7 @@ from html.parser import HTMLParser
 import pytest
 
 from airshed.llm import site_style as H
+from airshed.llm.common import Scratch
 from llm_cases import rows
 
 SF = "/root/testdata/sf0.01"
@@ -190,7 +191,7 @@ def test_a_name_is_settled_by_the_pages_of_the_host(spark):
 def test_names_with_numbers_are_one_style(spark):
     page = "<body><div class='post-{0}'><p>Story {0}.</p><div class='legal-{0}'><p>Rights reserved.</p></div></div></body>"
     pages = spark.createDataFrame([(i, "https://a.example/", page.format(i), "x") for i in range(200)], SCHEMA)
-    assert H.weighed_nodes(pages).count() == 6                     # the templates, not the pages
+    assert H.weighed_nodes(pages, Scratch(spark, "test")).count() == 6                     # the templates, not the pages
     assert dict(rows(H.extract(pages), "page_id", "text")) == {i: f"Story {i}." for i in range(200)}
 
 
