@@ -35,7 +35,7 @@ from airshed.llm.shingles import letter_word_hashes, run_hashes
 SAMPLE = 2_000                 # labelled rows of each label the space is fitted on, about
 WORD_BITS, SHAPE_BITS, SIZES = 12, 11, 24
 SHARES = (0.45, 0.5, 0.05)     # of words, shapes and size in a vector
-DIM, SPARE, POWERS = 64, 16, 3
+DIM, SPARE, POWERS = 24, 16, 3
 NEIGHBOURS, SHARPNESS = 15, 4
 BLOCK = 256                    # documents whose cosines are computed together
 CUT = 0.7                      # scores from here on are predictions of 1

@@ -95,6 +95,6 @@ def test_awkward_and_degenerate(spark, documents):
     assert same[0] == same[1]
     none = labels.where("false")
     assert {round(r.score, 6) for r in Q.score(docs, Q.fit(docs, none)).collect()} == {0.7}
-    one = labels.where("doc_id = 7")
+    one = spark.createDataFrame([(6, 0, 0)], "doc_id long, quality int, toxic int")
     assert {r.predicted for r in Q.score(docs, Q.fit(docs, one)).collect()} == {0}
     assert rows(Q.score(documents([]), Q.fit(documents([]), none))) == []
