@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from airshed.operators.changes import apply_changes
 from airshed.sources.versions import commit, commits, facts_of, file_system
 
-COMPACT_EVERY, BUCKETS, GROWTH = 16, 32, 2
+COMPACT_EVERY, BUCKETS, GROWTH = 16, 8, 2
 _BUCKET = "_bucket"
 
 
