@@ -140,3 +140,20 @@ def test_progress_rows(spark, tmp_path):
     found = read_progress(spark, log).where("input_rows > 0").collect()
     assert sum(r.input_rows for r in found) == 60 and sum(r.observed["seen.rows"] for r in found) == 60
     assert {r.query_name for r in found} == {"counted"} and {r.run_id for r in found} == {str(query.runId)}
+
+
+def test_each_part_is_a_file_of_its_own_task(spark, tmp_path):
+    """Also for null and negative keys; no write by partition columns, which sorts a part in memory."""
+    from airshed.plans.check_recovery import write_parts
+
+    sent = spark.range(-7, 60_000).select(F.repeat(F.lit("x"), 200).alias("text"), "id").select(
+        F.concat("text", F.col("id").cast("string")).alias("value"),
+        F.when(F.col("id") != 11, F.col("id") % 6).alias("part"))
+    path = str(tmp_path / "src")
+    write_parts(sent, path)
+    assert not [f for f in os.listdir(path) if os.path.isdir(f"{path}/{f}")]
+    per_file = spark.read.text(path).groupBy(F.input_file_name()).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(F.expr("try_cast(substr(value, 201) as bigint) % 6")).alias("parts"))
+    want = [r["count"] for r in sent.groupBy("part").count().collect()]
+    found = rows(per_file)
+    assert sorted(n for _, n, _ in found) == sorted(want) and len(want) == 12 and {p for *_, p in found} == {1}
