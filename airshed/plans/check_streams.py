@@ -18,8 +18,22 @@ from airshed.session import scratch_path
 from airshed.streaming import changes as stream_changes
 from airshed.streaming.validator import MESSAGE_FIELDS, read_stream, route
 
-# Rows of a file and files of a micro-batch, for several micro-batches.
+# Rows of a file and files of a micro-batch, for several micro-batches. What a
+# micro-batch costs beside its rows (planning, commits, listings) does not
+# shrink with it, so a feed of many rows comes in larger files, FILES of them,
+# up to LARGEST rows a file: beyond that their number grows again.
 FILES_PER_BATCH, RECORDS = "4", 2_000
+FILES, LARGEST = 80, 250_000
+
+
+def rows_of_file(rows: int) -> int:
+    return min(max(RECORDS, -(-rows // FILES)), LARGEST)
+
+
+def write_feed(feed: DataFrame, path: str, fmt: str) -> None:
+    """The rows as the files that a stream reads; they are counted first
+    (for a table of files: from their footers)."""
+    feed.write.mode("overwrite").option("maxRecordsPerFile", rows_of_file(feed.count())).format(fmt).save(path)
 
 
 def q42_stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +63,7 @@ def q43_stream_change_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderkey", "o_totalprice", "o_orderdate",
         F.element_at(map_lit(OP_OF_STATUS), F.col("o_orderstatus")).alias("op"))
-    rows.write.mode("overwrite").option("maxRecordsPerFile", RECORDS).json(src)
+    write_feed(rows, src, "json")
     schema = "o_custkey long, o_orderkey long, o_totalprice double, o_orderdate timestamp_ntz, op string"
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH).json(src)
     stream_changes.fold_changes_stream(stream, ["o_custkey"], ["o_orderdate", "o_orderkey"], state, ckpt,

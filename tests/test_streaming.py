@@ -178,3 +178,18 @@ def test_batch_stats_are_the_status_counts(spark):
         df = spark.range(total).select(F.when(F.col("id") < valid, "valid").otherwise("invalid").alias("status"))
         want = status_counts(df).first().asDict()
         assert V.batch_stats(total, valid) == {**want, "valid_count": want["valid_count"] or 0, "invalid_count": want["invalid_count"] or 0}
+
+
+def test_a_longer_feed_comes_in_larger_files(spark, tmp_path, monkeypatch):
+    """Micro-batches of a fixed few rows would grow in number with the feed."""
+    from airshed.plans import check_streams as C
+
+    assert [C.rows_of_file(n) for n in (0, 150_000, 9_000_000, 10**9)] == [2_000, 2_000, 112_500, 250_000]
+    monkeypatch.setattr(C, "FILES", 8)
+    monkeypatch.setattr(C, "RECORDS", 10)
+    files = {}
+    for n in (80, 8_000):
+        C.write_feed(spark.range(n, numPartitions=2), str(tmp_path / f"{n}"), "json")
+        files[n] = len([f for f in os.listdir(tmp_path / f"{n}") if f.endswith(".json")])
+        assert spark.read.json(str(tmp_path / f"{n}")).count() == n
+    assert files == {80: 8, 8_000: 8}
