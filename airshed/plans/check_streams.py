@@ -38,7 +38,7 @@ def write_feed(feed: DataFrame, path: str, fmt: str) -> None:
 
 def q42_stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, valid, dlq, ckpt = (scratch_path(spark, n) for n in ("msgs", "valid", "dlq", "route-ckpt"))
-    messages(spark, sf_dir).select("value").write.mode("overwrite").option("maxRecordsPerFile", RECORDS).text(src)
+    write_feed(messages(spark, sf_dir).select("value"), src, "text")
     stream = read_stream(spark, "text", src, maxFilesPerTrigger=FILES_PER_BATCH)
     route(stream, valid, dlq, ckpt).awaitTermination()
     # rows of both sinks: message fields with the contract's defaults, the
