@@ -24,6 +24,7 @@ from bisect import bisect_right
 from collections.abc import Callable
 from html.entities import name2codepoint
 from itertools import accumulate
+from operator import attrgetter
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -38,7 +39,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DEEPEST = 256
 _BLANK = " \t\n\x0b\f\r "
-_TAG = re.compile(r"<(?:(/?)([a-zA-Z][^\s<>/]*)|[!?])[^<>]*>?")
+_HEAD = re.compile(r"(/?)([a-zA-Z][^\s<>/]*)|[!?]")
+_SHORT, _KEPT = 200, 4096    # characters of a tag that is remembered, and how many are
 _HIDDEN = re.compile(r"<!--|<(script|style)\b", re.IGNORECASE)
 _HIDDEN_END = {n: re.compile(rf"</{n}\s*>", re.IGNORECASE) for n in ("script", "style")}
 _REFERENCE = re.compile(r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});")
@@ -76,15 +78,37 @@ def decoded(text: str) -> str:
     return _REFERENCE.sub(char, text) if "&" in text else text
 
 
+_attributes: dict[str, re.Pattern] = {}
+
+
 def attribute_of(tag: str, name: str) -> str | None:
     """Value of an attribute of an opening tag; None when it has none."""
-    found = re.search(rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", tag)
+    if (pattern := _attributes.get(name)) is None:
+        pattern = _attributes[name] = re.compile(rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+    found = pattern.search(tag)
     return None if found is None else decoded(next((g for g in found.groups() if g is not None), ""))
 
 
+_NO_TAG, _OTHER = (0, ""), (1, "")
+_seen: dict[frozenset, dict[str, tuple[int, str]]] = {}
+
+
+def _kind(head: str, names: frozenset[str], seen: dict[str, tuple[int, str]]) -> tuple[int, str]:
+    """What stands between ``<`` and ``>``: no tag, one of another name, or
+    (2, name) if it opens, (3, name) if it closes one of ``names``."""
+    found = _HEAD.match(head)
+    name = (found.group(2) or "").lower() if found else ""
+    kind = (3 if found.group(1) else 2, name) if name in names else _OTHER if found else _NO_TAG
+    if len(head) <= _SHORT:   # long ones are rarely repeated
+        if len(seen) >= _KEPT:
+            seen.clear()
+        seen[head] = kind
+    return kind
+
+
 class Element:
     """An element: its place in document order, the place after its last
-    descendant, its opening tag and the text nodes inside it."""
+    descendant, its opening tag (without ``<`` and ``>``) and the text nodes inside it."""
 
     __slots__ = ("name", "at", "end", "tag", "first", "last", "around")
 
@@ -102,46 +126,54 @@ class Page:
     of the nearest element named ``mark`` that holds it, or -1."""
 
     def __init__(self, html: str, names: frozenset[str], mark: str = ""):
-        page = visible(html)
-        self.texts: list[str] = []
+        # a tag holds no ``<``: each piece is a tag and the text after it, or text
+        first, *pieces = visible(html).split("<")
+        texts, glued = [first], []
+        seen = _seen.setdefault(names, {})
         self.elements: dict[str, list[Element]] = {n: [] for n in names}
         self.places: dict[str, list[int]] = {n: [] for n in names}
         stack: list[Element] = []
         opened = dict.fromkeys(names, 0)
         marks = [-1]
-        at = n = 0
-
-        def close(e: Element) -> None:
-            e.end, e.last = n, len(self.texts)
-            opened[e.name] -= 1
-            if e.name == mark:
-                marks.pop()
-
-        for tag in _TAG.finditer(page):
-            if tag.start() > at:
-                self.texts.append(decoded(page[at:tag.start()]).strip(_BLANK))
-            at, name = tag.end(), (tag.group(2) or "").lower()
-            if name not in names:
+        n = 0
+        for piece in pieces:
+            head, _, text = piece.partition(">")
+            does, name = seen.get(head) or _kind(head, names, seen)
+            if not does:
+                glued = glued or [texts.pop()]
+                glued.append(piece)
                 continue
-            n += 1
-            if tag.group(1):
-                if opened[name]:
-                    while (e := stack.pop()).name != name:
-                        close(e)
-                    close(e)
-            elif len(stack) < DEEPEST:
-                e = Element(name, n, tag.group(0), len(self.texts), marks[-1])
-                stack.append(e)
-                opened[name] += 1
-                self.elements[name].append(e)
-                self.places[name].append(n)
-                if name == mark:
-                    marks.append(n)
-        if at < len(page):
-            self.texts.append(decoded(page[at:]).strip(_BLANK))
-        n += 1
-        while stack:
-            close(stack.pop())
+            if glued:
+                texts.append("<".join(glued))
+                glued = []
+            if does == 2:
+                n += 1
+                if len(stack) < DEEPEST:
+                    e = Element(name, n, head, len(texts), marks[-1])
+                    stack.append(e)
+                    opened[name] += 1
+                    self.elements[name].append(e)
+                    self.places[name].append(n)
+                    if name == mark:
+                        marks.append(n)
+            elif does == 3:
+                n += 1
+                last = len(texts)
+                while opened[name]:
+                    e = stack.pop()
+                    e.end, e.last = n, last
+                    opened[e.name] -= 1
+                    if e.name == mark:
+                        marks.pop()
+                    if e.name == name:
+                        break
+            texts.append(text)
+        if glued:
+            texts.append("<".join(glued))
+        for e in stack:
+            e.end, e.last = n + 1, len(texts)
+        # most text nodes are white space, or hold no reference
+        self.texts = [t and (decoded(t) if "&" in t else t).strip(_BLANK) for t in texts]
         self.whole, self.starts = "".join(self.texts), [0, *accumulate(map(len, self.texts))]
 
     def text(self, e: Element | None) -> str:
@@ -157,6 +189,9 @@ class Page:
             yield found[i]
 
 
+_PLACE = attrgetter("at")
+
+
 def outermost(elements: list[Element]) -> list[Element]:
     """The elements, in document order, that lie in none of the others."""
     out: list[Element] = []
@@ -177,7 +212,7 @@ def table_rows(html: str | None, table_class: str) -> list[list[str]]:
         rows = list(page.inside((chosen or tables)[0], "tr"))
     out = []
     for row in rows:
-        cells = sorted((*page.inside(row, "td"), *page.inside(row, "th")), key=lambda c: c.at)
+        cells = sorted((*page.inside(row, "td"), *page.inside(row, "th")), key=_PLACE)
         out.append([page.text(c) for c in cells])
     return out
 

@@ -91,3 +91,60 @@ def test_large_and_missing_pages_as_rows(spark):
     last = rows(html.html_items(pages).where("item_no = 9999"))
     assert last == [(None, 9999, "T9999", "", "", "http://h/n/9999")]
     assert rows(html.html_items(pages.where("false"))) == rows(html.html_table_rows(pages.where("false"))) == []
+
+
+def regex_page(page, names):
+    """Elements (name, place, end, tag) and stripped text nodes by the plain pattern of a tag."""
+    tag = re.compile(r"<(?:(/?)([a-zA-Z][^\s<>/]*)|[!?])[^<>]*>?")
+    page, stack, found, texts, at, n = html.visible(page), [], [], [], 0, 0
+    for m in tag.finditer(page):
+        texts.append(html.decoded(page[at:m.start()]).strip(html._BLANK))
+        at, name = m.end(), (m.group(2) or "").lower()
+        if name not in names:
+            continue
+        n += 1
+        if not m.group(1):
+            found.append([name, n, None, m.group(0).strip("<>")])
+            stack.append(found[-1])
+        elif any(e[0] == name for e in stack):
+            while True:
+                stack[-1][2] = n
+                if stack.pop()[0] == name:
+                    break
+    for e in stack:
+        e[2] = n + 1
+    return sorted(map(tuple, found)), [t for t in [*texts, html.decoded(page[at:]).strip(html._BLANK)] if t]
+
+
+ODD = ["<td>", "</td>", "<TR a='1'>", "</tr >", "<table class='k'>", "</table>", "<", "<1", "</", "< td>", "<td", "<td/>", "a & b", "&amp;",
+       " \xa0x ", "<!doctype x>", "<?php ?>", "<!-- <td>", "-->", "<p/>", ">", "<td <tr>", "é&#7841;", "<script>", "</script>", "</table\x1f>"]
+
+
+def test_a_page_is_read_as_by_the_pattern_of_a_tag():
+    rng, names = random.Random(9), frozenset(("table", "tr", "td"))
+    for _ in range(3_000):
+        page = "".join(rng.choice(ODD) for _ in range(rng.randrange(40)))
+        p = html.Page(page, names)
+        elements = sorted((e.name, e.at, e.end, e.tag) for of in p.elements.values() for e in of)
+        assert (elements, [t for t in p.texts if t]) == regex_page(page, names), page
+
+
+def test_a_short_page_takes_little_time():
+    """Pages of one table each are the usual feed: what a tag costs decides."""
+    row = "<tr>" + "<td><b>Tốt</b> 1</td>" * 4 + "</tr>"
+    page = f"<html><table class='menu'><tr><td>a</td></tr></table><table class='table-striped'><tbody>{row * 3}</tbody></table></html>"
+    names, plain = frozenset(("table", "tbody", "tr", "td", "th")), []
+    fast = []
+    for _ in range(5):
+        for took, work in ((fast, lambda: html.Page(page, names)), (plain, lambda: regex_page(page, names))):
+            began = time.perf_counter()
+            for _ in range(200):
+                work()
+            took.append(time.perf_counter() - began)
+    assert min(fast) < 0.8 * min(plain)
+
+
+def test_many_bare_signs_are_one_text_in_linear_time():
+    began = time.perf_counter()
+    page = html.Page("<td>" + "< " * 400_000 + "</td>", frozenset(("td",)))
+    assert len(page.text(page.elements["td"][0])) == 799_999 and time.perf_counter() - began < 20
