@@ -9,12 +9,18 @@ is also learned with the value drawn anew from the alphabets that keys are
 written in, once in its context and once with neutral words in the place of
 the key words, so that the field finds values that no pattern names.
 
-Only words that can matter are tagged one by one: a word is *hot* if it
-holds a digit, one of ``=:_+/@\\``, a key word, an upper-case letter after a
-lower-case one or at least ``LONG`` characters; a
-segment is a hot word with ``AROUND`` words on either side (overlapping ones are
-one segment). Every other token is outside by definition of the model, in
-training and decoding alike, so whole texts cost a few vectorised passes.
+Every token of a text is scored and tagged, as one sequence from the first to
+the last. Of an ordinary token the scores alone, with those of the token after
+it, often show that it is outside on the best path whatever the tags around
+it are (``_surely_outside``); the sequence falls apart there and Viterbi runs
+over what lies between, with the result of a run over the whole text.
+
+The field learns from a bounded part of the sampled texts. A word is *hot* if
+it holds a digit, one of ``=:_+/@\\``, a key word, an upper-case letter after a
+lower-case one or at least ``LONG`` characters; a segment is a hot word with
+``AROUND`` words on either side (overlapping ones are one segment). All
+segments of a sampled text are learned, and of the words between them one
+stretch of ``PLAIN`` words a text, drawn by a hash of the text.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ import hashlib
 import math
 import re
 import zlib
+from collections import Counter
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
@@ -44,9 +51,10 @@ BASE_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KEY_WORDS = (*BASE_WORDS, "pwd", "credential", "bearer", "authorization", "private")
 
 SAMPLE = 20_000                # documents the field is fitted on, about
-LONG, AROUND = 20, 2
+LONG, AROUND, PLAIN = 20, 2, 16
 DIM, WIDTH = 1 << 13, 18       # hashed features: table size, features a token
 EPOCHS, RATE, RIDGE = 60, 0.15, 1e-4
+KEPT, SHORT = 200_000, 64      # tokens that a task remembers, and their length
 O, B, I = 0, 1, 2
 
 _TOKEN = re.compile(r"""[^\s"':=|,;()<>{}\[\]]+|["':=]""")
@@ -126,11 +134,6 @@ def _bin(n: float, edges=(1, 2, 3, 5, 8, 12, 16, 20, 24, 32, 40, 64)) -> int:
     return sum(n >= e for e in edges)
 
 
-def _class(token: str) -> str:
-    low = token.lower()
-    return next((w for w in KEY_WORDS if w in low), None) or (token if len(token) == 1 and not token.isalnum() else _shape(token)[:3])
-
-
 def file_features(text: str, code: np.ndarray, n_segments: int) -> list[str]:
     n = max(1, len(code))
     digits = float(((code >= 48) & (code < 58)).mean()) if len(code) else 0.0
@@ -138,34 +141,85 @@ def file_features(text: str, code: np.ndarray, n_segments: int) -> list[str]:
             f"f2{_bin(1000 * n_segments / n, (0.2, 1, 5, 20))}", f"f3{_bin(text.count('=') / n * 1000, (0.1, 1, 5))}"]
 
 
+_HEX_LETTERS = "0123456789abcdefABCDEF"
+_entropies: dict[tuple[int, ...], int] = {}
+
+
+def _entropy(t: str) -> int:
+    """Twice the entropy of its characters, rounded down."""
+    counts = tuple(sorted(Counter(t).values() if len(t) > SHORT else map(t.count, set(t))))
+    if (found := _entropies.get(counts)) is None:
+        found = int(-2 * sum(c / len(t) * math.log2(c / len(t)) for c in counts))
+        if len(t) <= SHORT and len(_entropies) < KEPT:
+            _entropies[counts] = found
+    return found
+
+
+def _traits(t: str) -> tuple:
+    """What the features of a token that no other token changes are made of;
+    the last of it is its class."""
+    n = len(t)
+    if t.isascii() and t.isalpha() and t.islower():
+        shape, digits, uppers = "a", 0, 0
+    else:
+        shape, digits, uppers = _shape(t), sum(map(str.isdigit, t)), sum(map(str.isupper, t))
+    low = t.lower()
+    own = next((w for w in KEY_WORDS if w in low), None) if n > 2 else None
+    return (shape, _bin(n), _entropy(t), digits * 5 // n, uppers * 5 // n, digits > 0, uppers > 0, not t.strip(_HEX_LETTERS),
+            own or (t if n == 1 and not t.isalnum() else shape[:3]))
+
+
+def _own_names(traits: tuple) -> list[str]:
+    shape, size, e, digits, uppers, has_digit, has_upper, hexed, own = traits
+    return ["b", f"s{shape}", f"n{size}", f"e{e}", f"d{digits}", f"u{uppers}", f"h{hexed}{size}",
+            f"c{own}", f"z{int(has_digit)}{int(has_upper)}{size}{e}"]
+
+
+def _around_names(p2: str, p1: str, n1: str, n2: str) -> list[str]:
+    """The features of the two classes before a token and the two after it."""
+    return [f"p{p1}", f"q{p2}", f"r{p1}|{p2}", f"x{n1}", f"y{n2}"]
+
+
+def _places(names: list[str]) -> list[int]:
+    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % DIM for x in names]
+
+
 def token_features(tokens: list[str], whole: list[str]) -> np.ndarray:
     """(tokens, WIDTH) rows of hashed features."""
-    classes = ["<", "<", *map(_class, tokens), ">", ">"]
+    own = [_traits(t) for t in tokens]
+    classes = ["<", "<", *(x[-1] for x in own), ">", ">"]
     out = np.empty((len(tokens), WIDTH), dtype=np.int32)
-    for i, t in enumerate(tokens):
-        n = len(t)
-        counts = [t.count(c) for c in set(t)]
-        entropy = -sum(c / n * math.log2(c / n) for c in counts)
-        digit, upper = sum(map(str.isdigit, t)) / n, sum(map(str.isupper, t)) / n
-        hexed = all(c in "0123456789abcdefABCDEF" for c in t)
-        p2, p1, own, n1, n2 = classes[i:i + 5]
-        size, e = _bin(n), int(entropy * 2)
-        names = ["b", f"s{_shape(t)}", f"n{size}", f"e{e}", f"d{int(digit * 5)}", f"u{int(upper * 5)}", f"h{hexed}{size}",
-                 f"c{own}", f"p{p1}", f"q{p2}", f"r{p1}|{p2}", f"x{n1}", f"y{n2}", f"z{int(digit > 0)}{int(upper > 0)}{size}{e}",
-                 *whole]
-        out[i] = [zlib.crc32(x.encode("utf-8", "surrogatepass")) % DIM for x in names]
+    for i, traits in enumerate(own):
+        p2, p1, _, n1, n2 = classes[i:i + 5]
+        out[i] = _places([*_own_names(traits), *_around_names(p2, p1, n1, n2), *whole])
     return out
 
 
+def plain_stretch(text: str, code: np.ndarray, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """At most ``PLAIN`` words that no segment holds: of the longest gaps
+    between segments (up to 16), one drawn by a hash of the text."""
+    edges = [0, *(x for r in ranges for x in r), len(code)]
+    gaps = sorted((s - e, s, e) for s, e in zip(edges[::2], edges[1::2]) if e > s)[:16]
+    if not gaps:
+        return []
+    drawn = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    _, s, e = gaps[drawn % len(gaps)]
+    start, end = _runs(code[s:e] > 32)
+    if not len(start):
+        return []
+    first = (drawn >> 4) % max(1, len(start) - PLAIN + 1)
+    return [(s + int(start[first]), s + int(end[min(len(end), first + PLAIN) - 1]))]
+
+
 def _segment_rows(text: str):
     """(tokens as (start, end), features, base spans that reach into it, file
-    features) of each segment of a text."""
+    features) of each segment of a text and of a stretch beside them."""
     code, low = _points(text), _lowered(text)
     base = base_spans(text, code, low)
     ranges = segments(code, low)
     whole = file_features(text, code, len(ranges))
     near, at = [], 0
-    for s, e in ranges:
+    for s, e in sorted(ranges + plain_stretch(text, code, ranges)):
         near = [b for b in near if b[2] > s]
         while at < len(base) and base[at][0] < e:
             near.append(base[at])
@@ -224,11 +278,85 @@ class Field:
 
     def __init__(self, emit: np.ndarray, move: np.ndarray):
         self.emit, self.move = emit, move
+        self._forget()
+
+    def __getstate__(self) -> dict:
+        return {"emit": self.emit, "move": self.move}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__init__(**state)
+
+    def _forget(self) -> None:
+        """What is remembered of tokens, classes and pairs of classes: scores, once each."""
+        self._tokens: dict[str, int] = {}       # the place of their traits
+        self._traits: dict[tuple, int] = {}
+        self._own: list[tuple] = []             # by traits: scores, class
+        self._classes: dict[str, int] = {}
+        self._names: list[str] = []
+        self._beside: list[list[np.ndarray]] = [[], [], [], []]    # by class: as p, q, x, y
+        self._pairs: dict[int, np.ndarray] = {}
+
+    def _sum(self, names: list[str]) -> np.ndarray:
+        return self.emit[_places(names)].sum(axis=0)
+
+    def _class_id(self, name: str) -> int:
+        if (found := self._classes.get(name)) is None:
+            found = self._classes[name] = len(self._names)
+            self._names.append(name)
+            for of, letter in zip(self._beside, "pqxy"):
+                of.append(self._sum([letter + name]))
+        return found
+
+    def _token_id(self, token: str) -> int:
+        traits = _traits(token)
+        if (found := self._traits.get(traits)) is None:
+            found = self._traits[traits] = len(self._own)
+            self._own.append((*self._sum(_own_names(traits)).tolist(), self._class_id(traits[-1])))
+        if len(token) <= SHORT:
+            self._tokens[token] = found
+        return found
+
+    def scores(self, tokens: list[str], whole: list[str]) -> np.ndarray:
+        """(tokens, 3): the sums of the weights of ``token_features``, each
+        different token, class and pair of classes looked up once."""
+        if len(self._tokens) + len(self._own) > KEPT or len(self._names) > KEPT // 10 or len(self._pairs) > KEPT:
+            self._forget()
+        edge = [self._class_id("<"), self._class_id(">")]
+        known, new = self._tokens.get, self._token_id
+        ids = [i if (i := known(t)) is not None else new(t) for t in tokens]
+        different, place = np.unique(np.array(ids, dtype=np.int64), return_inverse=True)
+        own = np.array([self._own[i] for i in different.tolist()])[place]
+        classes = np.concatenate([edge[:1] * 2, own[:, 3].astype(np.int64), edge[1:] * 2])
+        out = own[:, :3] + self._sum(whole)
+        different, place = np.unique(classes, return_inverse=True)
+        n = len(tokens)
+        for of, at in zip(self._beside, (1, 0, 3, 4)):
+            out += np.array([of[c] for c in different.tolist()])[place[at:at + n]]
+        pairs, place = np.unique(classes[1:n + 1] << 32 | classes[:n], return_inverse=True)
+        for pair in pairs.tolist():
+            if pair not in self._pairs:
+                self._pairs[pair] = self._sum([f"r{self._names[pair >> 32]}|{self._names[pair & 0xFFFFFFFF]}"])
+        return out + np.array([self._pairs[p] for p in pairs.tolist()])[place]
+
+    def tags(self, tokens: list[str], whole: list[str]) -> list[tuple[int, list[int]]]:
+        """The best tags of the whole sequence: (first token, tags) of the
+        stretches between tokens that are outside on every best path."""
+        scores = self.scores(tokens, whole)
+        unsure = np.flatnonzero(~_surely_outside(scores, self.move))
+        if not len(unsure):
+            return []
+        cut = np.flatnonzero(np.diff(unsure) > 1)
+        first, last = unsure[np.concatenate([[0], cut + 1])], unsure[np.concatenate([cut, [len(unsure) - 1]])]
+        return [(int(f), self.best(scores[f:t + 1])) for f, t in zip(first, last)]
 
     def decode(self, rows: np.ndarray) -> list[int]:
-        """Best tags; a segment lies between outside tokens, and inside
-        follows begin or inside only."""
-        scores = self.emit[rows].sum(axis=1).tolist()
+        """Best tags of tokens with these features."""
+        return self.best(self.emit[rows].sum(axis=1))
+
+    def best(self, scores: np.ndarray) -> list[int]:
+        """Best tags by Viterbi; the sequence lies between outside tokens, and
+        inside follows begin or inside only."""
+        scores = scores.tolist()
         move = self.move.tolist()
         best, back = [move[O][t] + scores[0][t] for t in range(3)], []
         best[I] = -math.inf
@@ -244,6 +372,28 @@ class Field:
         return path[::-1]
 
 
+def _surely_outside(scores: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """Where outside beats begin and inside whatever the tags around are.
+
+    A path with tag k at a token is turned into one with O there; if the next
+    tag is I, it becomes B, as inside cannot follow outside. Where the least gain of
+    the change over all neighbours is positive, no best path has k."""
+    def allowed(s: int, k: int) -> bool:
+        return k != I or s != O
+
+    sure = np.ones(len(scores), dtype=bool)
+    here, after = scores, scores[1:, B] - scores[1:, I]
+    for k in (B, I):
+        gain = here[:, O] - here[:, k]
+        enter = min(move[s][O] - move[s][k] for s in range(3) if allowed(s, k))
+        leave = min(move[O][t] - move[k][t] for t in (O, B))
+        sure &= gain + enter + leave > 1e-9
+        # k, I, u becomes O, B, u
+        turn = move[O][B] - move[k][I] + min(move[B][u] - move[I][u] for u in range(3))
+        sure[:-1] &= gain[:-1] + enter + turn + after > 1e-9
+    return sure
+
+
 def train(feats: list[np.ndarray], tags: list[np.ndarray]) -> Field:
     """Maximum likelihood by Adam over padded segments (forward-backward)."""
     emit, move = np.zeros((DIM, 3)), np.zeros((3, 3))
@@ -313,24 +463,23 @@ def find_secrets(text: str | None, field: Field) -> list[tuple[int, int, int]]:
     """(start, kind, end): the base spans and those the field adds."""
     if not text:
         return []
-    spans = [(s, k, e) for s, k, e, _ in base_spans(text, _points(text), _lowered(text))]
+    code, low = _points(text), _lowered(text)
+    spans = [(s, k, e) for s, k, e, _ in base_spans(text, code, low)]
     starts, reach = [s for s, _, _ in spans], list(accumulate((e for _, _, e in spans), max))
-    for found, rows, _, _ in _segment_rows(text):
-        tags = field.decode(rows)
-        i = 0
-        while i < len(tags):
-            if tags[i] == B:
-                j = i + 1
-                while j < len(tags) and tags[j] == I:
-                    j += 1
-                s, e = found[i][0], found[j - 1][1]
-                # of the base spans that start before its end none may reach into it
-                before = bisect_left(starts, e)
-                if not before or reach[before - 1] <= s:
-                    spans.append((s, 3, e))
-                i = j
-            else:
-                i += 1
+    tokens = _TOKEN.findall(text)
+    whole = file_features(text, code, len(segments(code, low)))
+    marked = [(at + i, tags, i) for at, tags in (field.tags(tokens, whole) if tokens else ()) for i, t in enumerate(tags) if t == B]
+    if marked:
+        place = [m.span() for m in _TOKEN.finditer(text)]
+        for at, tags, i in marked:
+            j = i + 1
+            while j < len(tags) and tags[j] == I:
+                j += 1
+            s, e = place[at][0], place[at + j - i - 1][1]
+            # of the base spans that start before its end none may reach into it
+            before = bisect_left(starts, e)
+            if not before or reach[before - 1] <= s:
+                spans.append((s, 3, e))
     return sorted(spans)
 
 

@@ -127,3 +127,62 @@ def test_spans_and_tags_of_dense_secrets_take_seconds():
     # no span of the field reaches into a base span
     ordered = sorted((s, e, k) for s, k, e in spans)
     assert all(a[1] <= b[0] for a, b in zip(ordered, ordered[1:]))
+
+
+def plain_spans(text, field):
+    """The field's spans by one Viterbi run over the features of every token, in a plain loop."""
+    found = [m.span() for m in S._TOKEN.finditer(text)]
+    code, low = S._points(text), S._lowered(text)
+    whole = S.file_features(text, code, len(S.segments(code, low)))
+    tags = [*field.decode(S.token_features([text[s:e] for s, e in found], whole)), S.O]
+    named = [(s, e) for s, _, e, _ in S.base_spans(text, code, low)]
+    out = []
+    for i, t in enumerate(tags):
+        if t == S.B:
+            j = next(k for k in range(i + 1, len(tags)) if tags[k] != S.I)
+            s, e = found[i][0], found[j - 1][1]
+            if all(e <= a or b <= s for a, b in named):
+                out.append((s, 3, e))
+    return out
+
+
+def test_every_token_of_a_text_is_tagged():
+    """Words far from any key word or digit too, as by one run over the whole text."""
+    rng = np.random.default_rng(7)
+    words = ["plain", "words", "Only", "qwertzuiop", "is", "secret", "x9Y8z7", "é😀", "a=b", '"quoted"', "a-b,", "password:", "hunter22", "İ"]
+    spans = 0
+    for tilt in (0.0, 1.0, 3.0):     # from many to few tokens that are not surely outside
+        for _ in range(40):
+            field = S.Field(rng.normal(size=(S.DIM, 3)) * 0.6, rng.normal(size=(3, 3)))
+            field.emit[:, S.O] += tilt / 4
+            for _ in range(3):       # what is remembered of a text serves the next
+                text = " ".join(rng.choice(words, int(rng.integers(1, 40))))
+                got = [x for x in S.find_secrets(text, field) if x[1] == 3]
+                assert got == plain_spans(text, field)
+                spans += len(got)
+    assert spans > 100
+    # without a hot word no segment was looked at
+    field = S.Field(np.zeros((S.DIM, 3)), np.zeros((3, 3)))
+    field.emit[:, S.O] = 0.1
+    field.emit[S._places(["n5"]), S.B] = 9.0
+    text = "plain words " * 50 + "qwertzuio words " + "plain words " * 50
+    assert S.segments(S._points(text), text) == []
+    assert [text[s:e] for s, _, e in S.find_secrets(text, field)] == ["qwertzuio"] == [text[s:e] for s, _, e in plain_spans(text, field)]
+
+
+def test_scores_are_the_sums_of_the_features_also_after_forgetting(monkeypatch):
+    rng = np.random.default_rng(8)
+    field = S.Field(rng.normal(size=(S.DIM, 3)), rng.normal(size=(3, 3)))
+    monkeypatch.setattr(S, "KEPT", 5)
+    for text in ("one two three", "token = x " + "y" * 100 + " x " + "y" * 100, "seven different words make the memory full", "one two"):
+        tokens, whole = S._TOKEN.findall(text), ["f01", "f12", "f20", "f31"]
+        assert np.allclose(field.scores(tokens, whole), field.emit[S.token_features(tokens, whole)].sum(axis=1))
+
+
+def test_ordinary_words_of_sampled_texts_are_learned():
+    text = "plain words " * 200 + "key = 12 " + "other words " * 300
+    code = S._points(text)
+    ranges = S.segments(code, text)
+    (s, e), = S.plain_stretch(text, code, ranges)
+    assert len(text[s:e].split()) == S.PLAIN and all(e <= a or b <= s for a, b in ranges)
+    assert S.plain_stretch("a=1", S._points("a=1"), [(0, 3)]) == [] == S.plain_stretch("", S._points(""), [])
